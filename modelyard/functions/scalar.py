@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -19,26 +20,59 @@ def key_text(key: Sequence[str], seed: object = None) -> Column:
     parts = [F.col(k).cast("string") for k in key]
     if seed is not None:
         parts.insert(0, F.lit(str(seed)))
+    if len(parts) == 1:
+        return F.coalesce(parts[0], F.lit(""))
     return F.concat_ws("|", *parts)
 
 
+def key_digest(key: Sequence[str], seed: object = None) -> Column:
+    """Hex digest of the key; its first 8 digits are the draw of the row."""
+    return F.md5(key_text(key, seed))
+
+
 def unit_draw(key: Sequence[str], seed: object = None) -> Column:
     """Uniform draw in [0, 1) that depends on the key alone."""
-    head = F.substring(F.md5(key_text(key, seed)), 1, 8)
+    head = F.substring(key_digest(key, seed), 1, 8)
     return F.conv(head, 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def split_label(draw: Column, splits: Sequence[tuple[str, float]] = DEFAULT_SPLITS) -> Column:
-    """Range predicates on a draw; the last split takes what is left."""
+def digest_edge(edge: float) -> str:
+    """Text such that `digest < text` says the same as `draw < edge`.
+
+    Comparing the digits spares the conversion of every digest to a number.
+    """
+    first = math.ceil(edge * 2**32)
+    return f"{first:08x}" if first < 2**32 else "g"
+
+
+def split_label(digest: Column, splits: Sequence[tuple[str, float]] = DEFAULT_SPLITS) -> Column:
+    """Range predicates on the draw of a digest; the last split takes what is left."""
     edge, label = 0.0, None
     for name, share in splits[:-1]:
         edge = round(edge + share, 12)
-        hit = draw < F.lit(edge)
+        hit = digest < F.lit(digest_edge(edge))
         label = F.when(hit, name) if label is None else label.when(hit, name)
     last = F.lit(splits[-1][0])
     return last if label is None else label.otherwise(last)
 
 
+def in_split(
+    digest: Column, split: str, splits: Sequence[tuple[str, float]] = DEFAULT_SPLITS
+) -> Column:
+    """Whether the draw of a digest falls into one split."""
+    names = [name for name, _ in splits]
+    edges = [0.0]
+    for _, share in splits:
+        edges.append(round(edges[-1] + share, 12))
+    at = names.index(split)
+    tests = []
+    if at > 0:
+        tests.append(digest >= F.lit(digest_edge(edges[at])))
+    if at < len(names) - 1:
+        tests.append(digest < F.lit(digest_edge(edges[at + 1])))
+    return tests[0] & tests[1] if len(tests) == 2 else tests[0] if tests else F.lit(True)
+
+
 def switch(value: Column) -> Column:
     """True for an accepted 'on' spelling, false for anything else, null included."""
     return F.coalesce(F.lower(F.trim(value)).isin(*SWITCH_ON), F.lit(False))

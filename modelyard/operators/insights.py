@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..spec import FeatureSpec
 from .position import hash_position, running_total
@@ -238,10 +238,8 @@ def counterfactuals(
 def counterfactual_importance(found: DataFrame) -> DataFrame:
     """Share of the chosen counterfactuals that change each feature."""
     per_feature = found.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    total = per_feature.agg(F.sum("n")).scalar()
-    return per_feature.withColumn("_total", total).select(
-        "feature", "n", (F.col("n") / F.col("_total")).alias("share")
-    )
+    whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # one row per feature
+    return per_feature.select("feature", "n", (F.col("n") / F.sum("n").over(whole)).alias("share"))
 
 
 def gather(parts: Mapping[str, DataFrame]) -> DataFrame:

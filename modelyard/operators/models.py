@@ -25,14 +25,14 @@ _SUBSETS = {"auto": "all", "sqrt": "sqrt", "log2": "log2", None: "all"}
 
 @dataclass(frozen=True)
 class LinearBaseline:
-    """Least-squares line in one feature; the parameters are columns."""
+    """Least-squares line in one feature."""
 
     feature: str
-    slope: Column
-    intercept: Column
+    slope: float
+    intercept: float
 
     def at(self, value: Column) -> Column:
-        return self.slope * value.cast("double") + self.intercept
+        return value.cast("double") * self.slope + self.intercept
 
     def predict(self) -> Column:
         return self.at(F.col(self.feature))
@@ -59,28 +59,11 @@ def baseline_parameters(train: DataFrame, features: Sequence[str], target: str)
 
 
 def fit_baselines(
-    train: DataFrame, features: Sequence[str], target: str, freeze: bool = False
+    train: DataFrame, features: Sequence[str], target: str
 ) -> dict[str, LinearBaseline]:
-    """One closed-form line per feature, all from a single aggregation.
-
-    The one-row result stays in the plan as a scalar subquery; with `freeze` it is
-    read once and becomes literals, as a stream needs.
-    """
-    lines = [line.alias(f) for f, line in _line_columns(features, target).items()]
-    fitted = train.agg(F.struct(*lines).alias("lines"))
-    if freeze:
-        row = fitted.first()["lines"]
-        return {
-            f: LinearBaseline(f, F.lit(row[f]["slope"]), F.lit(row[f]["intercept"]))
-            for f in features
-        }
-    lines_col = fitted.scalar()
-    return {
-        f: LinearBaseline(
-            f, lines_col.getField(f).getField("slope"), lines_col.getField(f).getField("intercept")
-        )
-        for f in features
-    }
+    """One closed-form line per feature, all from a single aggregation to one row."""
+    rows = baseline_parameters(train, features, target).collect()
+    return {r["feature"]: LinearBaseline(r["feature"], r["slope"], r["intercept"]) for r in rows}
 
 
 def blend(models: Sequence[LinearBaseline]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import lcs
 from ..functions import text as tx
-from ..functions.scalar import key_text, percent4
+from ..functions.scalar import digest_edge, key_text, percent4
 
 
 def _share(top: Column, bottom: Column) -> Column:
@@ -28,7 +28,13 @@ def rouge_n(
     Both sides are spread out from the same row and counted together, so there is
     no join: grams are summed per task first, then per (key, gram), then per key.
     """
-    cand, ref = tx.words(F.col(candidate)), tx.words(F.col(reference))
+    # Tokens become columns first: inside a lambda they would be cut out again per gram.
+    none = F.array().cast("array<string>")
+    tokens = pairs.select(
+        *key,
+        F.coalesce(tx.words(F.col(candidate)), none).alias("_cand"),
+        F.coalesce(tx.words(F.col(reference)), none).alias("_ref"),
+    )
 
     def tagged(tokens: Column, n: int, c: int) -> Column:
         return F.transform(
@@ -49,11 +55,10 @@ def rouge_n(
             for n in orders
         ]
     )
-    grams = [tagged(cand, n, 1) for n in orders] + [tagged(ref, n, 0) for n in orders]
-    none = F.array().cast(
-        "array<struct<order:int,gram:string,c:int,r:int>>"
-    )
-    spread = pairs.select(*key, F.inline(F.concat(blank, *[F.coalesce(g, none) for g in grams])))
+    grams = [tagged(F.col("_cand"), n, 1) for n in orders] + [
+        tagged(F.col("_ref"), n, 0) for n in orders
+    ]
+    spread = tokens.select(*key, F.inline(F.concat(blank, *grams)))
     per_gram = spread.groupBy(*key, "order", "gram").agg(F.sum("c").alias("c"), F.sum("r").alias("r"))
     per_key = per_gram.groupBy(*key, "order").agg(
         F.sum(F.least("c", "r")).alias("both"), F.sum("c").alias("c"), F.sum("r").alias("r")
@@ -138,9 +143,10 @@ def bootstrap_mid(
         F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"),
     )
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("replicate").cast("string"), "_key"))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
-    weighted = spread.withColumn("_u", draw)
-    weight = sum(((F.col("_u") >= cut).cast("int") for cut in poisson_cuts()), F.lit(0))
+    weighted = spread.withColumn("_u", digest)
+    weight = sum(
+        ((F.col("_u") >= digest_edge(cut)).cast("int") for cut in poisson_cuts()), F.lit(0)
+    )
     means = (
         weighted.withColumn("_w", weight)
         .groupBy("replicate")

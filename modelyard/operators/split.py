@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.scalar import DEFAULT_SPLITS, split_label, unit_draw
+from ..functions.scalar import DEFAULT_SPLITS, in_split, key_digest, split_label
 from .position import hash_position, ordered_position
 
 
@@ -22,7 +22,18 @@ def hash_split(
     Row-local: no shuffle, the same answer under any partitioning, and all rows
     of one key land in one split.
     """
-    return df.withColumn(name, split_label(unit_draw(key, seed), splits))
+    return df.withColumn(name, split_label(key_digest(key, seed), splits))
+
+
+def split_rows(
+    df: DataFrame,
+    key: Sequence[str],
+    split: str,
+    splits: Sequence[tuple[str, float]] = DEFAULT_SPLITS,
+    seed: object = None,
+) -> DataFrame:
+    """Only the rows of one split: a plain range filter, pushed below joins on the key."""
+    return df.where(in_split(key_digest(key, seed), split, splits))
 
 
 def random_split(

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import calendar_parts
-from ..session import tune
+from ..session import spread, tune
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -38,8 +38,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
+    """A driver table; `spread_by` names keys to spread a small scan by."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, *spread_by) if spread_by else rows
 
 
 # --- trips: lineitem joined with orders ------------------------------------
@@ -47,7 +49,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in the role of trips; the order key keeps a trip's lines together."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return joined.select(
         F.col("l_orderkey").alias("order_id"),
@@ -114,7 +117,7 @@ SPLIT_TRIPS_SQL = f"{TRIPS_SQL}, parts AS (SELECT *, {split_sql('order_id')} AS
 
 def dialogue_pairs(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     """(conv_id, turn, candidate, reference); both key columns spread hot dialogues."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn")
     asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("candidate"))
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import insights as ins
 from ..operators import models as md
 from .base import SPLIT_TRIPS_SQL, query
-from .tabular import FOREST_FEATURES, FOREST_SIZE, split_trips
+from .tabular import FOREST_FEATURES, FOREST_SIZE, train_and_test
 
 _LINES_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT regr_slope(cost, distance) AS s1, regr_intercept(cost, distance) AS i1,
     regr_slope(cost, passengers) AS s2, regr_intercept(cost, passengers) AS i2 FROM parts WHERE split = 'train'),
@@ -17,11 +17,8 @@ _LINES_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT regr_slope(cost, distance) AS
 
 def _blended(spark, d, *columns):
     """Test trips with the blend of the distance and the passenger line."""
-    parts = split_trips(spark, d, "trip_id", "distance", "passengers", "cost", *columns)
-    lines = md.fit_baselines(
-        parts.where(F.col("split") == "train"), ["distance", "passengers"], "cost", freeze=True
-    )
-    return parts.where(F.col("split") == "test"), lines
+    train, test = train_and_test(spark, d, "trip_id", "distance", "passengers", "cost", *columns)
+    return test, md.fit_baselines(train, ["distance", "passengers"], "cost")
 
 
 def _scored(spark, d):
@@ -53,14 +50,14 @@ def permutation_importance(spark, d):
 @query("forest_importance_i2")
 def forest_importance(spark, d):
     """Permutation importance of every feature of a fitted forest."""
-    parts = split_trips(spark, d, "trip_id", *FOREST_FEATURES.columns)
-    model = md.fit_forest(parts.where(F.col("split") == "train"), FOREST_FEATURES, **FOREST_SIZE)
+    train, test = train_and_test(spark, d, "trip_id", *FOREST_FEATURES.columns)
+    model = md.fit_forest(train, FOREST_FEATURES, **FOREST_SIZE)
 
     def predict(df, out):
         return md.predict(model, df).withColumnRenamed("prediction", out)
 
     return ins.permutation_importance(
-        parts.where(F.col("split") == "test"), ["trip_id"], FOREST_FEATURES.features, "cost", predict
+        test, ["trip_id"], FOREST_FEATURES.features, "cost", predict
     )
 
 

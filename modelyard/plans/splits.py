@@ -177,8 +177,8 @@ def worker_shards(spark, d):
         WHERE split = 'val'""",
 )
 def validation_replicas(spark, d):
-    parts = sp.hash_split(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"])
-    return sp.replicate(parts.where(F.col("split") == "val").drop("split"), WORKERS)
+    orders = table(spark, d, "orders").select("o_orderkey")
+    return sp.replicate(sp.split_rows(orders, ["o_orderkey"], "val"), WORKERS)
 
 
 TRAIN_BATCH, PREDICT_BATCH = 64, 256

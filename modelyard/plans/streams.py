@@ -11,7 +11,7 @@ from ..streaming import monitoring as sm
 from ..streaming import scoring as ss
 from .base import SPLIT_TRIPS_SQL, query, table
 from .splits import EVENT_TYPES
-from .tabular import _request_pairs, split_trips
+from .tabular import _request_pairs, train_and_test
 
 
 @query(
@@ -22,8 +22,8 @@ from .tabular import _request_pairs, split_trips
 )
 def streaming_scoring(spark, d):
     """Request files streamed through parsing and the fitted line."""
-    train = split_trips(spark, d, "distance", "cost").where(F.col("split") == "train")
-    line = md.fit_baselines(train, ["distance"], "cost", freeze=True)["distance"]
+    train, _ = train_and_test(spark, d, "distance", "cost")
+    line = md.fit_baselines(train, ["distance"], "cost")["distance"]
     inbox, out = workspace(spark, "requests"), workspace(spark, "scores")
     _request_pairs(spark, d).select("positional").write.text(inbox)
     running = ss.score_stream(

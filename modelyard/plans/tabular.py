@@ -39,17 +39,24 @@ def rounded(metrics, *keep):
 _ROUND_SQL = "n, round(mse, 0) AS mse, round(rmse, 2) AS rmse, round(mae, 2) AS mae, round(r2, 6) AS r2"
 
 
+ORDER = ["order_id"]  # a trip's lines share the split of their order
+
+
 def split_trips(spark, d, *columns):
-    """Contract columns needed by a query, labelled with the split of their order."""
-    return sp.hash_split(trips(spark, d).select("order_id", *columns), ["order_id"])
+    """Contract columns needed by a query, labelled with their split."""
+    return sp.hash_split(trips(spark, d).select("order_id", *columns), ORDER)
+
+
+def train_and_test(spark, d, *columns):
+    rows = trips(spark, d).select("order_id", *columns)
+    return sp.split_rows(rows, ORDER, "train"), sp.split_rows(rows, ORDER, "test")
 
 
 def scored_test(spark, d, *keep):
     """Test trips with the prediction of the line fitted on the training trips."""
     columns = dict.fromkeys(("distance", "cost", *keep))
-    parts = split_trips(spark, d, *columns)
-    model = md.fit_baselines(parts.where(F.col("split") == "train"), ["distance"], "cost")["distance"]
-    test = parts.where(F.col("split") == "test")
+    train, test = train_and_test(spark, d, *columns)
+    model = md.fit_baselines(train, ["distance"], "cost")["distance"]
     return test.withColumn("prediction", model.predict())
 
 
@@ -203,7 +210,7 @@ def regression_metrics(spark, d):
            round(regr_intercept(cost, passengers), 3) FROM f""",
 )
 def linear_baseline(spark, d):
-    train = split_trips(spark, d, "distance", "passengers", "cost").where(F.col("split") == "train")
+    train, _ = train_and_test(spark, d, "distance", "passengers", "cost")
     lines = md.baseline_parameters(train, ["distance", "passengers"], "cost")
     return lines.select(
         "feature", F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept")
@@ -215,11 +222,11 @@ _LINES = ("distance", "passengers", "pickup_latitude", "dropoff_latitude")
 
 def _versions(spark, d):
     """Test trips scored by every version: one line per feature, and their blend."""
-    parts = split_trips(spark, d, *_LINES, "cost", "trip_id")
-    lines = md.fit_baselines(parts.where(F.col("split") == "train"), _LINES, "cost")
+    train, test = train_and_test(spark, d, *_LINES, "cost", "trip_id")
+    lines = md.fit_baselines(train, _LINES, "cost")
     versions = {str(i + 1): lines[f].predict() for i, f in enumerate(_LINES)}
     versions["current"] = md.blend(list(lines.values()))
-    return md.score_versions(parts.where(F.col("split") == "test"), versions, ["trip_id", "cost"])
+    return md.score_versions(test, versions, ["trip_id", "cost"])
 
 
 _VERSIONS_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT
@@ -278,14 +285,12 @@ def prediction_histogram(spark, d):
 )
 def batch_scoring(spark, d):
     """Files of trips in, appended predictions out; file and key are kept."""
-    parts = split_trips(spark, d, "trip_id", *TRIPS.columns)
-    line = md.fit_baselines(
-        parts.where(F.col("split") == "train"), ["distance"], "cost", freeze=True
-    )["distance"]
-    keyed = parts.select(F.col("trip_id").alias("trip_key"), *TRIPS.features)
+    rows = trips(spark, d)
+    line = md.fit_baselines(sp.split_rows(rows, ORDER, "train"), ["distance"], "cost")["distance"]
+    keyed = rows.select(F.col("trip_id").alias("trip_key"), *TRIPS.features)
     files = tb.write_csv(keyed, workspace(spark, "inbox"))
-    rows = tb.read_scoring_files(spark, files).where("valid")
-    scored = rows.select("file_path", "trip_key", line.predict().alias("predicted_label"))
+    valid = tb.read_scoring_files(spark, files).where("valid")
+    scored = valid.select("file_path", "trip_key", line.predict().alias("predicted_label"))
     out = tb.append_predictions(scored, workspace(spark, "outbox"))
     back = spark.read.option("header", True).csv(out)
     return back.agg(
@@ -322,22 +327,20 @@ FOREST_SIZE = {"n_estimators": 10, "max_depth": 5}
 @query("forest_workflow_m1")
 def forest_workflow(spark, d):
     """Fit a forest on the training trips, measure it on the test trips."""
-    parts = split_trips(spark, d, *FOREST_FEATURES.columns)
-    model = md.fit_forest(parts.where(F.col("split") == "train"), FOREST_FEATURES, **FOREST_SIZE)
-    scored = md.predict(model, parts.where(F.col("split") == "test"))
+    train, test = train_and_test(spark, d, *FOREST_FEATURES.columns)
+    model = md.fit_forest(train, FOREST_FEATURES, **FOREST_SIZE)
+    scored = md.predict(model, test)
     return mt.regression_metrics(scored, "cost", "prediction")
 
 
 @query("forest_versions_m3")
 def forest_versions(spark, d):
     """Save two forests, load them back and score the test trips with both."""
-    parts = split_trips(spark, d, "trip_id", *FOREST_FEATURES.columns)
-    train = parts.where(F.col("split") == "train")
+    train, test = train_and_test(spark, d, "trip_id", *FOREST_FEATURES.columns)
     models = {}
     for version, subset in (("1", "sqrt"), ("2", "auto")):
         fitted = md.fit_forest(train, FOREST_FEATURES, max_features=subset, n_estimators=3, max_depth=4)
         models[version] = md.load_model(md.save_model(fitted, workspace(spark, f"forest-{version}")))
-    test = parts.where(F.col("split") == "test")
     scored = md.predict_versions(test, models, FOREST_FEATURES, ["trip_id", "cost"])
     return md.version_metrics(scored, "cost")
 

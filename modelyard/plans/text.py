@@ -25,7 +25,7 @@ _WORDS = "regexp_extract_all(lower({}), '[a-z0-9]+')"
 )
 def named_splits(spark, d):
     """A corpus kept as one JSON dataset per split, read back as one table."""
-    parts = sp.hash_split(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"])
+    parts = sp.hash_split(table(spark, d, "documents", "doc_id").select("doc_id", "text"), ["doc_id"])
     out = workspace(spark, "corpus")
     parts.write.partitionBy("split").json(out)
     paths = {s: f"{out}/split={s}" for s in ("train", "val", "test")}
@@ -37,7 +37,7 @@ def named_splits(spark, d):
 
 @query("text_prefix_f1", "SELECT doc_id, 'summarize: ' || text AS text FROM documents")
 def text_prefix(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
+    return table(spark, d, "documents", "doc_id").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
 
 
 @query(
@@ -46,7 +46,7 @@ def text_prefix(spark, d):
         '([.!?])[ \t\n\r\f]+', '\1' || chr(10), 'g') AS lines FROM documents""",
 )
 def sentence_lines(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.sentence_lines(F.col("text")).alias("lines"))
+    return table(spark, d, "documents", "doc_id").select("doc_id", tx.sentence_lines(F.col("text")).alias("lines"))
 
 
 @query(
@@ -56,7 +56,7 @@ def sentence_lines(spark, d):
 )
 def word_tokens(spark, d):
     tokens = tx.words(F.col("text"))
-    return table(spark, d, "documents").select(
+    return table(spark, d, "documents", "doc_id").select(
         "doc_id", F.size(tokens).cast("bigint").alias("words"), F.array_join(tokens, " ").alias("tokens")
     )
 
@@ -68,8 +68,8 @@ _TRAIN_DOCS_SQL = f"train AS (SELECT * FROM documents WHERE {split_sql('doc_id')
 
 
 def _train_documents(spark, d):
-    documents = table(spark, d, "documents").select("doc_id", "text")
-    return sp.hash_split(documents, ["doc_id"]).where(F.col("split") == "train")
+    documents = table(spark, d, "documents", "doc_id").select("doc_id", "text")
+    return sp.split_rows(documents, ["doc_id"], "train")
 
 
 @query(
@@ -94,11 +94,11 @@ def _top_words(spark, d):
 
 def _coded_sql(texts: str, limit: int) -> str:
     """Ids of texts(key, side, words) cut to the limit, with the end marker."""
-    return f"""(SELECT key, side, list_append(coalesce(list(coalesce(id, 2) ORDER BY at) FILTER (at IS NOT NULL), []), 1) AS ids
-      FROM (SELECT key, side, at, id FROM (
-        SELECT key, side, unnest(CASE WHEN len(words) = 0 THEN [NULL] ELSE range(1, len(words) + 1) END) AS at, words
+    return f"""(SELECT key, side, list_append(coalesce(list(coalesce(id, 2) ORDER BY pos) FILTER (pos IS NOT NULL), []), 1) AS ids
+      FROM (SELECT key, side, pos, id FROM (
+        SELECT key, side, unnest(CASE WHEN len(words) = 0 THEN [NULL] ELSE range(1, len(words) + 1) END) AS pos, words
         FROM (SELECT key, side, words[1:{limit - 1}] AS words FROM {texts})) t
-        LEFT JOIN top ON top.token = t.words[t.at]) GROUP BY key, side)"""
+        LEFT JOIN top ON top.token = t.words[t.pos]) GROUP BY key, side)"""
 
 
 @query(
@@ -108,7 +108,7 @@ def _coded_sql(texts: str, limit: int) -> str:
 )
 def encode_documents(spark, d):
     """Whole texts to id sequences of at most 512 with an end marker."""
-    texts = table(spark, d, "documents").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
+    texts = table(spark, d, "documents", "doc_id").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
     coded = en.token_ids(
         texts, ["doc_id"], {"ids": ("text", tx.MAX_INPUT)}, _top_words(spark, d), WORDS_KEPT
     )
@@ -182,15 +182,15 @@ def truncate_pad_mask(spark, d):
 @query(
     "decode_ids_f7",
     f"""WITH {_TOP_SQL}, texts AS (SELECT doc_id, {_WORDS.format('text')}[1:{tx.MAX_INPUT - 1}] AS words FROM documents),
-    spread AS (SELECT doc_id, unnest(words) AS token, generate_subscripts(words, 1) AS at FROM texts),
-    kept AS (SELECT doc_id, string_agg(s.token, ' ' ORDER BY at) AS text FROM spread s JOIN top ON top.token = s.token GROUP BY 1)
+    spread AS (SELECT doc_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM texts),
+    kept AS (SELECT doc_id, string_agg(s.token, ' ' ORDER BY pos) AS text FROM spread s JOIN top ON top.token = s.token GROUP BY 1)
     SELECT t.doc_id, coalesce(k.text, '') AS text FROM texts t LEFT JOIN kept k USING (doc_id)""",
 )
 def decode_ids(spark, d):
     """Documents to padded, masked ids and back; special ids vanish."""
     words = _top_words(spark, d)
     coded = en.token_ids(
-        table(spark, d, "documents").select("doc_id", "text"), ["doc_id"],
+        table(spark, d, "documents", "doc_id").select("doc_id", "text"), ["doc_id"],
         {"ids": ("text", tx.MAX_INPUT)}, words, WORDS_KEPT,
     )
     padded = coded.select("doc_id", tx.mask_padding(tx.pad(F.col("ids"), tx.MAX_INPUT)).alias("ids"))
@@ -204,7 +204,7 @@ def decode_ids(spark, d):
 )
 def token_lookup(spark, d):
     """Every token of every document against a vocabulary of fixed size."""
-    tokens = table(spark, d, "documents").select(F.explode(tx.words(F.col("text"))).alias("token"))
+    tokens = table(spark, d, "documents", "doc_id").select(F.explode(tx.words(F.col("text"))).alias("token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     coded = en.bounded_lookup(counts, _top_words(spark, d).select("token", "id"), ["token"], WORDS_KEPT)
     return coded.groupBy(F.coalesce("id", F.lit(tx.UNK)).alias("id")).agg(F.sum("n").alias("n"))
@@ -270,7 +270,7 @@ def rouge_corpus(spark, d):
 def rouge_benchmark(spark, d):
     """Documents of any length against the benchmark text with the same number."""
     targets = table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("reference"))
-    documents = table(spark, d, "documents").select("doc_id", F.col("text").alias("candidate"))
+    documents = table(spark, d, "documents", "doc_id").select("doc_id", F.col("text").alias("candidate"))
     scores = rg.rouge_n(documents.join(targets, "doc_id"), ["doc_id"], "candidate", "reference")
     return scores.select(
         "doc_id", "order", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")]
@@ -335,5 +335,5 @@ def batched_map(spark, d):
     def measure(frame):
         return frame.assign(characters=frame["text"].str.len())[["doc_id", "characters"]]
 
-    rows = table(spark, d, "documents").select("doc_id", "text")
+    rows = table(spark, d, "documents", "doc_id").select("doc_id", "text")
     return apply_batches(rows, measure, "doc_id bigint, characters bigint")

@@ -26,6 +26,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer input splits than the cluster has cores.
+
+    Meant for scans that feed CPU-heavy expressions. A large input has more splits
+    than cores and is returned as it is, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 

@@ -37,21 +37,25 @@ def split_oriented_rows(
     """{"input_data": {"columns", "index", "data"}}: values are selected by name."""
     shape = "input_data struct<columns:array<string>,index:array<bigint>,data:array<array<double>>>"
     body = F.from_json(F.col(raw), shape)["input_data"]
-    rows = requests.select(*keep, body.alias("_b")).select(
-        *keep, F.col("_b.columns").alias("_columns"),
-        F.inline(F.arrays_zip(F.col("_b.index").alias("index"), F.col("_b.data").alias("data"))),
+    parsed = requests.select(*keep, body.alias("_b"))
+
+    # The places are found once per request, not once per row.
+    names = F.array(*map(F.lit, spec.features))
+    at = F.transform(names, lambda n: F.array_position(F.col("_b.columns"), n).cast("int"))
+    placed = parsed.withColumn("_at", at)
+    absent = F.array_join(F.array_except(names, "_b.columns"), ", ")
+    problem = F.concat(F.lit("request lacks columns: "), absent)
+    complete = F.when(F.array_min("_at") > 0, F.col("_at")).otherwise(
+        F.raise_error(problem).cast("array<int>")
     )
-    named = rows.withColumn("_named", F.map_from_arrays("_columns", "data"))
-
-    def pick(name: str) -> Column:
-        problem = F.lit(f"request has no column {name}")
-        return F.when(
-            F.map_contains_key("_named", name), F.col("_named")[name]
-        ).otherwise(F.raise_error(problem).cast("double"))
-
-    return named.select(
-        *keep, F.col("index").alias("row"), *[pick(f).alias(f) for f in spec.features]
+    rows = placed.select(
+        *keep, complete.alias("_at"),
+        F.inline(F.arrays_zip(F.col("_b.index").alias("index"), F.col("_b.data").alias("data"))),
     )
+    values = [
+        F.element_at("data", F.col("_at").getItem(i)).alias(f) for i, f in enumerate(spec.features)
+    ]
+    return rows.select(*keep, F.col("index").alias("row"), *values)
 
 
 def request_text(raw: Column) -> Column:
