@@ -145,7 +145,8 @@ def error_analysis(
     cells = df.groupBy(*bins).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(error * error).alias("_se")
     )
-    total = cells.agg(F.sum("_se")).scalar()
+    # The total asks for the same columns as the cube, so both share one shuffle.
+    total = cells.agg(F.struct(F.sum("_n").alias("n"), F.sum("_se").alias("se"))).scalar()
     return (
         cells.cube(*names)
         .agg(F.sum("_n").alias("n"), F.sum("_se").alias("_se"))
@@ -153,7 +154,7 @@ def error_analysis(
         .select(
             *names, "n",
             (F.col("_se") / F.col("n")).alias("mse"),
-            F.coalesce(F.try_divide(F.col("_se"), F.col("_total")), F.lit(0.0)).alias("error_share"),
+            F.coalesce(F.try_divide(F.col("_se"), F.col("_total.se")), F.lit(0.0)).alias("error_share"),
         )
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -118,7 +119,11 @@ def fit_forest(
         maxMemoryInMB=512,
     )
     spec.require(train)
-    return Pipeline(stages=[assembler(spec), forest]).fit(train.select(*spec.columns))
+    rows = train.select(*spec.columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # the fit reads its input several times before it keeps its own copy
+        return Pipeline(stages=[assembler(spec), forest]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

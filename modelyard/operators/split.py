@@ -31,9 +31,14 @@ def split_rows(
     split: str,
     splits: Sequence[tuple[str, float]] = DEFAULT_SPLITS,
     seed: object = None,
+    rest: bool = False,
 ) -> DataFrame:
-    """Only the rows of one split: a plain range filter, pushed below joins on the key."""
-    return df.where(in_split(key_digest(key, seed), split, splits))
+    """Only the rows of one split, or with `rest` all the others.
+
+    A plain range filter on the key, which Catalyst pushes below joins on it.
+    """
+    inside = in_split(key_digest(key, seed), split, splits)
+    return df.where(~inside if rest else inside)
 
 
 def random_split(
@@ -77,16 +82,16 @@ def shard_rows(df: DataFrame, key: Sequence[str], workers: int, epoch: int = 0)
     The order is a shuffle seeded by the epoch. Positions wrap around until every
     shard has ceil(rows / workers) rows; worker r gets positions r, r + W, ...
     """
-    rows = df.select(*key).agg(F.count(F.lit(1)).alias("n"))
-    padded = rows.select((F.ceil(F.col("n") / workers) * workers).cast("bigint")).scalar()
-    total = rows.scalar()
-    placed = hash_position(df, key, seed=epoch, name="_first").withColumns(
-        {"_total": total, "_padded": padded}
+    n = F.count(F.lit(1))
+    size = df.select(*key).agg(
+        F.struct(n.alias("rows"), (F.ceil(n / workers) * workers).cast("bigint").alias("padded"))
     )
+    placed = hash_position(df, key, seed=epoch, name="_first").withColumn("_size", size.scalar())
+    turns = F.sequence(F.col("_first"), F.col("_size.padded"), F.col("_size.rows"))
     return (
-        placed.withColumn("position", F.explode(F.expr("sequence(_first, _padded, _total)")))
+        placed.withColumn("position", F.explode(turns))
         .withColumn("shard", F.pmod(F.col("position") - 1, F.lit(workers)).cast("int"))
-        .drop("_first", "_total", "_padded")
+        .drop("_first", "_size")
     )
 
 

@@ -26,15 +26,19 @@ def _scored(spark, d):
     return test.withColumn("prediction", md.blend(list(lines.values()))), lines
 
 
+_ERRORS_SQL = """SELECT avg((cost - prediction) ** 2) AS mse,
+  avg((cost - (s1 * dd + i1 + s2 * passengers + i2) / 2.0) ** 2) AS m1,
+  avg((cost - (s1 * distance + i1 + s2 * dp + i2) / 2.0) ** 2) AS m2 FROM r JOIN o USING (p), fit"""
+_IMPORTANCE_SQL = """SELECT 'distance' AS feature, round(mse, 0) AS mse, round(m1, 0) AS permuted_mse,
+  round(m1 - mse, 0) AS importance FROM e
+  UNION ALL SELECT 'passengers', round(mse, 0), round(m2, 0), round(m2 - mse, 0) FROM e"""
+
+
 @query(
     "permutation_importance_i2",
     f"""WITH {_LINES_SQL}, r AS (SELECT *, row_number() OVER (ORDER BY md5('0-rows|' || trip_id), trip_id) AS p FROM test),
     o AS (SELECT distance AS dd, passengers AS dp, row_number() OVER (ORDER BY md5('0-donors|' || trip_id), trip_id) AS p FROM test),
-    e AS (SELECT avg((cost - prediction) ** 2) AS mse,
-            avg((cost - (s1 * dd + i1 + s2 * passengers + i2) / 2.0) ** 2) AS m1,
-            avg((cost - (s1 * distance + i1 + s2 * dp + i2) / 2.0) ** 2) AS m2 FROM r JOIN o USING (p), fit)
-    SELECT 'distance' AS feature, round(mse, 0) AS mse, round(m1, 0) AS permuted_mse, round(m1 - mse, 0) AS importance FROM e
-    UNION ALL SELECT 'passengers', round(mse, 0), round(m2, 0), round(m2 - mse, 0) FROM e""",
+    e AS ({_ERRORS_SQL}) {_IMPORTANCE_SQL}""",
 )
 def permutation_importance(spark, d):
     test, lines = _blended(spark, d)
@@ -61,11 +65,11 @@ def forest_importance(spark, d):
     )
 
 
-def _causal_sql(treatment: str, other: str) -> str:
+def _causal_sql(treatment: str, other: str, source: str = "trips") -> str:
     cell = f"store_forward, vendor, {other}"
     return f"""SELECT store_forward, vendor, '{treatment}' AS treatment,
         cost - avg(cost) OVER (PARTITION BY {cell}) AS y,
-        {treatment} - avg({treatment}) OVER (PARTITION BY {cell}) AS t FROM trips"""
+        {treatment} - avg({treatment}) OVER (PARTITION BY {cell}) AS t FROM {source}"""
 
 
 def _segments_sql(source: str) -> str:
@@ -97,13 +101,13 @@ _causal_query("distance", "passengers")
 _causal_query("passengers", "distance")
 
 
-@query(
-    "error_analysis_i4",
-    f"""WITH {_LINES_SQL}, c AS (SELECT CAST(floor(distance / 10) AS BIGINT) AS distance_bin,
-        CAST(floor(passengers / 2) AS BIGINT) AS passengers_bin, (cost - prediction) ** 2 AS se FROM test)
-    SELECT distance_bin, passengers_bin, count(*) AS n, round(avg(se), 0) AS mse,
-        round(sum(se) / (SELECT sum(se) FROM c), 6) AS error_share FROM c GROUP BY CUBE (distance_bin, passengers_bin)""",
-)
+_BINS_SQL = """SELECT CAST(floor(distance / 10) AS BIGINT) AS distance_bin,
+  CAST(floor(passengers / 2) AS BIGINT) AS passengers_bin, (cost - prediction) ** 2 AS se FROM test"""
+_CUBE_SQL = """SELECT distance_bin, passengers_bin, count(*) AS n, round(avg(se), 0) AS mse,
+  round(sum(se) / (SELECT sum(se) FROM b), 6) AS error_share FROM b GROUP BY CUBE (distance_bin, passengers_bin)"""
+
+
+@query("error_analysis_i4", f"WITH {_LINES_SQL}, b AS ({_BINS_SQL}) {_CUBE_SQL}")
 def error_analysis(spark, d):
     scored, _ = _scored(spark, d)
     cube = ins.error_analysis(scored, "cost", "prediction", {"distance": 10.0, "passengers": 2.0})
@@ -159,7 +163,29 @@ def counterfactual_importance(spark, d):
     return shares.withColumn("share", F.round("share", 6))
 
 
-@query("gathered_insights_i6")
+_GATHERED_COLUMNS = (
+    "insight", "n", "feature", "mse", "permuted_mse", "importance", "treatment", "segment", "level",
+    "effect", "distance_bin", "passengers_bin", "error_share",
+)
+
+
+def _tagged_sql(insight: str, source: str, columns: str) -> str:
+    named = set(columns.split(", "))
+    shown = [c if c in named else f"NULL AS {c}" for c in _GATHERED_COLUMNS[1:]]
+    return f"SELECT '{insight}' AS insight, {', '.join(shown)} FROM ({source})"
+
+
+_GATHERED_SQL = f"""WITH {_LINES_SQL},
+  r AS (SELECT *, row_number() OVER (ORDER BY md5('0-rows|' || trip_id), trip_id) AS p FROM test),
+  o AS (SELECT distance AS dd, passengers AS dp, row_number() OVER (ORDER BY md5('0-donors|' || trip_id), trip_id) AS p FROM test),
+  e AS ({_ERRORS_SQL}), c AS ({_causal_sql('distance', 'passengers', 'test')}), b AS ({_BINS_SQL})
+  {_tagged_sql('constructor', 'SELECT count(*) AS n FROM test', 'n')}
+  UNION ALL {_tagged_sql('explanation', _IMPORTANCE_SQL, 'feature, mse, permuted_mse, importance')}
+  UNION ALL {_tagged_sql('causal', _segments_sql('c'), 'n, treatment, segment, level, effect')}
+  UNION ALL {_tagged_sql('error_analysis', _CUBE_SQL, 'n, mse, distance_bin, passengers_bin, error_share')}"""
+
+
+@query("gathered_insights_i6", _GATHERED_SQL)
 def gathered_insights(spark, d):
     """Constructor, explanation, causal effect and error analysis as one table."""
     test, lines = _blended(spark, d, *[c for c in FOREST_FEATURES.features if c not in ("distance", "passengers")])
@@ -168,7 +194,7 @@ def gathered_insights(spark, d):
         test.withColumn("prediction", model), FOREST_FEATURES, ["store_forward", "vendor"],
         title="Fare prediction",
     )
-    return ins.gather(
+    gathered = ins.gather(
         {
             "constructor": context.scored.agg(F.count(F.lit(1)).alias("n")),
             "explanation": ins.permutation_importance(
@@ -184,3 +210,7 @@ def gathered_insights(spark, d):
             ),
         }
     )
+    digits = {"mse": 0, "permuted_mse": 0, "importance": 0, "effect": 3, "error_share": 6}
+    return gathered.select(
+        *[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in _GATHERED_COLUMNS]
+    )

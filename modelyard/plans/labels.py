@@ -150,9 +150,8 @@ _EVENTS_SQL = f"""parts AS (SELECT event_id, event_type, hour(ts) AS h, {split_s
 
 def _scored_events(spark, d):
     events = table(spark, d, "events").select("event_id", "event_type", F.hour("ts").alias("h"))
-    parts = sp.hash_split(events, ["event_id"])
-    rule = md.majority_class(parts.where(F.col("split") == "train"), ["h"], "event_type")
-    rest = parts.where(F.col("split") != "train")
+    rule = md.majority_class(sp.split_rows(events, ["event_id"], "train"), ["h"], "event_type")
+    rest = sp.split_rows(events, ["event_id"], "train", rest=True)
     return rest.join(F.broadcast(rule), "h").select(
         "event_id", F.col("event_type").alias("real"), "predicted"
     )
@@ -258,8 +257,9 @@ def prediction_batches(spark, d):
 @query("linear_probe_m9")
 def linear_probe(spark, d):
     """Linear head on frozen embeddings, measured on the held-out vectors."""
-    parts = sp.hash_split(table(spark, d, "embeddings"), ["vec_id"], (("train", 0.7), ("test", 0.3)))
-    train, test = (parts.where(F.col("split") == s) for s in ("train", "test"))
+    halves = (("train", 0.7), ("test", 0.3))
+    vectors = table(spark, d, "embeddings", "vec_id")
+    train, test = (sp.split_rows(vectors, ["vec_id"], s, halves) for s in ("train", "test"))
     probe = md.fit_linear_probe(train, "embedding", "label", max_iter=20, reg=0.01)
     scored = probe.transform(md.with_vector(test, "embedding"))
     counts = mt.confusion_counts(
@@ -368,7 +368,7 @@ def io_delta(spark, d):
     "epoch_throughput_a18",
     f"""WITH e AS (SELECT user_id, count(*) AS n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0 AS s
         FROM events GROUP BY 1)
-    SELECT user_id, round(s / 60 / 5, 6) AS minutes_per_epoch, round(n / nullif(s, 0), 9) AS samples_per_second FROM e""",
+    SELECT user_id, round(s / 60 / 5, 4) AS minutes_per_epoch, round(n / nullif(s, 0), 9) AS samples_per_second FROM e""",
 )
 def epoch_throughput(spark, d):
     events = table(spark, d, "events")
@@ -378,7 +378,7 @@ def epoch_throughput(spark, d):
     )
     return spans.select(
         "user_id",
-        F.round(mt.epoch_minutes(F.col("s"), 5), 6).alias("minutes_per_epoch"),
+        F.round(mt.epoch_minutes(F.col("s"), 5), 4).alias("minutes_per_epoch"),
         F.round(mt.throughput(F.col("n"), F.col("s")), 9).alias("samples_per_second"),
     )
 

@@ -56,9 +56,9 @@ _PSI_SQL = " + ".join(
     SELECT CAST(a.day AS INTEGER) AS day, a.n, round({_PSI_SQL}, 6) AS psi FROM a, e""",
 )
 def drift_scores(spark, d):
-    parts = sp.hash_split(table(spark, d, "events").select("event_id", "ts", "value"), ["event_id"])
-    train = parts.where(F.col("split") == "train")
-    later = parts.where(F.col("split") != "train").withColumn("day", F.dayofyear("ts"))
+    events = table(spark, d, "events").select("event_id", "ts", "value")
+    train = sp.split_rows(events, ["event_id"], "train")
+    later = sp.split_rows(events, ["event_id"], "train", rest=True).withColumn("day", F.dayofyear("ts"))
     scores = mo.drift_scores(train, later, "value", EDGES, ["day"])
     return scores.withColumn("psi", F.round("psi", 6))
 

@@ -154,6 +154,7 @@ def split_sizes(spark, d):
 
 
 WORKERS, EPOCH = 7, 3
+TRAIN_BATCH, PREDICT_BATCH = 64, 256
 
 
 @query(
@@ -170,6 +171,25 @@ def worker_shards(spark, d):
     return sp.shard_rows(orders, ["o_orderkey"], WORKERS, EPOCH)
 
 
+@query(
+    "positions_w1",
+    f"""WITH placed AS (
+      SELECT event_id, row_number() OVER (ORDER BY md5('{EPOCH}|' || event_id), event_id) AS p,
+             count(*) OVER () AS n FROM events),
+    sized AS (SELECT *, CAST(ceil(n / {WORKERS}.0) * {WORKERS} AS BIGINT) AS padded FROM placed),
+    copies AS (SELECT event_id, unnest(generate_series(p, padded, n)) AS position FROM sized)
+    SELECT event_id, CAST((position - 1) % {WORKERS} AS INTEGER) AS shard,
+           (position - 1) // {WORKERS} + 1 AS place, (position - 1) // {WORKERS} // 64 AS batch FROM copies""",
+)
+def positions(spark, d):
+    """Place of each row inside its shard, and the batch of that place."""
+    shards = sp.shard_rows(table(spark, d, "events").select("event_id"), ["event_id"], WORKERS, EPOCH)
+    place = F.floor((F.col("position") - 1) / WORKERS).cast("bigint") + 1
+    return shards.select("event_id", "shard", place.alias("place")).withColumn(
+        "batch", sp.batch_id(F.col("place"), TRAIN_BATCH)
+    )
+
+
 @query(
     "validation_replicas_x6",
     f"""SELECT o_orderkey, CAST(worker AS INTEGER) AS worker FROM (
@@ -181,9 +201,6 @@ def validation_replicas(spark, d):
     return sp.replicate(sp.split_rows(orders, ["o_orderkey"], "val"), WORKERS)
 
 
-TRAIN_BATCH, PREDICT_BATCH = 64, 256
-
-
 @query(
     "ordered_batches_x7",
     f"""SELECT event_id, position, CAST((position - 1) // {PREDICT_BATCH} AS BIGINT) AS batch FROM (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
@@ -115,7 +116,7 @@ def predictions(spark, d):
 
 @query(
     "predictions_csv_s4",
-    f"""WITH {_SCORED_SQL} SELECT count(*) AS rows, count(DISTINCT trip_id) AS trips,
+    f"""WITH {_SCORED_SQL} SELECT count(*) AS rows, CAST(sum(length(trip_id)) AS BIGINT) AS key_characters,
         round(sum(cost), 0) AS real_label, round(sum(prediction), 0) AS predicted_label FROM scored""",
 )
 def predictions_csv(spark, d):
@@ -125,7 +126,7 @@ def predictions_csv(spark, d):
     back = spark.read.option("header", True).csv(out)
     return back.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("trip_id").alias("trips"),
+        F.sum(F.length("trip_id")).alias("key_characters"),
         F.round(F.sum(F.col("real_label").cast("double")), 0).alias("real_label"),
         F.round(F.sum(F.col("predicted_label").cast("double")), 0).alias("predicted_label"),
     )
@@ -222,11 +223,11 @@ _LINES = ("distance", "passengers", "pickup_latitude", "dropoff_latitude")
 
 def _versions(spark, d):
     """Test trips scored by every version: one line per feature, and their blend."""
-    train, test = train_and_test(spark, d, *_LINES, "cost", "trip_id")
+    train, test = train_and_test(spark, d, *_LINES, "cost")
     lines = md.fit_baselines(train, _LINES, "cost")
     versions = {str(i + 1): lines[f].predict() for i, f in enumerate(_LINES)}
     versions["current"] = md.blend(list(lines.values()))
-    return md.score_versions(test, versions, ["trip_id", "cost"])
+    return md.score_versions(test, versions, ["cost"])
 
 
 _VERSIONS_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT
@@ -240,13 +241,11 @@ _VERSIONS_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT
 
 @query(
     "score_versions_j4",
-    f"""WITH {_VERSIONS_SQL} SELECT version, count(*) AS rows, count(DISTINCT trip_id) AS trips,
-        round(avg(prediction), 2) AS mean_prediction FROM scored GROUP BY version""",
+    f"""WITH {_VERSIONS_SQL} SELECT version, count(*) AS rows, round(avg(prediction), 2) AS mean_prediction FROM scored GROUP BY version""",
 )
 def score_versions(spark, d):
     return _versions(spark, d).groupBy("version").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("trip_id").alias("trips"),
-        F.round(F.avg("prediction"), 2).alias("mean_prediction"),
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("prediction"), 2).alias("mean_prediction"),
     )
 
 
@@ -280,7 +279,7 @@ def prediction_histogram(spark, d):
 
 @query(
     "batch_scoring_m11",
-    f"""WITH {SPLIT_TRIPS_SQL}, {_FIT_SQL} SELECT count(*) AS rows, count(DISTINCT trip_id) AS trips,
+    f"""WITH {SPLIT_TRIPS_SQL}, {_FIT_SQL} SELECT count(*) AS rows, CAST(sum(length(trip_id)) AS BIGINT) AS key_characters,
         round(sum(fit.s * distance + fit.i), 0) AS predicted_label FROM parts, fit""",
 )
 def batch_scoring(spark, d):
@@ -294,7 +293,7 @@ def batch_scoring(spark, d):
     out = tb.append_predictions(scored, workspace(spark, "outbox"))
     back = spark.read.option("header", True).csv(out)
     return back.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("trip_key").alias("trips"),
+        F.count(F.lit(1)).alias("rows"), F.sum(F.length("trip_key")).alias("key_characters"),
         F.round(F.sum(F.col("predicted_label").cast("double")), 0).alias("predicted_label"),
     )
 
@@ -324,6 +323,22 @@ FOREST_FEATURES = FeatureSpec(
 FOREST_SIZE = {"n_estimators": 10, "max_depth": 5}
 
 
+@query(
+    "features_and_target_p2",
+    f"""WITH {TRIPS_SQL} SELECT trip_id, round({' + '.join(TRIPS.features)}, 4) AS feature_sum,
+        CAST({len(TRIPS.features)} AS INTEGER) AS width, cost AS label FROM trips""",
+)
+def features_and_target(spark, d):
+    """Feature vector in contract order beside the target."""
+    vectors = md.assembler(TRIPS).transform(trips(spark, d))
+    values = vector_to_array("features")
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    return vectors.select(
+        "trip_id", F.round(total, 4).alias("feature_sum"), F.size(values).alias("width"),
+        F.col(TRIPS.target).alias("label"),
+    )
+
+
 @query("forest_workflow_m1")
 def forest_workflow(spark, d):
     """Fit a forest on the training trips, measure it on the test trips."""

@@ -277,9 +277,26 @@ def rouge_benchmark(spark, d):
     )
 
 
-@query("rouge_l_t5")
+@query(
+    "rouge_l_t5",
+    f"""WITH RECURSIVE {PAIRS_SQL},
+    tok AS (SELECT conv_id, turn, {_WORDS.format('candidate')} AS c, {_WORDS.format('reference')} AS r FROM pairs),
+    dp AS (
+      SELECT conv_id, turn, CAST(0 AS BIGINT) AS i, unnest(range(0, len(r) + 1)) AS j, CAST(0 AS BIGINT) AS l FROM tok
+      UNION ALL
+      SELECT conv_id, turn, i + 1, j, max(step) OVER (PARTITION BY conv_id, turn ORDER BY j) FROM (
+        SELECT dp.conv_id, dp.turn, i, j, greatest(l, CASE WHEN j > 0 AND r[j] = c[i + 1]
+            THEN lag(l) OVER (PARTITION BY dp.conv_id, dp.turn ORDER BY j) + 1 ELSE 0 END) AS step
+        FROM dp JOIN tok ON tok.conv_id = dp.conv_id AND tok.turn = dp.turn WHERE i < len(c))),
+    hits AS (SELECT conv_id, turn, max(l) AS h FROM dp GROUP BY 1, 2)
+    SELECT conv_id, turn, round(coalesce(h / nullif(len(c), 0), 0), 6) AS "precision",
+           round(coalesce(h / nullif(len(r), 0), 0), 6) AS recall,
+           round(CASE WHEN len(c) * len(r) = 0 THEN 0 ELSE 2 * h / (len(c) + len(r)) END, 6) AS f1
+    FROM tok JOIN hits USING (conv_id, turn)""",
+)
 def rouge_l(spark, d):
-    return rg.rouge_l(dialogue_pairs(spark, d), list(PAIR_KEY), "candidate", "reference")
+    scores = rg.rouge_l(dialogue_pairs(spark, d), list(PAIR_KEY), "candidate", "reference")
+    return scores.select(*PAIR_KEY, *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query("rouge_lsum_t6")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,16 +15,22 @@ def table_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: s
     return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
 
 
-def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+def write_batch(rows: DataFrame, batch_id: int, path: str, stream: str = "main") -> None:
     """Replace the folder of one batch, so a replayed batch leaves no second copy."""
     rows.withColumn("ingest_ts", F.current_timestamp()).write.mode("overwrite").parquet(
-        f"{path}/batch_id={batch_id}"
+        f"{path}/stream={stream}/batch_id={batch_id}"
     )
 
 
 def ingest_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream to a table exactly once.
+
+    Batch ids belong to a checkpoint, so its name keeps the batches of different
+    streams apart.
+    """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     return (
-        rows.writeStream.foreachBatch(lambda df, batch: write_batch(df, batch, path))
+        rows.writeStream.foreachBatch(lambda df, batch: write_batch(df, batch, path, stream))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
