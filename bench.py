@@ -18,6 +18,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from modelyard.plans.catalog import QUERIES  # noqa: E402
 
 
+HEADLINE = "baseline_workflow"
+
+
 def run(df: DataFrame) -> None:
     """Evaluate every row and column without bringing them to the driver."""
     df.write.format("noop").mode("overwrite").save()
@@ -40,15 +43,20 @@ def main() -> None:
     run(spark.read.parquet(f"{sf_dir}/nation.parquet"))  # start-up is not part of any query
     seconds: dict[str, float] = {}
     failed: dict[str, str] = {}
-    for name in names:
+
+    def clock(name: str) -> float:
         start = time.perf_counter()
+        run(QUERIES[name].run(spark, sf_dir))
+        return round(time.perf_counter() - start, 3)
+
+    for name in names:
         try:
-            run(QUERIES[name].run(spark, sf_dir))
-            seconds[name] = round(time.perf_counter() - start, 3)
+            seconds[name] = clock(name)
         except Exception as problem:  # keep the other timings
             failed[name] = f"{type(problem).__name__}: {str(problem)[:200]}"
         finally:
             spark.catalog.clearCache()
+    warm = [clock(HEADLINE) for _ in range(3)] if HEADLINE in seconds else []
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     result = {
         "metric": "total_wall_clock",
@@ -59,8 +67,11 @@ def main() -> None:
         "cpus": int(cpus),
         "lineitem_rows": lines,
     }
-    if "baseline_workflow" in seconds:
-        result["headline_rows_per_sec"] = round(lines / seconds["baseline_workflow"])
+    if warm:
+        result["headline"] = {
+            "query": HEADLINE, "cold_sec": seconds[HEADLINE], "warm_sec": warm,
+            "rows_per_sec": round(lines / min(warm)),
+        }
     if failed:
         result["failed"] = failed
     print(json.dumps(result))

@@ -306,7 +306,7 @@ def batch_scoring(spark, d):
 def user_scorer(spark, d):
     """User scorer hook: model loaded once per task, rows scored in Arrow batches."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    rows = table(spark, d, "lineitem").select(*keys, "l_quantity")
+    rows = table(spark, d, "lineitem", "l_orderkey").select(*keys, "l_quantity")
 
     def run(model, frame):
         frame["predicted_label"] = frame.pop("l_quantity") * model["slope"] + model["base"]

@@ -19,6 +19,8 @@ def con():
 def test_query(spark, con, name):
     entry = QUERIES[name]
     df = entry.run(spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if entry.sql is None:
         assert df.count() > 0
     else:
