@@ -87,6 +87,7 @@ def bounded_lookup(
     if dim_rows is not None and dim_rows <= BROADCAST_ROWS:
         return facts.join(F.broadcast(dim), list(on), "left")
     others = [c for c in facts.columns if c not in on]
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
+    source = F.xxhash64(*others) if others else F.spark_partition_id()
+    salted = facts.withColumn("_salt", F.pmod(source, F.lit(salts)).cast("int"))
     spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*on, "_salt"], "left").drop("_salt")

@@ -74,26 +74,28 @@ def rouge_n(
 
 def rouge_l(pairs: DataFrame, key: Sequence[str], candidate: str, reference: str) -> DataFrame:
     """(key, precision, recall, f1) by the longest common subsequence."""
-    cand, ref = tx.words(F.col(candidate)), tx.words(F.col(reference))
-    scored = pairs.select(*key, lcs.rouge_l(_filled(cand), _filled(ref)).alias("s"))
+    scored = pairs.select(*key, _rouge_l(candidate, reference).alias("s"))
     return scored.select(*key, "s.*")
 
 
 def rouge_lsum(pairs: DataFrame, key: Sequence[str], candidate: str, reference: str) -> DataFrame:
     """(key, precision, recall, f1) by the union of sentence-wise subsequences."""
+    scored = pairs.select(*key, _rouge_lsum(candidate, reference).alias("s"))
+    return scored.select(*key, "s.*")
+
+
+def _rouge_l(candidate: str, reference: str) -> Column:
+    none = F.array().cast("array<string>")
+    cand, ref = (F.coalesce(tx.words(F.col(c)), none) for c in (candidate, reference))
+    return lcs.rouge_l(cand, ref)
+
 
+def _rouge_lsum(candidate: str, reference: str) -> Column:
     def sentences(column: str) -> Column:
         lines = F.split(tx.sentence_lines(F.coalesce(F.col(column), F.lit(""))), "\n")
         return F.transform(lines, tx.words)
 
-    scored = pairs.select(
-        *key, lcs.rouge_lsum(sentences(candidate), sentences(reference)).alias("s")
-    )
-    return scored.select(*key, "s.*")
-
-
-def _filled(tokens: Column) -> Column:
-    return F.coalesce(tokens, F.array().cast("array<string>"))
+    return lcs.rouge_lsum(sentences(candidate), sentences(reference))
 
 
 def corpus_score(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -108,11 +110,14 @@ def corpus_report(pairs: DataFrame, key: Sequence[str], candidate: str, referenc
     n_scores = rouge_n(pairs, key, candidate, reference).select(
         F.concat(F.lit("rouge"), F.col("order").cast("string")).alias("metric"), "f1"
     )
-    long = n_scores.unionByName(
-        rouge_l(pairs, key, candidate, reference).select(F.lit("rougeL").alias("metric"), "f1")
-    ).unionByName(
-        rouge_lsum(pairs, key, candidate, reference).select(F.lit("rougeLsum").alias("metric"), "f1")
+    aligned = pairs.select(  # one Arrow pass for both alignments
+        _rouge_l(candidate, reference).alias("l"), _rouge_lsum(candidate, reference).alias("s")
+    )
+    both = F.array(
+        F.struct(F.lit("rougeL").alias("metric"), F.col("l.f1").alias("f1")),
+        F.struct(F.lit("rougeLsum").alias("metric"), F.col("s.f1").alias("f1")),
     )
+    long = n_scores.unionByName(aligned.select(F.inline(both)))
     return corpus_score(long, ["metric"]).select(F.col("metric").alias("key"), F.col("score").alias("value"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalar import calendar_parts
 from ..session import spread, tune
@@ -38,9 +38,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
     return add
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
-    """A driver table; `spread_by` names keys to spread a small scan by."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; `spread_by` names keys to spread a small scan by.
+
+    The footer is read once per path; later reads reuse the schema.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    rows = spark.read.schema(_SCHEMAS[path]).parquet(path)
     return spread(rows, *spread_by) if spread_by else rows
 
 
