@@ -145,5 +145,8 @@ def partition_law(source: DataFrame, parts: DataFrame, key: Sequence[str]) -> Da
 
 
 def shared_keys(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Distinct keys present in both splits; an empty answer means no leakage."""
-    return left.select(*key).intersect(right.select(*key))
+    """Distinct keys present in both splits; an empty answer means no leakage.
+
+    Each side is reduced to its distinct keys before it meets the other.
+    """
+    return left.select(*key).distinct().intersect(right.select(*key).distinct())

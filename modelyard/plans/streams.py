@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..operators import models as md
 from ..session import workspace
 from ..sources import requests as rq
@@ -38,6 +39,30 @@ def streaming_scoring(spark, d):
     )
 
 
+@query(
+    "streaming_text_m12",
+    """SELECT count(*) AS requests, CAST(sum(length('summarize: ' || text)) AS BIGINT) AS characters,
+       CAST(sum(len(regexp_extract_all(lower('summarize: ' || text), '[a-z0-9]+'))) AS BIGINT) AS words
+       FROM conversations""",
+)
+def streaming_text(spark, d):
+    """Text requests streamed through parsing and the model's prefix."""
+    inbox, out = workspace(spark, "texts"), workspace(spark, "prompts")
+    body = F.to_json(F.struct(F.col("text").alias("data")))
+    table(spark, d, "conversations").select(body.alias("value")).write.text(inbox)
+    ss.score_stream(
+        ss.request_stream(spark, inbox),
+        lambda df: df.select("file_path", rq.request_text(F.col("raw")).alias("text")),
+        lambda df: df.withColumn("prompt", tx.with_prefix(F.col("text"))),
+        out, workspace(spark, "prompts-log"),
+    ).awaitTermination()
+    prompt = F.col("prompt")
+    return spark.read.parquet(out).agg(
+        F.count(F.lit(1)).alias("requests"), F.sum(F.length(prompt)).alias("characters"),
+        F.sum(F.size(tx.words(prompt))).alias("words"),
+    )
+
+
 @query(
     "streaming_ingest_k2",
     "SELECT event_type, count(*) AS rows, round(sum(value), 4) AS value FROM events GROUP BY 1",
