@@ -147,6 +147,10 @@ def partition_law(source: DataFrame, parts: DataFrame, key: Sequence[str]) -> Da
 def shared_keys(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """Distinct keys present in both splits; an empty answer means no leakage.
 
-    Each side is reduced to its distinct keys before it meets the other.
+    Keys are reduced per task and meet in one shuffle, without a join.
     """
-    return left.select(*key).distinct().intersect(right.select(*key).distinct())
+    sides = left.select(*key, F.lit(1).alias("_side")).unionByName(
+        right.select(*key, F.lit(2).alias("_side"))
+    )
+    seen = sides.groupBy(*key).agg(F.min("_side").alias("_first"), F.max("_side").alias("_last"))
+    return seen.where((F.col("_first") == 1) & (F.col("_last") == 2)).select(*key)

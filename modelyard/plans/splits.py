@@ -242,8 +242,7 @@ def split_leakage(spark, d):
     lines = table(spark, d, "lineitem").select(
         "l_orderkey", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line")
     )
-    parts = sp.hash_split(lines, ["line"])
-    train, test = (parts.where(F.col("split") == s) for s in ("train", "test"))
+    train, test = (sp.split_rows(lines, ["line"], s) for s in ("train", "test"))
     return sp.shared_keys(train, test, ["l_orderkey"])
 
 
