@@ -40,6 +40,18 @@ class InsightContext:
         scored.persist(StorageLevel.MEMORY_AND_DISK)
         return context
 
+    def describe(self) -> DataFrame:
+        """One row: what is explained, over how many scored rows."""
+        return self.scored.agg(
+            F.lit(self.title).alias("title"),
+            F.lit(self.task_type).alias("task_type"),
+            F.lit(self.spec.target).alias("target"),
+            F.lit(",".join(self.categoricals)).alias("categoricals"),
+            F.lit(len(self.spec.features)).alias("features"),
+            F.count(F.lit(1)).alias("n"),
+            F.avg(self.prediction).alias("mean_prediction"),
+        )
+
     def release(self) -> None:
         self.scored.unpersist()
 

@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..spec import FeatureSpec
 from .metrics import regression_metrics
 
@@ -117,8 +118,12 @@ def fit_forest(
         bootstrap=params["bootstrap"],
         seed=params["random_state"],
         maxMemoryInMB=512,
+        # A large forest keeps the node of each row instead of shipping all trees.
+        cacheNodeIds=params["n_estimators"] >= 100,
+        checkpointInterval=10,
     )
     spec.require(train)
+    ensure_checkpoint_dir(train.sparkSession)
     rows = train.select(*spec.columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:  # the fit reads its input several times before it keeps its own copy
         return Pipeline(stages=[assembler(spec), forest]).fit(rows)

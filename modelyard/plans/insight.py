@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import insights as ins
 from ..operators import models as md
+from ..session import cut_lineage
 from .base import SPLIT_TRIPS_SQL, query
 from .tabular import FOREST_FEATURES, FOREST_SIZE, train_and_test
 
@@ -185,15 +186,34 @@ _GATHERED_SQL = f"""WITH {_LINES_SQL},
   UNION ALL {_tagged_sql('error_analysis', _CUBE_SQL, 'n, mse, distance_bin, passengers_bin, error_share')}"""
 
 
-@query("gathered_insights_i6", _GATHERED_SQL)
-def gathered_insights(spark, d):
-    """Constructor, explanation, causal effect and error analysis as one table."""
-    test, lines = _blended(spark, d, *[c for c in FOREST_FEATURES.features if c not in ("distance", "passengers")])
+def _context(spark, d):
+    others = [c for c in FOREST_FEATURES.features if c not in ("distance", "passengers")]
+    test, lines = _blended(spark, d, *others)
     model = md.blend(list(lines.values()))
     context = ins.InsightContext.build(
         test.withColumn("prediction", model), FOREST_FEATURES, ["store_forward", "vendor"],
         title="Fare prediction",
     )
+    return context, model
+
+
+@query(
+    "insight_constructor_i1",
+    f"""WITH {_LINES_SQL} SELECT 'Fare prediction' AS title, 'regression' AS task_type, 'cost' AS target,
+        'store_forward,vendor' AS categoricals, CAST({len(FOREST_FEATURES.features)} AS INTEGER) AS features,
+        count(*) AS n, round(avg(prediction), 2) AS mean_prediction FROM test""",
+)
+def insight_constructor(spark, d):
+    context, _ = _context(spark, d)
+    described = cut_lineage(context.describe())
+    context.release()
+    return described.withColumn("mean_prediction", F.round("mean_prediction", 2))
+
+
+@query("gathered_insights_i6", _GATHERED_SQL)
+def gathered_insights(spark, d):
+    """Constructor, explanation, causal effect and error analysis as one table."""
+    context, model = _context(spark, d)
     gathered = ins.gather(
         {
             "constructor": context.scored.agg(F.count(F.lit(1)).alias("n")),
@@ -210,6 +230,8 @@ def gathered_insights(spark, d):
             ),
         }
     )
+    gathered = cut_lineage(gathered)  # a few dozen rows; the scored trips can go
+    context.release()
     digits = {"mse": 0, "permuted_mse": 0, "importance": 0, "effect": 3, "error_share": 6}
     return gathered.select(
         *[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in _GATHERED_COLUMNS]

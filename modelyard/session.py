@@ -59,9 +59,12 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/modelyard/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so a lost executor never changes the rows."""
-    spark = df.sparkSession
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, so a lost executor never changes the rows."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()

@@ -89,7 +89,7 @@ def test_context_checks_its_input(spark):
     spec = FeatureSpec(("distance", "passengers"), ("store_forward", "vendor"))
     scored = frame(spark, 20).withColumn("prediction", F.lit(1.0))
     context = ins.InsightContext.build(scored, spec, ["vendor"], title="t")
-    assert context.scored.is_cached
+    assert context.scored.is_cached and context.describe().first()["n"] == 20
     context.release()
     with pytest.raises(ValueError, match="outside the contract"):
         ins.InsightContext.build(scored, spec, ["colour"], title="t")
