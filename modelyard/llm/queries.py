@@ -49,9 +49,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked""",
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = radix.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select(
+    digest = F.sha2(radix.normalised(F.col("text")).cast("binary"), 256)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", digest.alias("text_sha256"))
+    return radix.exact_duplicates(docs).select(
         F.col("doc.doc_id").alias("doc_id"), F.col("keep_key").alias("keep_id"), F.col("size").alias("group_size"),
-        (F.col("row") == F.col("keep_row")).alias("kept"),
-        F.sha2(radix.normalised(F.col("doc.text")).cast("binary"), 256).alias("text_sha256"),
+        (F.col("row") == F.col("keep_row")).alias("kept"), F.col("doc.text_sha256").alias("text_sha256"),
     )

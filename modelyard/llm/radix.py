@@ -9,8 +9,8 @@ rounds grow with the logarithm of the longest text, and only rows of groups that
 still shared are written for the next round.
 
 Groups are counted with map-side aggregation before the shuffle. The counts are stored
-before rows meet them, so adaptive execution can split a group that holds a third of all
-rows, and no group is ever collected.
+before rows meet them in a sort-merge join of the same shape at every size, in which
+adaptive execution can split a group that holds a third of all rows; no group is collected.
 
 Defined cases: null counts as empty; of equal texts the row with the most code points
 stays, then the smallest key (nulls last), then any one; repeated rows are one group.
@@ -18,6 +18,8 @@ stays, then the smallest key (nulls last), then any one; repeated rows are one g
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import SPACES, dropped, first_of, stored, stored_at, whole_row
@@ -28,7 +30,7 @@ WIDER = 4
 
 def normalised(text: Column) -> Column:
     """The text without white space; null is empty."""
-    return F.translate(F.coalesce(text, F.lit("")), SPACES, "")
+    return reduce(lambda t, space: F.replace(t, F.lit(space), F.lit("")), SPACES, F.coalesce(text, F.lit("")))
 
 
 def equal_rows(rows: DataFrame, first_digit: int = FIRST_DIGIT, wider: int = WIDER) -> DataFrame:
@@ -50,7 +52,7 @@ def equal_rows(rows: DataFrame, first_digit: int = FIRST_DIGIT, wider: int = WID
             "radix-groups",
         )
         split, split_path = stored_at(
-            cut.join(groups, ["same", "digit"]).select(
+            cut.join(groups.hint("merge"), ["same", "digit"]).select(
                 "row", F.col("next").alias("same"), "rest", (F.octet_length("digit") < width).alias("ended")
             ),
             "radix-rows",
