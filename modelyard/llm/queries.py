@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.base import Runner
 from ..session import tune
-from . import radix, simhash
+from . import radix, sharding, simhash, superkmer, warc
 
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,80 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), F.col("keep_key").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("row") == F.col("keep_row")).alias("kept"), F.col("doc.text_sha256").alias("text_sha256"),
     )
+
+
+SHARDS = 8
+
+
+def _rounds_sql() -> str:
+    """The permutation in SQL: one nested query per round, over a, b, x and y."""
+    body = "SELECT number, n, a, b, place // b AS x, place % b AS y FROM walk WHERE place >= n OR turn = 0"
+    for r in range(sharding.ROUNDS):
+        mine, other, base = ("x", "y", "a") if r % 2 == 0 else ("y", "x", "b")
+        drawn = f"CAST('0x' || substr(md5(concat_ws(':', 0, {r}, {other})), 1, 15) AS BIGINT)"
+        body = f"SELECT number, n, a, b, ({mine} + {drawn} % {base}) % {base} AS {mine}, {other} FROM ({body})"
+    return body
+
+
+@query(
+    "op9_feistel_shards",
+    rf"""
+    WITH RECURSIVE crc_table AS (
+      SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)),
+          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS i))),
+    sized AS (
+      SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+        xor(list_reduce(list_prepend(4294967295, list_transform(
+              regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+            lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295) AS text_crc32
+      FROM documents, crc_table),
+    numbered AS (
+      SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS number, count(*) OVER () AS n
+      FROM sized),
+    based AS (
+      SELECT number, n, a, greatest(1, (n + a - 1) // a) AS b
+      FROM (SELECT number, n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM numbered)),
+    walk AS (
+      SELECT number, n, a, b, number AS place, 0 AS turn FROM based
+      UNION ALL
+      SELECT number, n, a, b, x * b + y, 1 FROM ({_rounds_sql()})),
+    places AS (SELECT number, place FROM walk WHERE turn = 1 AND place < n)
+    SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place % {SHARDS} AS INTEGER) AS shard,
+           place // {SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM numbered JOIN places USING (number)""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32")
+    )
+    return sharding.sharded(rows, ["doc_id", "size", "text_crc32"], SHARDS).select(
+        "doc.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query(
+    "op10_substring_dedup",
+    r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (
+      SELECT doc_id, s, array_to_string(ws[s + 1:s + 20], ' ') AS words
+      FROM (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - 19, 0))) AS s FROM w)),
+    later AS (
+      SELECT doc_id, s FROM windows
+      QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, s) > 1),
+    gone AS (SELECT DISTINCT doc_id, s + k AS place FROM later, (SELECT unnest(range(20)) AS k)),
+    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS place FROM w),
+    kept AS (
+      SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS text
+      FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)""",
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.substring_dedup(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
