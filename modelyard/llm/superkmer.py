@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,10 +33,10 @@ from .common import stored
 
 WINDOW = 20
 RUN = 4  # words hashed together for a minimiser
-BUCKET_BYTES = 16 << 20  # source text whose windows one bucket holds on average
+BUCKET_BYTES = 8 << 20  # source text whose windows one bucket holds on average
 BINS = 64  # bins of minimisers counted for each bucket
 HOT_BINS = 1_000_000  # at most so many bins can be split, which bounds what is broadcast
-_BATCH = 400_000  # words sorted together before they travel
+_BATCH = 4 << 20  # bytes of text whose windows are sorted together before they travel
 _SEGMENT = 100_000  # windows of a long document taken at a time
 _LAST = (1 << 63) - 1  # stands for a null key
 
@@ -52,18 +51,44 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class _Words:
-    """Exact codes of words, and a hash of each, for one batch or bucket."""
-
-    def __init__(self) -> None:
-        self.codes: dict[bytes, int] = {}
-
-    def code(self, words: list[bytes]) -> np.ndarray:
-        known = self.codes
-        return np.fromiter([known.setdefault(w, len(known)) for w in words], np.int64, len(words))
-
-    def hashes(self) -> np.ndarray:
-        digest = xxhash.xxh64_intdigest
-        return np.fromiter((digest(w) for w in self.codes), np.uint64, len(self.codes))
+    """Places, lengths and hashes of the words of a byte string, without an object per word."""
+
+    def __init__(self, text: bytes) -> None:
+        self.text = text
+        data = np.frombuffer(text + bytes(8), np.uint8)
+        space = (data == 32) | ((data >= 9) & (data <= 13))
+        space[len(text):] = True
+        turn = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if not space[0]:
+            turn = np.concatenate([[0], turn])
+        self.start, self.length = turn[0::2], turn[1::2] - turn[0::2]
+        # eight bytes from every place on, read where they lie
+        self.eight = np.ndarray((len(text) + 1,), "<u8", data, 0, (1,))
+        self.hash = self._hashes()
+
+    def _part(self, words: np.ndarray, k: int) -> np.ndarray:
+        """Bytes 8k to 8k + 8 of some words longer than 8k, zeros after their end."""
+        left = np.minimum(self.length[words] - 8 * k, 8).astype(np.uint64)
+        mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - left * np.uint64(8))
+        return self.eight[self.start[words] + 8 * k] & mask
+
+    def _hashes(self) -> np.ndarray:
+        out, words, k = self.length.astype(np.uint64), np.arange(len(self.start)), 0
+        while len(words):
+            out[words] = _mixed((out[words] ^ self._part(words, k)) * np.uint64(_MULTIPLIER))
+            k += 1
+            words = words[self.length[words] > 8 * k]
+        return out
+
+    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether words a[i] and b[i] are the same bytes."""
+        same = self.length[a] == self.length[b]
+        at, k = np.flatnonzero(same), 0
+        while len(at):
+            same[at] = self._part(a[at], k) == self._part(b[at], k)
+            k += 1
+            at = at[same[at] & (self.length[a[at]] > 8 * k)]
+        return same
 
 
 def _runs(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -84,8 +109,8 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def _later(codes: np.ndarray, at: np.ndarray, key: np.ndarray, hashes: np.ndarray, window: int) -> tuple:
-    """Marks among the windows that begin at codes[at].
+def _later(words: _Words, at: np.ndarray, key: np.ndarray, hashes: np.ndarray, window: int) -> tuple:
+    """Marks among the windows that begin at the words `at`.
 
     Returns (later, first): a window is later if equal words have a smaller key, and
     first marks one window of each distinct word sequence, with the smallest key.
@@ -106,7 +131,8 @@ def _later(codes: np.ndarray, at: np.ndarray, key: np.ndarray, hashes: np.ndarra
         mine, theirs = at[todo[other]], at[head[group[other]]]
         same = np.ones(len(other), bool)
         for t in range(window):
-            same &= codes[mine + t] == codes[theirs + t]
+            still = np.flatnonzero(same)
+            same[still] = words.equal(mine[still] + t, theirs[still] + t)
         later[todo[other[same]]] = key[todo[other[same]]] > low[group[other[same]]]
         first[head] = True
         todo = todo[other[~same]]  # equal hashes of unequal words: sort these again
@@ -125,37 +151,35 @@ def _ranges(marked: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.
 
 
 class _Batch:
-    """Windows of some segments of documents."""
-
-    def __init__(self, segments: list[tuple], window: int, run: int) -> None:
-        words = _Words()
-        self.words = [w for s in segments for w in s[3]]
-        self.codes = words.code(self.words)
-        hashes = words.hashes()[self.codes] if self.words else np.empty(0, np.uint64)
-        sizes = np.array([len(s[3]) for s in segments], np.int64)
-        offsets = np.cumsum(sizes) - sizes
-        counts = sizes - window + 1
-        self.segment = np.repeat(np.arange(len(segments)), counts)
+    """Windows of some texts, given as (doc, mark, first word, bytes)."""
+
+    def __init__(self, texts: list[tuple], window: int, run: int) -> None:
+        self.words = words = _Words(b"\n".join([t[3] for t in texts]))
+        sizes = np.fromiter((len(t[3]) for t in texts), np.int64, len(texts))
+        bounds = np.searchsorted(words.start, np.append(0, np.cumsum(sizes + 1)))
+        counts = np.maximum(np.diff(bounds) - window + 1, 0)
+        self.segment = np.repeat(np.arange(len(texts)), counts)
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        self.at = within + offsets[self.segment]
-        self.doc = np.array([s[0] for s in segments], np.int64)[self.segment]
-        self.text = np.array([s[1] for s in segments], np.int64)[self.segment]
-        self.start = within + np.array([s[2] for s in segments], np.int64)[self.segment]
-        self.hash = _runs(hashes, window)[self.at]
-        self.minimiser = _mixed(_sliding_min(_runs(hashes, run), window - run + 1)[self.at] ^ np.uint64(run))
+        self.at = within + bounds[self.segment]
+        self.doc = np.array([t[0] for t in texts], np.int64)[self.segment]
+        self.text = np.array([t[1] for t in texts], np.int64)[self.segment]
+        self.start = within + np.array([t[2] for t in texts], np.int64)[self.segment]
+        if len(self.at):
+            self.hash = _runs(words.hash, window)[self.at]
+            self.minimiser = _mixed(_sliding_min(_runs(words.hash, run), window - run + 1)[self.at] ^ np.uint64(run))
+        else:
+            self.hash = self.minimiser = np.empty(0, np.uint64)
         rank = np.unique(self.doc, return_inverse=True)[1]
         self.key = (rank.astype(np.int64) << 32) | self.start
 
 
 def _batches(rows: Iterator[pa.RecordBatch], window: int, run: int) -> Iterator[_Batch]:
-    """Rows of (key, text hash, text) as batches of about equally many words."""
+    """Rows of (key, text hash, text) as batches of about equally many bytes."""
     held, size = [], 0
     for batch in rows:
         docs, marks, texts = (batch.column(i) for i in range(3))
-        for doc, mark, text in zip(docs.to_pylist(), marks.to_pylist(), texts.cast(pa.binary())):
-            words = (text.as_py() or b"").split()
-            for start in range(0, len(words) - window + 1, _SEGMENT):
-                part = words[start:start + _SEGMENT + window - 1]
+        for doc, mark, text in zip(docs.to_pylist(), marks.to_pylist(), texts.cast(pa.binary()).to_pylist()):
+            for start, part in _parts(text or b"", window):
                 held.append((doc, mark, start, part))
                 size += len(part)
                 if size >= _BATCH:
@@ -165,6 +189,16 @@ def _batches(rows: Iterator[pa.RecordBatch], window: int, run: int) -> Iterator[
         yield _Batch(held, window, run)
 
 
+def _parts(text: bytes, window: int) -> Iterator[tuple[int, bytes]]:
+    """A long text in parts that share a window less one word, each with its first word."""
+    if len(text) <= _BATCH:
+        yield 0, text
+        return
+    words = text.split()
+    for start in range(0, max(1, len(words) - window + 1), _SEGMENT):
+        yield start, b" ".join(words[start:start + _SEGMENT + window - 1])
+
+
 def _count_bins(bins: int, window: int, run: int):
     def of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _batches(rows, window, run):
@@ -187,7 +221,7 @@ def _pack(buckets: int, bins: int, hot, window: int, run: int):
         squeeze = zstandard.ZstdCompressor(level=3)
         split = np.array(sorted(hot.value), np.uint64)
         for b in _batches(rows, window, run):
-            later, first = _later(b.codes, b.at, b.key, b.hash, window)
+            later, first = _later(b.words, b.at, b.key, b.hash, window)
             parcels: list[tuple] = []
             at, n = _ranges(later, b.doc, b.start)
             if len(at):
@@ -209,14 +243,14 @@ def _pack(buckets: int, bins: int, hot, window: int, run: int):
             order = np.argsort(bucket[lead], kind="stable")
             lead, size = lead[order], size[order]
             ends = np.append(np.flatnonzero(np.diff(bucket[lead])) + 1, len(lead)) if len(lead) else []
-            begin, words = 0, b.words
+            begin, words, text = 0, b.words, b.words.text
+            last = words.start + words.length
             for end in ends:
                 mine, many = lead[begin:end], size[begin:end]
-                text = b"\n".join([
-                    b" ".join(words[a:a + k + window - 1]) for a, k in zip(b.at[mine].tolist(), many.tolist())
-                ])
+                first_byte, last_byte = words.start[b.at[mine]], last[b.at[mine] + many + window - 2]
+                strings = b" ".join([text[i:j] for i, j in zip(first_byte.tolist(), last_byte.tolist())])
                 parcels.append((
-                    int(bucket[mine[0]]), b.doc[mine], b.text[mine], b.start[mine], many, squeeze.compress(text)
+                    int(bucket[mine[0]]), b.doc[mine], b.text[mine], b.start[mine], many, squeeze.compress(strings)
                 ))
                 begin = end
             yield pa.RecordBatch.from_arrays(
@@ -232,28 +266,20 @@ _MARKS = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int6
 def _bucket_marks(parcels: list[dict], window: int) -> pa.RecordBatch:
     """Runs of later windows of one bucket."""
     loose = zstandard.ZstdDecompressor()
-    words, codes, columns, size, strings = _Words(), [], ([], [], []), 0, []
-    for p in parcels:
-        lists = [np.array(p[c], np.int64) for c in ("doc", "mark", "start")]
-        for i, packed in enumerate(loose.decompress(p["packed"]).split(b"\n")):
-            found = words.code(packed.split(b" "))
-            codes.append(found)
-            strings.append(len(found))
-        for column, values in zip(columns, lists):
-            column.append(values)
-    codes, strings = np.concatenate(codes), np.array(strings, np.int64)
-    doc, mark, start = (np.concatenate(c) for c in columns)
+    words = _Words(b" ".join([loose.decompress(p["packed"]) for p in parcels]))
+    doc, mark, start, n = (np.concatenate([p[c] for p in parcels]) for c in ("doc", "mark", "start", "n"))
+    strings = n + window - 1
     counts, offsets = strings - window + 1, np.cumsum(strings) - strings
     string = np.repeat(np.arange(len(strings)), counts)
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     at = within + offsets[string]
     rank = np.unique(doc, return_inverse=True)[1].astype(np.int64)
     key = (rank[string] << 32) | (start[string] + within)
-    later, _ = _later(codes, at, key, _runs(words.hashes()[codes], window)[at], window)
-    lead, n = _ranges(later, string, within)
+    later, _ = _later(words, at, key, _runs(words.hash, window)[at], window)
+    lead, many = _ranges(later, string, within)
     of = string[lead]
     return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (doc[of], mark[of], start[of] + within[lead], n)], schema=_MARKS
+        [pa.array(x) for x in (doc[of], mark[of], start[of] + within[lead], many)], schema=_MARKS
     )
 
 
@@ -261,15 +287,16 @@ def _unpack(window: int):
     def of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in rows:
+            buckets, packed = batch.column(0).to_pylist(), batch.column(5)
             for i in range(batch.num_rows):
-                p = {f.name: batch.column(k)[i].as_py() for k, f in enumerate(_PARCEL)}
-                if p["packed"] is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(p[f.name], f.type) for f in _MARKS], schema=_MARKS)
+                lists = {f.name: batch.column(k)[i].values for k, f in enumerate(_PARCEL) if k in (1, 2, 3, 4)}
+                if not packed[i].is_valid:
+                    yield pa.RecordBatch.from_arrays([lists[f.name] for f in _MARKS], schema=_MARKS)
                     continue
-                if held and held[-1]["bucket"] != p["bucket"]:
+                if held and held[-1]["bucket"] != buckets[i]:
                     yield _bucket_marks(held, window)
                     held = []
-                held.append(p)
+                held.append({"bucket": buckets[i], "packed": packed[i].as_py()} | {k: v.to_numpy() for k, v in lists.items()})
         if held:
             yield _bucket_marks(held, window)
 

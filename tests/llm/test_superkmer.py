@@ -72,16 +72,29 @@ def test_empty_table(spark):
     assert sk.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_long_documents_are_cut_into_segments(spark, monkeypatch):
+def test_long_documents_are_cut_into_parts(monkeypatch):
     monkeypatch.setattr(sk, "_SEGMENT", 37)
-    segments = [(1, 2, 0, [b"%d" % (i % 90) for i in range(300)])]
-    whole = sk._Batch(segments, 20, 4)
-    later, first = sk._later(whole.codes, whole.at, whole.key, whole.hash, 20)
-    assert later.sum() == 300 - 19 - 90 and first.sum() == 90
+    monkeypatch.setattr(sk, "_BATCH", 100)
+    text = " ".join(str(i % 90) for i in range(300)).encode()
+    parts = list(sk._parts(text, 20))
+    assert [s for s, _ in parts] == list(range(0, 281, 37))
+    whole = sk._Batch([(1, 2, s, t) for s, t in parts], 20, 4)
+    later, first = sk._later(whole.words, whole.at, whole.key, whole.hash, 20)
+    assert len(whole.at) == 281 and later.sum() == 281 - 90 and first.sum() == 90
+
+
+def test_words_are_told_apart_by_their_bytes():
+    text = "a bb \t ccccccccc ccccccccd a bb\nÄÖÜäöüß x\x01y " + "z" * 40 + " " + "z" * 39 + "y"
+    words = sk._Words(text.encode())
+    plain = text.encode().split()
+    assert [words.text[s:s + n] for s, n in zip(words.start, words.length)] == plain
+    for i, a in enumerate(plain):
+        for j, b in enumerate(plain):
+            assert bool(words.equal(np.array([i]), np.array([j]))[0]) == (a == b)
+            assert (words.hash[i] == words.hash[j]) == (a == b)
 
 
 def test_equal_hashes_of_unequal_words_are_told_apart():
-    codes = np.array([1, 2, 3, 1, 2, 4, 1, 2, 3])
-    at = np.array([0, 3, 6])
-    later, first = sk._later(codes, at, np.array([5, 6, 7]), np.zeros(3, np.uint64), 3)
+    words = sk._Words(b"1 2 3 1 2 4 1 2 3")
+    later, first = sk._later(words, np.array([0, 3, 6]), np.array([5, 6, 7]), np.zeros(3, np.uint64), 3)
     assert later.tolist() == [False, False, True] and first.tolist() == [True, True, False]
