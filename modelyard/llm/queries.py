@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.base import Runner
 from ..session import tune
-from . import radix, sharding, simhash, superkmer, warc
+from . import langid, packing, pii, radix, sharding, simhash, superkmer, warc
 
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,30 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op8_warc",
+    r"""
+    WITH p AS (
+      SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+    d AS (
+      SELECT page_id, octet_length(body) AS payload_bytes, max(page_id) OVER (PARTITION BY body) AS best,
+             array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda k:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                 ((CAST('0x' || substr(hex, CAST(5 * i + 1 AS INT), 5) AS BIGINT) >> k) & 31) + 1, 1)), '')), '')
+               AS payload_digest
+      FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> best THEN best END AS refers_to
+    FROM d""",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(folder, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 SHARDS = 8
 
 
@@ -132,3 +156,61 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.substring_dedup(table(spark, sf_dir, "documents")).select(
         F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's definition, read where the driver runs."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def placed_pieces(docs: DataFrame, definition: str) -> DataFrame:
+    """Pieces with their places and the checksum of their ids."""
+    cut = packing.pieces(docs, definition).select(
+        F.col("doc").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    return packing.packed(cut).select("doc.*", "sequence_id", "offset")
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placed_pieces(table(spark, sf_dir, "documents"), tokenizer_definition())
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identified(docs, langid.text_model(docs), carry=["doc_id"])
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), "language", F.round("probability", 6).alias("probability"), "accepted"
+    )
+
+
+@query("pages_language_id")
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over raw pages: markup language, address suffix and host of the url."""
+    seen = table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_replace("html", "(?s)<script.*?</script>|<style.*?</style>|<[^>]*+>", " ").alias("text"),
+        F.nullif(F.regexp_extract("html", '(?i)<html[^>]*?\\blang="?([a-z]+)', 1), F.lit("")).alias("declared"),
+        F.nullif(F.regexp_extract("url", "^[a-z]+://([^/:?#]+)", 1), F.lit("")).alias("host"),
+    )
+    model = langid.text_model(seen, label="declared", key="page_id")
+    return langid.identified(seen, model, declared="declared", host="host", carry=["page_id", "declared"]).select(
+        F.col("doc.page_id").alias("page_id"), F.col("doc.declared").alias("declared"), "language", "accepted"
+    )
+
+
+@query("op1_pii")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.annotated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), *counts,
+        F.sha2(pii.spelled("base").cast("binary"), 256).alias("base_sha256"), pii.spelled("spans").alias("spans"),
+    )
