@@ -17,7 +17,7 @@ null keys are never smallest unless a group has no other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -170,7 +170,8 @@ def links(entries: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFram
     )
     x = F.col("a").bitwiseXOR(F.col("b"))
     pairs = lists.where("n = 2").where((shared_bytes(x) >= least) & (F.bit_count(x) <= distance)).select("a", "b")
-    long = index.join(lists.where("n > 2").select("position", "key", "n"), ["position", "key"])
+    longer = lists.where("n > 2").select("position", "key", "n").hint("merge")  # one shape at every size
+    long = index.join(longer, ["position", "key"])
     dealt = blocks_of(long, F.col("n"), F.col("fp"), block).select("position", "key", "_i", "_j", "fp")
     place = ["position", "key", "_i", "_j"]
     inside = (
@@ -188,17 +189,18 @@ def classes(rows: DataFrame, distance: int = 3) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3
+    df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """(doc, fp, component): every row as a struct, its fingerprint and the smallest key
-    of its component."""
+    """(doc, fp, component): the carried columns of every row (all of them unless named,
+    the key always) as a struct, its fingerprint and the smallest key of its component."""
+    kept = df.columns if carry is None else [key, *(c for c in carry if c != key)]
     rows = stored(
-        df.select(whole_row(df).alias("doc"), fingerprint(F.col(f"`{text}`"), shingle).alias("fp")), "fingerprinted"
+        df.select(
+            F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), fingerprint(F.col(f"`{text}`"), shingle).alias("fp")
+        ),
+        "fingerprinted",
     )
-    return _with_component(rows, key, distance)
-
-
-def _with_component(rows: DataFrame, key: str, distance: int) -> DataFrame:
     roots = stored(classes(rows, distance), "roots")
     smallest = rows.groupBy("fp").agg(F.min(f"doc.{key}").alias("low"))
     rooted = smallest.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
