@@ -49,15 +49,16 @@ def first_of(*columns: Column | str) -> Column:
 def blocks_of(df: DataFrame, size: Column, member: Column, block: int) -> DataFrame:
     """Deal a bucket of `size` rows into blocks and each row to every pair of its block.
 
-    Adds `_i <= _j`: any two members of a bucket meet in at least one (_i, _j), and no
-    (_i, _j) holds more than about two blocks. A bucket of one block is dealt once.
+    Adds `_i <= _j` and the row's own block `_mine`: any two members of a bucket meet in
+    (_i, _j) of their blocks, and no (_i, _j) holds more than about two blocks. A bucket of
+    one block is dealt once.
     """
     n = F.ceil(size / F.lit(block)).cast("int")
     mine = F.pmod(F.xxhash64(member), n).cast("int")
     dealt = df.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0), n - 1)))
     return (
         dealt.withColumn("_i", F.least("_mine", "_other")).withColumn("_j", F.greatest("_mine", "_other"))
-        .drop("_mine", "_other")
+        .drop("_other")
     )
 
 

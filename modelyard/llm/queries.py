@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.base import Runner
 from ..session import tune
-from . import langid, packing, pii, radix, sharding, simhash, superkmer, warc
+from . import caps, langid, packing, pii, radix, sharding, simhash, superkmer, warc
 
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op2_simhash_near_duplicates")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return found.select(
         F.col("doc.doc_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
@@ -214,3 +214,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), *counts,
         F.sha2(pii.spelled("base").cast("binary"), 256).alias("base_sha256"), pii.spelled("spans").alias("spans"),
     )
+
+
+@query("op3_spherical_caps")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = caps.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select(
+        F.col("key").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+        F.coalesce(F.col("key") == F.col("component"), F.lit(False)).alias("kept"),
+    )
