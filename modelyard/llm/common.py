@@ -6,12 +6,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import workspace
+from ..session import tune, workspace
 
 #: The white space of all word and normalisation rules here: blank, tab to carriage return.
 SPACES = " \t\n\v\f\r"
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """The package's options, and small batches for Python workers: rows hold whole texts."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    return spark
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table under the shared folder and read it again.
 

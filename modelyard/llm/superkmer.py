@@ -33,7 +33,7 @@ from .common import stored
 
 WINDOW = 20
 RUN = 4  # words hashed together for a minimiser
-BUCKET_BYTES = 8 << 20  # source text whose windows one bucket holds on average
+BUCKET_BYTES = 4 << 20  # source text whose windows one bucket holds on average
 BINS = 64  # bins of minimisers counted for each bucket
 HOT_BINS = 1_000_000  # at most so many bins can be split, which bounds what is broadcast
 _BATCH = 4 << 20  # bytes of text whose windows are sorted together before they travel
