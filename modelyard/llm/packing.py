@@ -37,8 +37,8 @@ TURNS = 192  # steps of the multiplicative weights
 RATE = 0.01  # how fast prices fall with the share of demand that is covered
 LONG_FIRST = 1.05  # first prices are lengths to this power, so long pieces are served first
 _CHUNK_BITS = 16  # rows of a partition ranked together, as a power of two
-_WORDS = 800_000  # words whose ids a task keeps; more are looked up anew
-_SLICE = 200_000  # words of a document coded at a time
+_WORDS = 1_500_000  # words whose ids a task keeps; more are looked up anew
+_SLICE = 100_000  # words coded at a time
 
 
 class WordIds:
@@ -79,21 +79,43 @@ class WordIds:
         for w in words:
             self.known[w] = len(self.known)
 
-    def ids(self, text: bytes) -> np.ndarray:
-        words, out = text.split(), []
-        for begin in range(0, len(words), _SLICE):
-            part = words[begin:begin + _SLICE]
-            if len(self.known) > _WORDS:
-                self.clear()
-            known = self.known
-            new = [w for w in part if w not in known]
-            if new:
-                self._add(list(dict.fromkeys(new)))
-            at = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
-            count = self.count[at]
-            before = np.cumsum(count) - count
-            out.append(self.flat[np.repeat(self.first[at] - before, count) + np.arange(count.sum())])
-        return np.concatenate(out) if out else np.empty(0, np.uint32)
+    def _coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words one after the other, and how many each has."""
+        if len(self.known) > _WORDS:
+            self.clear()
+        at = list(map(self.known.get, words))
+        if None in at:
+            self._add(list(dict.fromkeys(w for w, a in zip(words, at) if a is None)))
+            at = list(map(self.known.__getitem__, words))
+        at = np.array(at, np.int64)
+        count = self.count[at]
+        before = np.cumsum(count) - count
+        return self.flat[np.repeat(self.first[at] - before, count) + np.arange(count.sum())], count
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text; many texts are coded together and long ones in slices."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held, words = [], []
+
+        def code() -> None:
+            ids, count = self._coded(words)
+            ends, at = np.append(0, np.cumsum(count)), 0
+            for text, n in held:
+                out[text].append(ids[ends[at]:ends[at + n]])
+                at += n
+
+        for i, text in enumerate(texts):
+            mine = text.split()
+            for begin in range(0, len(mine), _SLICE):
+                part = mine[begin:begin + _SLICE]
+                if words and len(words) + len(part) > _SLICE:
+                    code()
+                    held, words = [], []
+                held.append((i, len(part)))
+                words.extend(part)
+        if held:
+            code()
+        return [np.concatenate(x) if x else np.empty(0, np.uint32) for x in out]
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -118,9 +140,9 @@ def _cut(definition, length: int, end: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, held, size = word_ids(definition.value), [], 0
         for rows in batches:
-            docs, texts = rows.column(0), rows.column(1).cast(pa.binary())
-            for i in range(rows.num_rows):
-                ids = np.append(coder.ids(texts[i].as_py() or b""), np.uint32(end)).astype("<u4")
+            docs = rows.column(0)
+            for i, ids in enumerate(coder.ids([t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()])):
+                ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), length)):
                     part = ids[start:start + length]
                     held.append((docs.slice(i, 1), k, start, len(part), part.tobytes()))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.base import Runner
-from ..session import tune
-from . import caps, langid, packing, pii, radix, sharding, simhash, superkmer, warc
+from . import caps, langid, lattice, packing, pii, radix, sharding, simhash, superkmer, warc
+from .common import tuned
 
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
@@ -14,7 +14,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(run: Runner) -> Runner:
-        QUERIES[name] = lambda spark, sf_dir: run(tune(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: run(tuned(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return run
@@ -223,3 +223,25 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
         F.coalesce(F.col("key") == F.col("component"), F.lit(False)).alias("kept"),
     )
+
+
+def sentencepiece_model(name: str = "piece_bpe_32k.model") -> bytes:
+    """A public SentencePiece model, read where the driver runs."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+@query("op4_sentencepiece_sampling")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = spark.sparkContext.broadcast(sentencepiece_model())
+    body = F.coalesce(F.col("text"), F.lit(""))
+    coded = table(spark, sf_dir, "documents").select(
+        "doc_id", body.alias("text"), lattice.encode(body, F.xxhash64("doc_id"), model).alias("ids")
+    )
+    back = coded.select("*", lattice.decode("ids", model).alias("back"))
+    return back.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("back").cast("binary"), 256).alias("decoded_sha256"), (F.col("back") == F.col("text")).alias("lossless"),
+    )

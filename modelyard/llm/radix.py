@@ -69,14 +69,12 @@ def equal_rows(rows: DataFrame, first_digit: int = FIRST_DIGIT, wider: int = WID
         width *= wider
 
 
-def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, doc, keep_row, keep_key, size): every row as a struct, the row that stays of
-    those with an equal normalised text, and how many there are."""
+def _decided(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """All rows, numbered, and for those with an equal the row that stays."""
     rows = stored(df.select(F.monotonically_increasing_id().alias("row"), whole_row(df).alias("doc")), "numbered")
     text_of = F.col(f"doc.`{text}`")
     same = equal_rows(rows.select("row", normalised(text_of).cast("binary").alias("bytes")))
-    key_of = F.col(f"doc.`{key}`")
-    rank = rows.select("row", key_of.alias("key"), F.char_length(F.coalesce(text_of, F.lit(""))).alias("long"))
+    rank = rows.select("row", F.col(f"doc.`{key}`").alias("key"), F.char_length(F.coalesce(text_of, F.lit(""))).alias("long"))
     ranked = stored(same.join(rank, "row"), "equal-rows")
     stays = stored(
         ranked.groupBy("same")
@@ -84,7 +82,14 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") ->
         .select("same", F.col("best.v2").alias("keep_row"), F.col("best.v1").alias("keep_key"), "size"),
         "equal-groups",
     )
-    decided = stored(ranked.select("row", "same").join(stays, "same").drop("same"), "decided")
+    return rows, stored(ranked.select("row", "same").join(stays, "same").drop("same"), "decided")
+
+
+def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, doc, keep_row, keep_key, size): every row as a struct, the row that stays of
+    those with an equal normalised text, and how many there are."""
+    rows, decided = _decided(df, key, text)
+    key_of = F.col(f"doc.`{key}`")
     own = F.col("keep_row").isNull()
     return rows.join(decided, "row", "left").select(
         "row", "doc",
@@ -95,5 +100,10 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df`, one of each group of equal normalised texts."""
-    return exact_duplicates(df, key, text).where("row = keep_row").select("doc.*")
+    """The rows of `df`, one of each group of equal normalised texts.
+
+    Only the numbers of the rows that go are joined with the texts.
+    """
+    rows, decided = _decided(df, key, text)
+    gone = stored(decided.where("row <> keep_row").select("row"), "duplicates")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
