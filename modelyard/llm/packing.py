@@ -321,7 +321,7 @@ def packed(df: DataFrame, length: int = LENGTH, size: str = "length", turns: int
         counts.select("chunk", "length", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before")), "length-ranks"
     )
     inside = F.row_number().over(W.partitionBy("chunk", "length").orderBy("row")) - 1
-    ranked = rows.select("*", chunk).join(before, ["chunk", "length"]).withColumn("rank", F.col("before") + inside)
+    ranked = rows.select("*", chunk).join(before.hint("merge"), ["chunk", "length"]).withColumn("rank", F.col("before") + inside)
     return ranked.select("doc", _place(where)("length", "rank").alias("at")).select("doc", "at.*")
 
 
