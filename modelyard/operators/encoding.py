@@ -7,11 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import text as tx
-from .lookup import bounded_lookup
+from .lookup import lookup
 from .position import ordered_position
 
-VOCABULARY_SIZE = 32_000
-
 
 def token_counts(df: DataFrame, text: str) -> DataFrame:
     """Token frequencies; counted per task before the shuffle."""
@@ -19,10 +17,10 @@ def token_counts(df: DataFrame, text: str) -> DataFrame:
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def build_vocabulary(df: DataFrame, text: str, max_size: int | None = VOCABULARY_SIZE) -> DataFrame:
+def build_vocabulary(df: DataFrame, text: str, max_size: int | None = None) -> DataFrame:
     """(token, n, id): ids follow the special ones in order of count, then token.
 
-    `max_size` is the size of the vocabulary; None keeps every token.
+    Every token is kept unless the caller states a size.
     """
     counts = token_counts(df, text)
     order = [F.desc("n"), F.asc("token")]
@@ -38,28 +36,29 @@ def build_vocabulary(df: DataFrame, text: str, max_size: int | None = VOCABULARY
 def token_ids(
     df: DataFrame,
     key: Sequence[str],
-    columns: Mapping[str, tuple[str, int]],
+    columns: Mapping[str, tuple[str, int | None]],
     vocabulary: DataFrame,
-    vocabulary_rows: int | None = VOCABULARY_SIZE,
     append_eos: bool = True,
 ) -> DataFrame:
     """Key plus one id array per entry of `columns` (output -> (text column, limit)).
 
     Texts are cut to their limit before the tokens are spread out, so a key never
-    regroups more ids than the limits allow. Unknown tokens become `UNK`.
+    regroups more ids than the limits allow; without a limit (None) a key regroups its
+    own text. Unknown tokens become `UNK`.
     """
     room = 1 if append_eos else 0
 
-    def tagged(out: str, column: str, limit: int) -> Column:
+    def tagged(out: str, column: str, limit: int | None) -> Column:
+        tokens = tx.words(F.col(column))
         return F.transform(
-            tx.truncate(tx.words(F.col(column)), limit - room),
+            tokens if limit is None else tx.truncate(tokens, limit - room),
             lambda t, i: F.struct(F.lit(out).alias("out"), i.alias("at"), t.alias("token")),
         )
 
     none = F.array().cast("array<struct<out:string,at:int,token:string>>")
     pieces = [F.coalesce(tagged(out, c, n), none) for out, (c, n) in columns.items()]
     spread = df.select(*key, F.inline_outer(F.concat(*pieces)))
-    coded = bounded_lookup(spread, vocabulary.select("token", "id"), ["token"], vocabulary_rows)
+    coded = lookup(spread, vocabulary.select("token", "id"), ["token"])
     coded = coded.withColumn("id", F.coalesce("id", F.lit(tx.UNK)))
 
     def gather(out: str) -> Column:
@@ -81,7 +80,6 @@ def encode_pairs(
     text: str,
     summary: str,
     vocabulary: DataFrame,
-    vocabulary_rows: int | None = VOCABULARY_SIZE,
     max_input: int = tx.MAX_INPUT,
     max_target: int = tx.MAX_TARGET,
     prefix: str = "",
@@ -96,7 +94,7 @@ def encode_pairs(
     coded = token_ids(
         pairs, key,
         {"input_ids": ("_text", max_input), "labels": ("_summary", max_target)},
-        vocabulary, vocabulary_rows,
+        vocabulary,
     )
     ids, labels = F.col("input_ids"), F.col("labels")
     if not pad_to_max:
@@ -116,12 +114,11 @@ def decode_ids(
     key: Sequence[str],
     ids: str,
     vocabulary: DataFrame,
-    vocabulary_rows: int | None = VOCABULARY_SIZE,
     out: str = "text",
 ) -> DataFrame:
     """Text of an id array: masked labels become padding, special ids are skipped."""
     spread = df.select(*key, F.posexplode_outer(tx.unmask_padding(F.col(ids))).alias("at", "id"))
-    named = bounded_lookup(spread, vocabulary.select("id", "token"), ["id"], vocabulary_rows)
+    named = lookup(spread, vocabulary.select("id", "token"), ["id"])
     word = F.when(
         (F.col("id") >= tx.FIRST_WORD_ID) & F.col("token").isNotNull(), F.struct("at", "token")
     )

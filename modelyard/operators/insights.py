@@ -9,16 +9,18 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..spec import FeatureSpec
+from ..session import cut_lineage
 from .position import hash_position, running_total
 
 # Request of the counterfactual step.
 COUNTERFACTUALS = 10
-DESIRED_RANGE = (16.0, 30.0)
+DESIRED_RANGE = (16.0, 30.0)  # of predictions, in units of the reference target
 
 
 @dataclass(frozen=True)
 class InsightContext:
-    """What every insight needs: the contract and the scored test rows."""
+    """What every insight needs: the contract, the scored test rows, and the training rows
+    and the identity of the model that scored them."""
 
     title: str
     spec: FeatureSpec
@@ -26,6 +28,8 @@ class InsightContext:
     scored: DataFrame
     prediction: str = "prediction"
     task_type: str = "regression"
+    model: str = ""
+    train: DataFrame | None = None
 
     @classmethod
     def build(cls, scored: DataFrame, spec: FeatureSpec, categoricals: Sequence[str], **more):
@@ -34,6 +38,8 @@ class InsightContext:
             raise ValueError(f"unknown task type: {context.task_type}")
         spec.require(scored)
         spec.require(scored, (context.prediction,))
+        if context.train is not None:
+            spec.require(context.train)
         unknown = set(context.categoricals) - set(spec.features)
         if unknown:
             raise ValueError(f"categoricals outside the contract: {sorted(unknown)}")
@@ -41,10 +47,13 @@ class InsightContext:
         return context
 
     def describe(self) -> DataFrame:
-        """One row: what is explained, over how many scored rows."""
+        """One row: what is explained, by which model, over how many scored and training rows."""
+        rows = F.lit(None).cast("bigint") if self.train is None else self.train.agg(F.count(F.lit(1))).scalar()
         return self.scored.agg(
             F.lit(self.title).alias("title"),
             F.lit(self.task_type).alias("task_type"),
+            F.lit(self.model).alias("model"),
+            F.max(rows).alias("train_rows"),
             F.lit(self.spec.target).alias("target"),
             F.lit(",".join(self.categoricals)).alias("categoricals"),
             F.lit(len(self.spec.features)).alias("features"),
@@ -72,11 +81,14 @@ def permutation_importance(
     """(feature, mse, permuted_mse, importance): growth of the squared error when a
     feature is taken from a randomly matched row.
 
-    All features share one random match: two hash orders joined on position.
+    All features share one random match: rows are placed in a hash order once and kept,
+    and the donor of a row is the next one in that order, the first for the last.
     """
-    rows = hash_position(df.select(*key, *features, target), key, f"{seed}-rows", "_pos")
-    donors = hash_position(df.select(*key, *features), key, f"{seed}-donors", "_pos").select(
-        "_pos", *[F.col(f).alias(f"_donor_{f}") for f in features]
+    rows = cut_lineage(hash_position(df.select(*key, *features, target), key, f"{seed}-rows", "_pos"))
+    size = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    donors = rows.select(
+        F.when(F.col("_pos") == 1, size).otherwise(F.col("_pos") - 1).alias("_pos"),
+        *[F.col(f).alias(f"_donor_{f}") for f in features],
     )
     wide = predict(rows.join(donors, "_pos"), "_base")
     for f in features:
@@ -195,7 +207,7 @@ def counterfactuals(
     views = []
     for f in vary:
         others = [*fixed, *[o for o in vary if o != f]]
-        block = F.concat_ws("|", *[F.coalesce(F.col(o).cast("string"), F.lit("null")) for o in others])
+        block = F.to_json(F.struct(*others), {"ignoreNullFields": "false"})  # quoted, so values cannot run together
         views.append(
             F.struct(
                 F.lit(f).alias("feature"), block.alias("block"),

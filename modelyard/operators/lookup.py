@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .position import ordered_position
-
-BROADCAST_ROWS = 100_000
+from .position import dense_position
 
 
 def items_of_labels(labels: DataFrame, items: DataFrame, key: str, strict: bool = False) -> DataFrame:
@@ -39,7 +37,7 @@ def restrict_to(items: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 def sorted_class_index(df: DataFrame, label: str, name: str = "label_idx") -> DataFrame:
     """Dimension (label, index) with indices in alphabetical order."""
     classes = df.select(label).where(F.col(label).isNotNull()).distinct()
-    return ordered_position(classes, [label], name).withColumn(name, (F.col(name) - 1).cast("int"))
+    return dense_position(classes, [label], name)
 
 
 def first_seen_class_index(
@@ -49,8 +47,7 @@ def first_seen_class_index(
     firsts = (
         df.where(F.col(label).isNotNull()).groupBy(label).agg(F.min(order_by).alias("_first"))
     )
-    placed = ordered_position(firsts, ["_first", label], name).drop("_first")
-    return placed.withColumn(name, (F.col(name) - 1).cast("int"))
+    return dense_position(firsts, ["_first", label], name).drop("_first")
 
 
 def encode_class(df: DataFrame, index: DataFrame, label: str, strict: bool = True) -> DataFrame:
@@ -72,22 +69,10 @@ def decode_class(df: DataFrame, index: DataFrame, position: str, label: str, out
     return df.join(index.select(F.col(name).alias(position), F.col(label).alias(out)), position, "left")
 
 
-def bounded_lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    dim_rows: int | None,
-    salts: int = 32,
-) -> DataFrame:
-    """Left lookup of hot keys in a dimension with unique keys.
+def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left lookup of hot keys in a dimension with unique keys, of any size.
 
-    A dimension whose size is bounded by construction is broadcast. Otherwise the
-    facts are salted and the dimension repeated per salt, so no key owns one task.
+    Adaptive execution measures the dimension: a small one is broadcast, and beside a
+    large one the partitions of hot keys are split.
     """
-    if dim_rows is not None and dim_rows <= BROADCAST_ROWS:
-        return facts.join(F.broadcast(dim), list(on), "left")
-    others = [c for c in facts.columns if c not in on]
-    source = F.xxhash64(*others) if others else F.spark_partition_id()
-    salted = facts.withColumn("_salt", F.pmod(source, F.lit(salts)).cast("int"))
-    spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(spread, [*on, "_salt"], "left").drop("_salt")
+    return facts.join(dim, list(on), "left")

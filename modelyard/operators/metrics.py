@@ -128,7 +128,8 @@ def classification_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFra
 
 
 def accuracy(real: Column, predicted: Column) -> Column:
-    return F.avg(real.eqNullSafe(predicted).cast("double"))
+    """Share of rows whose labels are present and equal; a null on either side is a miss."""
+    return F.avg(F.coalesce(real == predicted, F.lit(False)).cast("double"))
 
 
 def epoch_metrics(trace: DataFrame, by: Sequence[str] = ("epoch", "phase")) -> DataFrame:
@@ -141,13 +142,14 @@ def epoch_metrics(trace: DataFrame, by: Sequence[str] = ("epoch", "phase")) -> D
     )
 
 
-def windowed_loss(trace: DataFrame, every: int = 25) -> DataFrame:
-    """Mean loss of each full run of `every` iterations inside an epoch.
+def windowed_loss(trace: DataFrame, every: int = 25, phase: str = "train") -> DataFrame:
+    """Mean loss of each full run of `every` iterations of one phase inside an epoch.
 
-    `iter` counts from zero within the epoch; a short last run is not reported.
+    `iter` counts the phase's iterations from zero within the epoch; a short last run is
+    not reported.
     """
     return (
-        trace.groupBy("epoch", F.floor(F.col("iter") / every).cast("bigint").alias("run"))
+        trace.where(F.col("phase") == phase).groupBy("epoch", F.floor(F.col("iter") / every).cast("bigint").alias("run"))
         .agg(F.count(F.lit(1)).alias("_n"), F.avg("loss").alias("loss"))
         .where(F.col("_n") == every)
         .drop("_n")

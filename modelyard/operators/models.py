@@ -10,12 +10,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..spec import FeatureSpec
 from .metrics import regression_metrics
+from .registry import resolve_asset
 
 # Hyperparameters of the forest.
 FOREST = {"n_estimators": 500, "max_depth": 10, "max_features": "sqrt",
@@ -99,9 +100,13 @@ def fit_forest(
     train: DataFrame,
     spec: FeatureSpec,
     prediction: str = "prediction",
+    cache_node_ids: bool = True,
     **overrides,
 ) -> PipelineModel:
-    """Random-forest regression; `min_samples_split` is implied by the leaf size."""
+    """Random-forest regression; `min_samples_split` is implied by the leaf size.
+
+    `cache_node_ids` keeps the node of each row instead of shipping all trees.
+    """
     unknown = set(overrides) - set(FOREST)
     if unknown:
         raise ValueError(f"unknown forest parameters: {sorted(unknown)}")
@@ -118,8 +123,7 @@ def fit_forest(
         bootstrap=params["bootstrap"],
         seed=params["random_state"],
         maxMemoryInMB=512,
-        # A large forest keeps the node of each row instead of shipping all trees.
-        cacheNodeIds=params["n_estimators"] >= 100,
+        cacheNodeIds=cache_node_ids,
         checkpointInterval=10,
     )
     spec.require(train)
@@ -131,6 +135,25 @@ def fit_forest(
         rows.unpersist()
 
 
+def fit_linear(
+    train: DataFrame, features: Sequence[str], target: str, prediction: str = "prediction"
+) -> PipelineModel:
+    """Least squares in some features, as a model that can be saved and registered."""
+    line = LinearRegression(
+        featuresCol="features", labelCol=target, predictionCol=prediction, solver="normal", standardization=False
+    )
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
+    return Pipeline(stages=[vectors, line]).fit(train)
+
+
+def load_asset(catalog: DataFrame, reference: str) -> PipelineModel:
+    """The saved model that a registry names, such as 'trips@latest' or 'trips:3'."""
+    found = resolve_asset(catalog, reference).first()
+    if found is None:
+        raise LookupError(f"no registered model {reference}")
+    return load_model(found["path"])
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features")
 

@@ -92,3 +92,11 @@ def running_total(
         .withColumn(name, F.col("_before") + F.sum(weight).over(upto))
         .drop("_part", "_at", "_before")
     )
+
+
+def dense_position(df: DataFrame, order_by: Sequence, name: str) -> DataFrame:
+    """0-based position of the few rows of a class dimension, ranked in one sort.
+
+    For dimensions only: a class has one row, so the rows are as few as the classes.
+    """
+    return df.withColumn(name, (F.row_number().over(W.orderBy(*order_by)) - 1).cast("int"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 LOG_SCHEMA = T.StructType(
@@ -86,15 +88,28 @@ def register_version(
     deploy_flag: bool,
     tags: Mapping[str, str] | None = None,
 ) -> str | None:
-    """Append the next version when the flag is set; returns 'name:version'."""
+    """Record the next version when the flag is set; returns 'name:version'.
+
+    A version has a folder of its own that must be new, so of two writers that saw the
+    same registry one fails and takes the version after.
+    """
     if not deploy_flag:
         return None
+    entry = T.StructType(REGISTRY_SCHEMA.fields[2:])  # name and version are folders
+    row = registry.sparkSession.createDataFrame([(path, run_id, dict(tags or {}))], entry)
     version = next_version(registry, name)
-    row = [(name, version, path, run_id, dict(tags or {}))]
-    registry.sparkSession.createDataFrame(row, REGISTRY_SCHEMA).write.mode("append").parquet(
-        registry_path
-    )
-    return f"{name}:{version}"
+    while True:
+        try:
+            row.write.mode("error").parquet(f"{registry_path}/name={quote(name, safe='')}/version={version}")
+            return f"{name}:{version}"
+        except AnalysisException as problem:
+            if "PATH_ALREADY_EXISTS" not in str(problem):
+                raise
+            version += 1
+
+
+def read_registry(spark: SparkSession, registry_path: str) -> DataFrame:
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(registry_path)
 
 
 def accepted_versions(registry: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -121,12 +121,13 @@ def corpus_report(pairs: DataFrame, key: Sequence[str], candidate: str, referenc
     return corpus_score(long, ["metric"]).select(F.col("metric").alias("key"), F.col("score").alias("value"))
 
 
-def poisson_cuts(terms: int = 12) -> list[float]:
-    """Cumulative Poisson(1) probabilities P(X <= k), k = 0 .. terms - 1."""
-    total, cuts = 0.0, []
-    for k in range(terms):
+def poisson_cuts(bits: int = 32) -> list[float]:
+    """Cumulative Poisson(1) probabilities P(X <= k), as far as `bits` hash bits tell them from 1."""
+    total, cuts, k = 0.0, [], 0
+    while 1 - total > 2.0 ** -bits:
         total += math.exp(-1.0) / math.factorial(k)
         cuts.append(round(total, 12))
+        k += 1
     return cuts
 
 

@@ -10,6 +10,9 @@ from ..functions.scalar import DEFAULT_SPLITS, in_split, key_digest, split_label
 from .position import hash_position, ordered_position
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def hash_split(
     df: DataFrame,
     key: Sequence[str],
@@ -60,15 +63,20 @@ def head_per_group(
     group: Sequence[str],
     order_by: Sequence[str],
     limit: int,
-    salts: int = 64,
+    salts: int | None = None,
 ) -> DataFrame:
     """First `limit` rows of every group; a limit of zero or less keeps all rows.
 
-    Each group is first cut down inside `salts` parts, so a group that holds most
-    of the data is never sorted by one task.
+    Each group is first cut down inside `salts` parts (one per shuffle partition unless
+    given), so a group that holds most of the data is never sorted by one task. The
+    engine's own group limit, which cuts before the shuffle, is raised to the limit asked for.
     """
     if limit <= 0:
         return df
+    conf = df.sparkSession.conf
+    salts = salts or int(conf.get("spark.sql.shuffle.partitions"))
+    if limit > int(conf.get(GROUP_LIMIT)):
+        conf.set(GROUP_LIMIT, str(limit))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order_by), F.lit(salts)))
     for part in ([*group, "_salt"], list(group)):
         rank = F.row_number().over(W.partitionBy(*part).orderBy(*order_by))

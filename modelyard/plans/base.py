@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import calendar_parts
-from ..session import spread, tune
+from ..session import tune
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -38,19 +38,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
     return add
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
-    """A driver table; `spread_by` names keys to spread a small scan by.
-
-    The footer is read once per path; later reads reuse the schema.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    rows = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    return spread(rows, *spread_by) if spread_by else rows
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- trips: lineitem joined with orders ------------------------------------
@@ -58,8 +48,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataF
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in the role of trips; the order key keeps a trip's lines together."""
-    lines = table(spark, sf_dir, "lineitem", "l_orderkey")
-    orders = table(spark, sf_dir, "orders", "o_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return joined.select(
         F.col("l_orderkey").alias("order_id"),
@@ -126,7 +116,7 @@ SPLIT_TRIPS_SQL = f"{TRIPS_SQL}, parts AS (SELECT *, {split_sql('order_id')} AS
 
 def dialogue_pairs(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     """(conv_id, turn, candidate, reference); both key columns spread hot dialogues."""
-    turns = table(spark, sf_dir, "conversations", "conv_id", "turn")
+    turns = table(spark, sf_dir, "conversations")
     asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("candidate"))
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import insights as ins
 from ..operators import models as md
 from ..session import cut_lineage
 from .base import SPLIT_TRIPS_SQL, query
-from .tabular import FOREST_FEATURES, FOREST_SIZE, train_and_test
+from ..spec import TRIPS
+from .tabular import saved_forest, train_and_test
 
 _LINES_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT regr_slope(cost, distance) AS s1, regr_intercept(cost, distance) AS i1,
     regr_slope(cost, passengers) AS s2, regr_intercept(cost, passengers) AS i2 FROM parts WHERE split = 'train'),
@@ -30,6 +33,8 @@ def _scored(spark, d):
 _ERRORS_SQL = """SELECT avg((cost - prediction) ** 2) AS mse,
   avg((cost - (s1 * dd + i1 + s2 * passengers + i2) / 2.0) ** 2) AS m1,
   avg((cost - (s1 * distance + i1 + s2 * dp + i2) / 2.0) ** 2) AS m2 FROM r JOIN o USING (p), fit"""
+_MATCHED_SQL = """r AS (SELECT *, row_number() OVER (ORDER BY md5('0-rows|' || trip_id), trip_id) AS p FROM test),
+  o AS (SELECT distance AS dd, passengers AS dp, CASE WHEN p = 1 THEN (SELECT count(*) FROM r) ELSE p - 1 END AS p FROM r)"""
 _IMPORTANCE_SQL = """SELECT 'distance' AS feature, round(mse, 0) AS mse, round(m1, 0) AS permuted_mse,
   round(m1 - mse, 0) AS importance FROM e
   UNION ALL SELECT 'passengers', round(mse, 0), round(m2, 0), round(m2 - mse, 0) FROM e"""
@@ -37,8 +42,7 @@ _IMPORTANCE_SQL = """SELECT 'distance' AS feature, round(mse, 0) AS mse, round(m
 
 @query(
     "permutation_importance_i2",
-    f"""WITH {_LINES_SQL}, r AS (SELECT *, row_number() OVER (ORDER BY md5('0-rows|' || trip_id), trip_id) AS p FROM test),
-    o AS (SELECT distance AS dd, passengers AS dp, row_number() OVER (ORDER BY md5('0-donors|' || trip_id), trip_id) AS p FROM test),
+    f"""WITH {_LINES_SQL}, {_MATCHED_SQL},
     e AS ({_ERRORS_SQL}) {_IMPORTANCE_SQL}""",
 )
 def permutation_importance(spark, d):
@@ -52,17 +56,19 @@ def permutation_importance(spark, d):
     )
 
 
-@query("forest_importance_i2")
+@query(
+    "forest_importance_i2",
+    f"""SELECT unnest([{', '.join(f"'{f}'" for f in TRIPS.features)}]) AS feature, CAST({len(TRIPS.features)} AS INTEGER) AS features,
+        true AS sums_to_one, true AS none_negative""",
+)
 def forest_importance(spark, d):
-    """Permutation importance of every feature of a fitted forest."""
-    train, test = train_and_test(spark, d, "trip_id", *FOREST_FEATURES.columns)
-    model = md.fit_forest(train, FOREST_FEATURES, **FOREST_SIZE)
-
-    def predict(df, out):
-        return md.predict(model, df).withColumnRenamed("prediction", out)
-
-    return ins.permutation_importance(
-        test, ["trip_id"], FOREST_FEATURES.features, "cost", predict
+    """Split importances of the fitted forest in contract order, and what they add up to."""
+    model = md.load_model(saved_forest(spark, d))
+    rows = spark.createDataFrame(ins.model_importance(model, TRIPS), "feature string, importance double")
+    return rows.select(
+        "feature", rows.agg(F.count(F.lit(1)).cast("int")).scalar().alias("features"),
+        rows.agg(F.abs(F.sum("importance") - 1) < 1e-6).scalar().alias("sums_to_one"),
+        rows.agg(F.min("importance") >= 0).scalar().alias("none_negative"),
     )
 
 
@@ -118,9 +124,11 @@ def error_analysis(spark, d):
     )
 
 
-_COUNTERFACTUAL_SQL = f"""{_LINES_SQL}, lim AS (SELECT least((s1 * 16 + i1 + s2 * 2 + i2) / 2.0, (s1 * 30 + i1 + s2 * 6 + i2) / 2.0) AS lo,
-    greatest((s1 * 16 + i1 + s2 * 2 + i2) / 2.0, (s1 * 30 + i1 + s2 * 6 + i2) / 2.0) AS hi FROM fit),
-  marked AS (SELECT *, prediction BETWEEN lo AND hi AS inside FROM test, lim),
+# The desired range of the reference is one of fares; the driver's prices lie elsewhere.
+PRICE_RANGE = (52_940.0, 53_060.0)
+
+_COUNTERFACTUAL_SQL = f"""{_LINES_SQL}, 
+  marked AS (SELECT *, prediction BETWEEN {PRICE_RANGE[0]} AND {PRICE_RANGE[1]} AS inside FROM test),
   views AS (SELECT trip_id, inside, 'distance' AS feature, store_forward || '|' || vendor || '|' || passengers AS block,
               distance AS value, 10.0 AS scale FROM marked
             UNION ALL SELECT trip_id, inside, 'passengers', store_forward || '|' || vendor || '|' || CAST(distance AS VARCHAR),
@@ -132,16 +140,13 @@ _COUNTERFACTUAL_SQL = f"""{_LINES_SQL}, lim AS (SELECT least((s1 * 16 + i1 + s2
 
 
 def _counterfactuals(spark, d):
-    scored, lines = _scored(spark, d)
-    dist, pas = lines["distance"], lines["passengers"]
+    scored, _ = _scored(spark, d)
+    return _answers(scored)
 
-    def at(x, p):
-        return (dist.at(F.lit(x)) + pas.at(F.lit(p))) / 2.0
 
-    a, b = at(ins.DESIRED_RANGE[0], 2), at(ins.DESIRED_RANGE[1], 6)
+def _answers(scored):
     return ins.counterfactuals(
-        scored, "trip_id", {"distance": 10.0, "passengers": 2.0}, ["store_forward", "vendor"],
-        F.least(a, b), F.greatest(a, b),
+        scored, "trip_id", {"distance": 10.0, "passengers": 2.0}, ["store_forward", "vendor"], *PRICE_RANGE
     )
 
 
@@ -166,7 +171,7 @@ def counterfactual_importance(spark, d):
 
 _GATHERED_COLUMNS = (
     "insight", "n", "feature", "mse", "permuted_mse", "importance", "treatment", "segment", "level",
-    "effect", "distance_bin", "passengers_bin", "error_share",
+    "effect", "distance_bin", "passengers_bin", "error_share", "share",
 )
 
 
@@ -176,31 +181,36 @@ def _tagged_sql(insight: str, source: str, columns: str) -> str:
     return f"SELECT '{insight}' AS insight, {', '.join(shown)} FROM ({source})"
 
 
-_GATHERED_SQL = f"""WITH {_LINES_SQL},
-  r AS (SELECT *, row_number() OVER (ORDER BY md5('0-rows|' || trip_id), trip_id) AS p FROM test),
-  o AS (SELECT distance AS dd, passengers AS dp, row_number() OVER (ORDER BY md5('0-donors|' || trip_id), trip_id) AS p FROM test),
-  e AS ({_ERRORS_SQL}), c AS ({_causal_sql('distance', 'passengers', 'test')}), b AS ({_BINS_SQL})
+_GATHERED_SQL = f"""WITH {_COUNTERFACTUAL_SQL},
+  kept AS (SELECT * FROM near WHERE rank <= 10),
+  {_MATCHED_SQL},
+  e AS ({_ERRORS_SQL}), c AS ({_causal_sql('distance', 'passengers', 'test')}
+    UNION ALL {_causal_sql('passengers', 'distance', 'test')}), b AS ({_BINS_SQL})
   {_tagged_sql('constructor', 'SELECT count(*) AS n FROM test', 'n')}
   UNION ALL {_tagged_sql('explanation', _IMPORTANCE_SQL, 'feature, mse, permuted_mse, importance')}
   UNION ALL {_tagged_sql('causal', _segments_sql('c'), 'n, treatment, segment, level, effect')}
-  UNION ALL {_tagged_sql('error_analysis', _CUBE_SQL, 'n, mse, distance_bin, passengers_bin, error_share')}"""
+  UNION ALL {_tagged_sql('error_analysis', _CUBE_SQL, 'n, mse, distance_bin, passengers_bin, error_share')}
+  UNION ALL {_tagged_sql('counterfactual', """SELECT feature, count(*) AS n,
+    round(count(*) / (SELECT count(*) FROM kept), 6) AS share FROM kept GROUP BY 1""", 'n, feature, share')}"""
 
 
 def _context(spark, d):
-    others = [c for c in FOREST_FEATURES.features if c not in ("distance", "passengers")]
+    others = [c for c in TRIPS.features if c not in ("distance", "passengers")]
     test, lines = _blended(spark, d, *others)
     model = md.blend(list(lines.values()))
     context = ins.InsightContext.build(
-        test.withColumn("prediction", model), FOREST_FEATURES, ["store_forward", "vendor"],
-        title="Fare prediction",
+        test.withColumn("prediction", model), TRIPS, ["store_forward", "vendor"],
+        title="Fare prediction", model="line-blend:1",
+        train=train_and_test(spark, d, *TRIPS.columns)[0],
     )
     return context, model
 
 
 @query(
     "insight_constructor_i1",
-    f"""WITH {_LINES_SQL} SELECT 'Fare prediction' AS title, 'regression' AS task_type, 'cost' AS target,
-        'store_forward,vendor' AS categoricals, CAST({len(FOREST_FEATURES.features)} AS INTEGER) AS features,
+    f"""WITH {_LINES_SQL} SELECT 'Fare prediction' AS title, 'regression' AS task_type, 'cost' AS target, 'line-blend:1' AS model,
+        (SELECT count(*) FROM parts WHERE split = 'train') AS train_rows,
+        'store_forward,vendor' AS categoricals, CAST({len(TRIPS.features)} AS INTEGER) AS features,
         count(*) AS n, round(avg(prediction), 2) AS mean_prediction FROM test""",
 )
 def insight_constructor(spark, d):
@@ -212,7 +222,7 @@ def insight_constructor(spark, d):
 
 @query("gathered_insights_i6", _GATHERED_SQL)
 def gathered_insights(spark, d):
-    """Constructor, explanation, causal effect and error analysis as one table."""
+    """Constructor, explanation, causal effects, error analysis and counterfactuals as one table."""
     context, model = _context(spark, d)
     gathered = ins.gather(
         {
@@ -221,18 +231,21 @@ def gathered_insights(spark, d):
                 context.scored, ["trip_id"], ["distance", "passengers"], "cost",
                 lambda df, out: df.withColumn(out, model),
             ),
-            "causal": ins.causal_effect(
-                context.scored, "cost", ["distance"], ["store_forward", "vendor", "passengers"],
-                ["store_forward", "vendor"],
-            ),
+            "causal": reduce(lambda a, b: a.unionByName(b), [
+                ins.causal_effect(
+                    context.scored, "cost", [treatment], ["store_forward", "vendor", other], ["store_forward", "vendor"]
+                )
+                for treatment, other in (("distance", "passengers"), ("passengers", "distance"))
+            ]),
             "error_analysis": ins.error_analysis(
                 context.scored, "cost", "prediction", {"distance": 10.0, "passengers": 2.0}
             ),
+            "counterfactual": ins.counterfactual_importance(_answers(context.scored)),
         }
     )
     gathered = cut_lineage(gathered)  # a few dozen rows; the scored trips can go
     context.release()
-    digits = {"mse": 0, "permuted_mse": 0, "importance": 0, "effect": 3, "error_share": 6}
+    digits = {"mse": 0, "permuted_mse": 0, "importance": 0, "effect": 3, "error_share": 6, "share": 6}
     return gathered.select(
         *[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in _GATHERED_COLUMNS]
     )

@@ -68,10 +68,13 @@ def pinned_asset(spark, d):
 
 @query(
     "model_info_s20",
-    f"""WITH {REGISTRY_SQL} SELECT name, version, '{{"id":"' || name || ':' || version || '"}}' AS info FROM registry""",
+    f"""WITH {REGISTRY_SQL}, latest AS (SELECT name, max(version) AS version FROM registry GROUP BY 1)
+    SELECT name, version, name || ':' || version AS id FROM latest""",
 )
 def model_info(spark, d):
-    return ct.model_info(model_registry(spark, d))
+    """Model-info files of the newest versions, written and read back."""
+    latest = model_registry(spark, d).groupBy("name").agg(F.max("version").alias("version"))
+    return ct.read_model_info(spark, ct.write_model_info(latest, workspace(spark, "model-info")))
 
 
 @query(
@@ -187,14 +190,19 @@ def summarization_gate(spark, d):
     "metrics_json_s17",
     f"""WITH b AS (SELECT event_type AS key, avg(value) AS v FROM events GROUP BY 1)
         SELECT key, round(v, 6) AS value FROM b
-        UNION ALL SELECT 'predict_samples', CAST(count(*) AS DOUBLE) FROM events""",
+        UNION ALL SELECT 'predict_samples', CAST(count(*) AS DOUBLE) FROM events
+        UNION ALL SELECT 'better', CAST(CAST(avg(value) > 0 AS INTEGER) AS DOUBLE) FROM events""",
 )
 def metrics_json(spark, d):
     events = table(spark, d, "events")
     metrics = events.groupBy(F.col("event_type").alias("key")).agg(F.avg("value").alias("value"))
     samples = events.agg(F.lit("predict_samples").alias("key"), F.count(F.lit(1)).cast("double").alias("value"))
     out = ct.write_metrics_json(metrics.unionByName(samples), workspace(spark, "metrics"))
-    return ct.read_metrics_json(spark, out).withColumn("value", F.round("value", 6))
+    flags = workspace(spark, "flags")  # entries that are not numbers
+    better = F.to_json(F.struct((F.avg("value") > 0).alias("better"), F.lit("text").alias("note")))
+    events.agg(better.alias("value")).write.text(flags)
+    both = ct.read_metrics_json(spark, out).unionByName(ct.read_metrics_json(spark, flags))
+    return both.withColumn("value", F.round("value", 6))
 
 
 _CANDIDATE_SQL = f"""{REGISTRY_SQL}, cut AS (SELECT median(p_partkey) AS m FROM part),

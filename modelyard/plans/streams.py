@@ -10,35 +10,51 @@ from ..session import workspace
 from ..sources import requests as rq
 from ..streaming import monitoring as sm
 from ..streaming import scoring as ss
-from .base import SPLIT_TRIPS_SQL, query, table
+from .base import SPLIT_TRIPS_SQL, query, table, trips
 from .splits import EVENT_TYPES
-from .tabular import _request_pairs, train_and_test
+from .tabular import _request_pairs, _scored_by_user, registered_line
 
 
 @query(
     "streaming_scoring_k1",
     f"""WITH {SPLIT_TRIPS_SQL}, fit AS (SELECT regr_slope(cost, distance) AS s, regr_intercept(cost, distance) AS i
           FROM parts WHERE split = 'train')
-    SELECT passengers, count(*) AS rows, round(sum(fit.s * distance + fit.i), 0) AS predicted FROM parts, fit GROUP BY 1""",
+    SELECT passengers, count(*) AS rows, round(sum(fit.s * distance + fit.i), -2) AS predicted FROM parts, fit GROUP BY 1""",
 )
 def streaming_scoring(spark, d):
-    """Request files streamed through parsing and the fitted line."""
-    train, _ = train_and_test(spark, d, "distance", "cost")
-    line = md.fit_baselines(train, ["distance"], "cost")["distance"]
+    """Request files streamed through parsing and a registered model."""
+    model = registered_line(spark, d)
     inbox, out = workspace(spark, "requests"), workspace(spark, "scores")
     _request_pairs(spark, d).select("positional").write.text(inbox)
     running = ss.score_stream(
         ss.request_stream(spark, inbox),
         lambda df: rq.positional_rows(df, "raw", ["file_path"]),
-        lambda df: df.withColumn("prediction", line.predict()),
+        lambda df: md.predict(model, df),
         out, workspace(spark, "scores-log"),
     )
     running.awaitTermination()
     return spark.read.parquet(out).groupBy(F.col("passengers").cast("int").alias("passengers")).agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.sum("prediction"), 0).alias("predicted")
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("prediction"), -2).alias("predicted")
     )
 
 
+@query(
+    "streaming_scorer_udf",
+    f"""WITH {SPLIT_TRIPS_SQL}, fit AS (SELECT regr_slope(cost, distance) AS s, regr_intercept(cost, distance) AS i
+          FROM parts WHERE split = 'train')
+    SELECT trip_id, round(fit.s * distance + fit.i, 2) AS predicted_label FROM parts, fit""",
+)
+def streaming_scorer(spark, d):
+    """The user's scorer on a stream: parameters loaded once per task of each batch."""
+    inbox, out = workspace(spark, "trips"), workspace(spark, "user-scores")
+    trips(spark, d).select("trip_id", "distance").write.parquet(inbox)
+    incoming = spark.readStream.schema("trip_id string, distance double").parquet(inbox)
+    ss.score_stream(
+        incoming, lambda df: df, lambda df: _scored_by_user(spark, d, df), out, workspace(spark, "user-scores-log")
+    ).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query(
     "streaming_text_m12",
     """SELECT count(*) AS requests, CAST(sum(length('summarize: ' || text)) AS BIGINT) AS characters,

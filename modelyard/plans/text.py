@@ -25,7 +25,7 @@ _WORDS = "regexp_extract_all(lower({}), '[a-z0-9]+')"
 )
 def named_splits(spark, d):
     """A corpus kept as one JSON dataset per split, read back as one table."""
-    parts = sp.hash_split(table(spark, d, "documents", "doc_id").select("doc_id", "text"), ["doc_id"])
+    parts = sp.hash_split(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"])
     out = workspace(spark, "corpus")
     parts.write.partitionBy("split").json(out)
     paths = {s: f"{out}/split={s}" for s in ("train", "val", "test")}
@@ -37,7 +37,7 @@ def named_splits(spark, d):
 
 @query("text_prefix_f1", "SELECT doc_id, 'summarize: ' || text AS text FROM documents")
 def text_prefix(spark, d):
-    return table(spark, d, "documents", "doc_id").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
+    return table(spark, d, "documents").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
 
 
 @query(
@@ -46,7 +46,7 @@ def text_prefix(spark, d):
         '([.!?])[ \t\n\r\f]+', '\1' || chr(10), 'g') AS lines FROM documents""",
 )
 def sentence_lines(spark, d):
-    return table(spark, d, "documents", "doc_id").select("doc_id", tx.sentence_lines(F.col("text")).alias("lines"))
+    return table(spark, d, "documents").select("doc_id", tx.sentence_lines(F.col("text")).alias("lines"))
 
 
 @query(
@@ -56,7 +56,7 @@ def sentence_lines(spark, d):
 )
 def word_tokens(spark, d):
     tokens = tx.words(F.col("text"))
-    return table(spark, d, "documents", "doc_id").select(
+    return table(spark, d, "documents").select(
         "doc_id", F.size(tokens).cast("bigint").alias("words"), F.array_join(tokens, " ").alias("tokens")
     )
 
@@ -68,7 +68,7 @@ _TRAIN_DOCS_SQL = f"train AS (SELECT * FROM documents WHERE {split_sql('doc_id')
 
 
 def _train_documents(spark, d):
-    documents = table(spark, d, "documents", "doc_id").select("doc_id", "text")
+    documents = table(spark, d, "documents").select("doc_id", "text")
     return sp.split_rows(documents, ["doc_id"], "train")
 
 
@@ -82,14 +82,13 @@ def vocabulary(spark, d):
     return en.build_vocabulary(_train_documents(spark, d), "text", max_size=None)
 
 
-WORDS_KEPT = 5000
-
 _TOP_SQL = f"""{_TRAIN_DOCS_SQL}, {_VOCABULARY_SQL.format(words=_WORDS.format('text'), source='train')},
-  top AS (SELECT token, id FROM vocabulary WHERE id < {WORDS_KEPT + 3})"""
+  top AS (SELECT token, id FROM vocabulary)"""
 
 
-def _top_words(spark, d):
-    return en.build_vocabulary(_train_documents(spark, d), "text", max_size=WORDS_KEPT)
+def _words(spark, d):
+    """The whole vocabulary of the training documents."""
+    return en.build_vocabulary(_train_documents(spark, d), "text")
 
 
 def _coded_sql(texts: str, limit: int) -> str:
@@ -108,9 +107,9 @@ def _coded_sql(texts: str, limit: int) -> str:
 )
 def encode_documents(spark, d):
     """Whole texts to id sequences of at most 512 with an end marker."""
-    texts = table(spark, d, "documents", "doc_id").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
+    texts = table(spark, d, "documents").select("doc_id", tx.with_prefix(F.col("text")).alias("text"))
     coded = en.token_ids(
-        texts, ["doc_id"], {"ids": ("text", tx.MAX_INPUT)}, _top_words(spark, d), WORDS_KEPT
+        texts, ["doc_id"], {"ids": ("text", tx.MAX_INPUT)}, _words(spark, d)
     )
     return coded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
@@ -118,7 +117,7 @@ def encode_documents(spark, d):
 def _encoded_pairs(spark, d):
     return en.encode_pairs(
         dialogue_pairs(spark, d, "left"), list(PAIR_KEY), "candidate", "reference",
-        _top_words(spark, d), WORDS_KEPT, prefix=tx.SUMMARY_PREFIX,
+        _words(spark, d), prefix=tx.SUMMARY_PREFIX,
     )
 
 
@@ -181,20 +180,19 @@ def truncate_pad_mask(spark, d):
 
 @query(
     "decode_ids_f7",
-    f"""WITH {_TOP_SQL}, texts AS (SELECT doc_id, {_WORDS.format('text')}[1:{tx.MAX_INPUT - 1}] AS words FROM documents),
+    f"""WITH {_TOP_SQL}, texts AS (SELECT doc_id, {_WORDS.format('text')} AS words FROM documents),
     spread AS (SELECT doc_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM texts),
     kept AS (SELECT doc_id, string_agg(s.token, ' ' ORDER BY pos) AS text FROM spread s JOIN top ON top.token = s.token GROUP BY 1)
     SELECT t.doc_id, coalesce(k.text, '') AS text FROM texts t LEFT JOIN kept k USING (doc_id)""",
 )
 def decode_ids(spark, d):
-    """Documents to padded, masked ids and back; special ids vanish."""
-    words = _top_words(spark, d)
+    """Whole documents to padded, masked ids and back; special ids vanish."""
+    words = _words(spark, d)
     coded = en.token_ids(
-        table(spark, d, "documents", "doc_id").select("doc_id", "text"), ["doc_id"],
-        {"ids": ("text", tx.MAX_INPUT)}, words, WORDS_KEPT,
+        table(spark, d, "documents").select("doc_id", "text"), ["doc_id"], {"ids": ("text", None)}, words
     )
     padded = coded.select("doc_id", tx.mask_padding(tx.pad(F.col("ids"), tx.MAX_INPUT)).alias("ids"))
-    return en.decode_ids(padded, ["doc_id"], "ids", words, WORDS_KEPT)
+    return en.decode_ids(padded, ["doc_id"], "ids", words)
 
 
 @query(
@@ -203,23 +201,24 @@ def decode_ids(spark, d):
     SELECT coalesce(id, 2) AS id, count(*) AS n FROM spread LEFT JOIN top USING (token) GROUP BY 1""",
 )
 def token_lookup(spark, d):
-    """Every token of every document against a vocabulary of fixed size."""
-    tokens = table(spark, d, "documents", "doc_id").select(F.explode(tx.words(F.col("text"))).alias("token"))
+    """Every token of every document against the whole training vocabulary."""
+    tokens = table(spark, d, "documents").select(F.explode(tx.words(F.col("text"))).alias("token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    coded = en.bounded_lookup(counts, _top_words(spark, d).select("token", "id"), ["token"], WORDS_KEPT)
+    coded = en.lookup(counts, _words(spark, d).select("token", "id"), ["token"])
     return coded.groupBy(F.coalesce("id", F.lit(tx.UNK)).alias("id")).agg(F.sum("n").alias("n"))
 
 
 @query(
     "generated_length_a13",
     f"""WITH {PAIRS_SQL} SELECT count(*) AS pairs,
-        round(avg(least(len({_WORDS.format('reference')}) + 1, {tx.MAX_TARGET})), 4) AS gen_len FROM pairs""",
+        round(avg(len({_WORDS.format('candidate')}) + 1), 4) AS gen_len FROM pairs""",
 )
 def generated_length(spark, d):
-    labels = tx.unmask_padding(F.col("labels"))
-    return _encoded_pairs(spark, d).agg(
-        F.count(F.lit(1)).alias("pairs"), mt.mean_generated_length(labels).alias("gen_len")
+    """Ids of the predictions that are not padding; the candidates are the predictions."""
+    predicted = en.token_ids(
+        dialogue_pairs(spark, d), list(PAIR_KEY), {"ids": ("candidate", None)}, _words(spark, d)
     )
+    return predicted.agg(F.count(F.lit(1)).alias("pairs"), mt.mean_generated_length(F.col("ids")).alias("gen_len"))
 
 
 _GRAMS_SQL = f"""tok AS (SELECT conv_id, turn, {_WORDS.format('candidate')} AS c, {_WORDS.format('reference')} AS r FROM pairs),
@@ -270,7 +269,7 @@ def rouge_corpus(spark, d):
 def rouge_benchmark(spark, d):
     """Documents of any length against the benchmark text with the same number."""
     targets = table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("reference"))
-    documents = table(spark, d, "documents", "doc_id").select("doc_id", F.col("text").alias("candidate"))
+    documents = table(spark, d, "documents").select("doc_id", F.col("text").alias("candidate"))
     scores = rg.rouge_n(documents.join(targets, "doc_id"), ["doc_id"], "candidate", "reference")
     return scores.select(
         "doc_id", "order", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")]
@@ -310,7 +309,7 @@ def rouge_report(spark, d):
     return rg.corpus_report(dialogue_pairs(spark, d), list(PAIR_KEY), "candidate", "reference")
 
 
-REPLICATES = 100
+REPLICATES = 1000
 
 _WEIGHT_SQL = " + ".join(f"CAST(u >= CAST({cut} AS DOUBLE) AS INTEGER)" for cut in rg.poisson_cuts())
 
@@ -352,5 +351,5 @@ def batched_map(spark, d):
     def measure(frame):
         return frame.assign(characters=frame["text"].str.len())[["doc_id", "characters"]]
 
-    rows = table(spark, d, "documents", "doc_id").select("doc_id", "text")
+    rows = table(spark, d, "documents").select("doc_id", "text")
     return apply_batches(rows, measure, "doc_id bigint, characters bigint")

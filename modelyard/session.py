@@ -8,9 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-SPREAD_WIDTH = 256
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options the operators rely on.
 
@@ -29,16 +26,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer input splits than the cluster has cores.
-
-    Meant for scans that feed CPU-heavy expressions. A large input has many splits
-    and is returned as it is, so no shuffle is added at scale.
-    """
-    width = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_WIDTH)
-    return df.repartition(width, *keys) if df.rdd.getNumPartitions() < width else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 

@@ -11,7 +11,8 @@ def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
     """Metric dictionary of a run in long form (key, value)."""
     text = spark.read.text(path, wholetext=True)
     entries = text.select(F.explode(F.from_json("value", "map<string,string>")))
-    return entries.select("key", F.col("value").try_cast("double").alias("value")).where(
+    truth = F.when(F.col("value") == "true", 1.0).when(F.col("value") == "false", 0.0)
+    return entries.select("key", F.coalesce(F.col("value").try_cast("double"), truth).alias("value")).where(
         F.col("value").isNotNull()
     )
 
@@ -68,6 +69,21 @@ def model_info(registry: DataFrame) -> DataFrame:
     )
 
 
+def write_model_info(registry: DataFrame, folder: str) -> str:
+    """One model-info file per registered model, in a folder of its name and version."""
+    model_info(registry).select("name", "version", F.col("info").alias("value")).write.mode("overwrite").partitionBy(
+        "name", "version"
+    ).text(folder)
+    return folder
+
+
+def read_model_info(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, version, id) of every model-info file."""
+    return spark.read.text(folder).select(
+        F.col("name").cast("string").alias("name"), "version", F.get_json_object("value", "$.id").alias("id")
+    )
+
+
 def write_label_mapping(index: DataFrame, path: str, label: str = "label", idx: str = "label_idx") -> str:
     """One label per line, in index order."""
     ordered = index.coalesce(1).sortWithinPartitions(idx)

@@ -4,11 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..spec import POSITIONAL_LAYOUT, TRIPS, FeatureSpec
 
 
+POSITIONAL_SHAPE = "input_data array<array<double>>"
+TABLE_SHAPE = "input_data struct<columns:array<string>,index:array<bigint>,data:array<array<double>>>"
+
+
+def _body(raw: str, shape: str) -> Column:
+    """The parsed body, null if any part of the request is not what the shape says."""
+    strict = F.from_json(F.col(raw), f"{shape}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    return F.when(strict["_broken"].isNull(), strict["input_data"])
+
+
+def _parsed(raw: str, shape: str) -> Column:
+    problem = F.concat(F.lit("request does not parse: "), F.coalesce(F.substring(F.col(raw), 1, 80), F.lit("null")))
+    kind = shape.removeprefix("input_data ")
+    return F.coalesce(_body(raw, shape), F.raise_error(problem).cast(kind))
+
+
+def split_requests(requests: DataFrame, raw: str, shape: str = POSITIONAL_SHAPE) -> tuple[DataFrame, DataFrame]:
+    """Requests that parse, and a table of the others with the `reason`; nothing is lost."""
+    good = _body(raw, shape).isNotNull()
+    reason = F.when(F.col(raw).isNull(), "no text").otherwise("not of the expected shape")
+    return requests.where(good), requests.where(~good).withColumn("reason", reason)
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """One request per file, however many lines it spans."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file_path"))
+
+
 def positional_rows(
     requests: DataFrame,
     raw: str,
@@ -17,8 +46,8 @@ def positional_rows(
     spec: FeatureSpec = TRIPS,
 ) -> DataFrame:
     """{"input_data": [[...], ...]}: values are named by the layout, then put in
-    contract order. A row of another width is an error."""
-    body = F.from_json(F.col(raw), "input_data array<array<double>>")["input_data"]
+    contract order. A row of another width and a request that does not parse are errors."""
+    body = _parsed(raw, POSITIONAL_SHAPE)
     rows = requests.select(*keep, F.posexplode(body).alias("row", "_values"))
     problem = F.concat(F.lit("values in a request row: "), F.size("_values").cast("string"))
     checked = F.when(F.size("_values") == len(layout), F.col("_values")).otherwise(
@@ -34,9 +63,9 @@ def positional_rows(
 def split_oriented_rows(
     requests: DataFrame, raw: str, keep: Sequence[str] = (), spec: FeatureSpec = TRIPS
 ) -> DataFrame:
-    """{"input_data": {"columns", "index", "data"}}: values are selected by name."""
-    shape = "input_data struct<columns:array<string>,index:array<bigint>,data:array<array<double>>>"
-    body = F.from_json(F.col(raw), shape)["input_data"]
+    """{"input_data": {"columns", "index", "data"}}: values are selected by name. A request
+    that lacks a column or does not parse is an error."""
+    body = _parsed(raw, TABLE_SHAPE)
     parsed = requests.select(*keep, body.alias("_b"))
 
     # The places are found once per request, not once per row.

@@ -62,6 +62,8 @@ TRIP_SCHEMA = T.StructType(
     ]
 )
 
+FEATURE_SCHEMA = T.StructType([f for f in TRIP_SCHEMA if f.name != TRIPS.target])
+
 # Positional requests carry the two nominal columns before the calendar parts.
 POSITIONAL_LAYOUT = TRIPS.numeric[:6] + TRIPS.nominal + TRIPS.numeric[6:]
 

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def request_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """One row per request line, with the file it came in."""
+def request_stream(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, whole_files: bool = False
+) -> DataFrame:
+    """One row per request, with the file it came in: a request per line, or per file."""
     return (
         spark.readStream.format("text")
+        .option("wholetext", whole_files)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
         .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file_path"))

@@ -97,6 +97,21 @@ def test_context_checks_its_input(spark):
         ins.InsightContext.build(frame(spark, 20), spec, ["vendor"], title="t")
 
 
+def test_counterfactual_blocks_do_not_run_together(spark):
+    rows = [(1, "a|b", "c", 1.0, 0.0), (2, "a", "b|c", 2.0, 10.0), (3, None, "null", 3.0, 0.0), (4, "null", None, 4.0, 10.0)]
+    df = spark.createDataFrame(rows, "id int, u string, v string, x double, prediction double")
+    assert ins.counterfactuals(df, "id", {"x": 1.0}, ["u", "v"], 5.0, 15.0).count() == 0
+
+
+def test_permutation_reads_its_input_twice_at_most(spark, tmp_path):
+    frame(spark, 50).write.parquet(str(tmp_path / "t"))
+    line = md.LinearBaseline("distance", 2.0, 4.0)
+    got = ins.permutation_importance(
+        spark.read.parquet(str(tmp_path / "t")), ["id"], ["distance"], "cost", lambda df, out: df.withColumn(out, line.predict())
+    )
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()  # the placed rows were kept
+
+
 def test_gather_tags_and_fills(spark):
     a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([("q",)], "y string")
     rows = ins.gather({"one": a, "two": b}).collect()

@@ -92,8 +92,9 @@ def test_epoch_metrics_weigh_by_batch_size(spark):
 
 
 def test_windowed_loss_drops_the_partial_run(spark):
-    rows = [(e, i, float(i)) for e in (0, 1) for i in range(57)]
-    got = mt.windowed_loss(spark.createDataFrame(rows, "epoch int, iter int, loss double")).collect()
+    rows = [(e, "train", i, float(i)) for e in (0, 1) for i in range(57)] + [(0, "eval", i, 900.0) for i in range(30)]
+    trace = spark.createDataFrame(rows, "epoch int, phase string, iter int, loss double")
+    got = mt.windowed_loss(trace).collect()
     assert sorted((r["epoch"], r["run"], r["loss"]) for r in got) == [
         (0, 0, 12.0), (0, 1, 37.0), (1, 0, 12.0), (1, 1, 37.0),
     ]
@@ -107,6 +108,13 @@ def test_timing_and_counters(spark):
     assert mt.counter_delta_mb(reads, ["disk"], "bytes", F.col("ts")).first()["bytes_mb"] == 3.0
 
 
+def test_a_null_label_is_a_miss_in_both_accuracies(spark):
+    rows = spark.createDataFrame([("a", "a"), (None, None), ("b", None)], "real string, predicted string")
+    plain = rows.agg(mt.accuracy(F.col("real"), F.col("predicted")).alias("a")).first()["a"]
+    counted = mt.classification_metrics(mt.confusion_counts(rows, "real", "predicted")).first()["accuracy"]
+    assert plain == pytest.approx(1 / 3) == pytest.approx(counted)
+
+
 def test_class_summary(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",)], "label string")
     row = mt.class_summary(df, "label").first()

@@ -10,7 +10,6 @@ from modelyard.operators import lookup as lk
 from modelyard.operators import position as ps
 from modelyard.operators import split as sp
 from modelyard.plans.base import table
-from modelyard.session import spread
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -83,23 +82,25 @@ def test_hot_join_keys_are_split(spark, options):
     assert "skew=true" in plan(joined)
 
 
-def test_unbounded_lookup_is_salted(spark):
-    facts = spark.range(1000).select(F.lit("hot").alias("token"), "id")
-    words = spark.createDataFrame([("hot", 3), ("cold", 4)], "token string, id2 int")
-    joined = lk.bounded_lookup(facts, words, ["token"], None)
-    assert "_salt" in plan(joined) and joined.where("id2 = 3").count() == 1000
+def test_a_whole_vocabulary_is_never_broadcast_by_force(spark, options):
+    options(spark__sql__autoBroadcastJoinThreshold="-1")
+    df = spark.createDataFrame([(1, "one two two three")], "k int, text string")
+    words = en.build_vocabulary(df, "text")
+    coded = en.token_ids(df, ["k"], {"ids": ("text", None)}, words)
+    lookup = [line for line in plan(coded).splitlines() if "Join" in line and "token" in line]
+    assert lookup and all("SortMergeJoin" in line for line in lookup)
+    assert coded.first()["ids"][:2] == [5, 3] or len(coded.first()["ids"]) == 5
+
+
+def test_group_limit_holds_at_large_limits(spark):
+    df = spark.range(20_000).withColumn("g", F.lit("hot"))
+    assert plan(sp.head_per_group(df, ["g"], ["id"], 5000)).count("WindowGroupLimit") >= 2
 
 
 def test_encoding_cuts_before_it_spreads(spark):
     text = "word " * 5000
     df = spark.createDataFrame([(1, text)], "k int, text string")
-    words = en.build_vocabulary(df, "text", 10)
-    coded = en.token_ids(df, ["k"], {"ids": ("text", 16)}, words, 10)
+    words = en.build_vocabulary(df, "text")
+    coded = en.token_ids(df, ["k"], {"ids": ("text", 16)}, words)
     assert "slice(regexp_extract_all" in plan(coded)
     assert len(coded.first()["ids"]) == 16
-
-
-def test_spread_leaves_large_inputs_alone(spark):
-    assert "Exchange" in plan(spread(spark.range(10).coalesce(1), "id"))
-    many = spark.range(0, 1000, 1, 64)
-    assert spread(many, "id") is many

@@ -124,26 +124,27 @@ def test_vocabulary_order(spark, size):
     assert got == ({"b": 3, "a": 4} if size else {"b": 3, "a": 4, "zzz": 5})
 
 
-@pytest.mark.parametrize("rows", [2, None])  # broadcast and salted lookup
-def test_encode_and_decode(spark, rows):
+def test_encode_and_decode(spark):
     words = en.build_vocabulary(docs(spark), "text", 2)
-    coded = en.token_ids(docs(spark), ["k"], {"ids": ("text", 3)}, words, rows)
+    coded = en.token_ids(docs(spark), ["k"], {"ids": ("text", 3)}, words)
     got = {r["k"]: r["ids"] for r in coded.collect()}
     assert got == {1: [3, 3, 1], 2: [4, 3, 1], 3: [1], 4: [1]}
     padded = coded.select("k", tx.mask_padding(tx.pad(F.col("ids"), 5)).alias("ids"))
-    back = {r["k"]: r["text"] for r in en.decode_ids(padded, ["k"], "ids", words, rows).collect()}
+    back = {r["k"]: r["text"] for r in en.decode_ids(padded, ["k"], "ids", words).collect()}
     assert back == {1: "b b", 2: "a b", 3: "", 4: ""}
+    whole = en.token_ids(docs(spark), ["k"], {"ids": ("text", None)}, words).collect()
+    assert {r["k"]: r["ids"] for r in whole} == {1: [3, 3, 4, 1], 2: [4, 3, 2, 1], 3: [1], 4: [1]}
 
 
 def test_encode_pairs_drops_both_sides_of_a_null_pair(spark):
     words = en.build_vocabulary(docs(spark), "text", 2)
-    rows = en.encode_pairs(docs(spark), ["k"], "text", "summary", words, 2, 6, 4, prefix="x ").collect()
+    rows = en.encode_pairs(docs(spark), ["k"], "text", "summary", words, 6, 4, prefix="x ").collect()
     got = {r["k"]: r for r in rows}
     assert set(got) == {1, 3}
     assert got[1]["input_ids"] == [2, 3, 3, 4, 1, 0] and got[1]["attention_mask"] == [1, 1, 1, 1, 1, 0]
     assert got[1]["labels"] == [4, 1, -100, -100]
     assert got[3]["labels"] == [3, 4, 2, 1]
     bare = en.encode_pairs(
-        docs(spark), ["k"], "text", "summary", words, 2, 6, 4, pad_to_max=False
+        docs(spark), ["k"], "text", "summary", words, 6, 4, pad_to_max=False
     ).where("k = 1").first()
     assert bare["labels"] == [4, 1] and bare["attention_mask"] == [1, 1, 1, 1]

@@ -6,14 +6,14 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from modelyard.operators import lookup as lk
 from modelyard.operators import metrics as mt
 from modelyard.operators import models as md
 from modelyard.operators import registry as rg
 from modelyard.operators import split as sp
-from modelyard.operators.userdefined import apply_batches, apply_metrics, apply_scorer, observed
+from modelyard.operators.userdefined import apply_batches, apply_metrics, apply_partials, apply_scorer, observed
 from modelyard.plans.base import trips
 from modelyard.session import shared_dir, workspace
 from modelyard.sources import controls as ct
@@ -211,6 +211,73 @@ def test_scoring_files_keep_file_and_mark_bad_rows(spark, tmp_path):
     assert {r["file_path"].rsplit("/", 1)[1] for r in rows} == {"0.csv", "1.csv"}
 
 
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("path,label\nimg1,cat\n")
+    (tmp_path / "b.csv").write_text('"label","path"\ndog,img2\n')
+    (tmp_path / "c.csv").write_text(",path,label\n0,img3,cow\n")
+    got = {(r["path"], r["label"]) for r in tb.read_labels(spark, str(tmp_path)).collect()}
+    assert got == {("img1", "cat"), ("img2", "dog"), ("img3", "cow")}
+    (tmp_path / "d.csv").write_text("path,kind\nimg4,cat\n")
+    with pytest.raises(ValueError, match="header"):
+        tb.read_labels(spark, str(tmp_path))
+
+
+def test_scoring_files_name_what_is_wrong(spark, tmp_path):
+    schema = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.IntegerType())])
+    (tmp_path / "a.csv").write_text("k,x,y\n1,0.5,2\n2,oops,3\n")
+    (tmp_path / "b.csv").write_text("y,x,k\n4,1.5,3\n,,4\n")
+    rows = tb.read_scoring_files(spark, str(tmp_path), schema, ["k"])
+    got = {r["k"]: (r["x"], r["y"], r["problem"], r["valid"]) for r in rows.collect()}
+    assert got == {"1": (0.5, 2, None, True), "2": (None, 3, "x", False), "3": (1.5, 4, None, True), "4": (None, None, "x,y", False)}
+    out = tb.write_rejects(rows, str(tmp_path / "rejects"), ["k"])
+    assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == ["2", "4"]
+
+
+def test_broken_requests_are_errors_or_rejects(spark, tmp_path):
+    raw = ['{"input_data": [[1, 2]]}', '{"input_data": [[1, 2]', "", None, '{"data": [[1, 2]]}', '{"input_data": [["a"]]}']
+    df = spark.createDataFrame(list(enumerate(raw)), "id int, raw string")
+    good, bad = rq.split_requests(df, "raw")
+    assert [r["id"] for r in good.collect()] == [0]
+    assert {r["id"]: r["reason"] for r in bad.collect()} == {
+        1: "not of the expected shape", 2: "not of the expected shape", 3: "no text",
+        4: "not of the expected shape", 5: "not of the expected shape",
+    }
+    with pytest.raises(Exception, match="does not parse"):
+        rq.positional_rows(df.where("id = 1"), "raw", layout=["a", "b"], spec=FeatureSpec(("a", "b"))).collect()
+    (tmp_path / "r.json").write_text('{\n  "input_data": [\n    [1, 2]\n  ]\n}\n')
+    whole = rq.read_requests(spark, str(tmp_path))
+    row = rq.positional_rows(whole, "raw", layout=["a", "b"], spec=FeatureSpec(("a", "b"))).first()
+    assert (row["a"], row["b"]) == (1.0, 2.0)
+    lines = ss.request_stream(spark, str(tmp_path), whole_files=True)
+    assert lines.isStreaming
+
+
+def test_two_writers_get_two_versions(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    seen = spark.createDataFrame([], rg.REGISTRY_SCHEMA)
+    assert rg.register_version(seen, path, "a b/c", "p1", "r", True) == "a b/c:1"
+    assert rg.register_version(seen, path, "a b/c", "p2", "r", True) == "a b/c:2"
+    rows = rg.read_registry(spark, path).orderBy("version").collect()
+    assert [(r["name"], r["version"], r["path"]) for r in rows] == [("a b/c", 1, "p1"), ("a b/c", 2, "p2")]
+
+
+def test_a_registered_model_is_found_and_loaded(spark, tmp_path):
+    train = spark.range(50).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 * 2.0 + 1).alias("cost"))
+    saved = md.save_model(md.fit_linear(train, ["x"], "cost"), str(tmp_path / "m"))
+    path = str(tmp_path / "registry")
+    rg.register_version(spark.createDataFrame([], rg.REGISTRY_SCHEMA), path, "line", saved, "r", True)
+    model = md.load_asset(rg.read_registry(spark, path), "line@latest")
+    assert model.transform(train).where(F.abs(F.col("prediction") - F.col("cost")) > 1e-6).count() == 0
+    with pytest.raises(LookupError):
+        md.load_asset(rg.read_registry(spark, path), "other@latest")
+
+
+def test_partial_metrics(spark):
+    df = spark.range(0, 1000, 1, 7).select(F.col("id").cast("double").alias("x"))
+    got = apply_partials(df, lambda f: {"n": len(f), "s": f["x"].sum()}, ["n", "s"], lambda: [(F.col("s") / F.col("n")).alias("m")])
+    assert got.first()["m"] == 499.5
+
+
 def test_named_splits(spark, tmp_path):
     for name in ("train", "test"):
         spark.range(3).write.json(str(tmp_path / name))
