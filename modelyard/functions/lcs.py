@@ -7,7 +7,7 @@ small helpers run per row inside pandas UDFs; rows are spread by Spark.
 from __future__ import annotations
 
 import sys
-from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -19,32 +19,38 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SCORE = T.StructType([T.StructField(n, T.DoubleType()) for n in ("precision", "recall", "f1")])
 
 
-def _growth(ref: list[str], cand: list[str]) -> list[int]:
-    """One bit row per reference token; a cleared bit j marks where the LCS
-    length rises between the first j and the first j+1 candidate tokens."""
+def _places(cand: list[str]) -> dict[str, int]:
+    """For each token the candidate positions that hold it, as bits."""
     where: dict[str, int] = {}
     for j, token in enumerate(cand):
         where[token] = where.get(token, 0) | (1 << j)
+    return where
+
+
+def _growth(ref: list[str], cand: list[str]) -> Iterator[int]:
+    """One bit row per reference token; a cleared bit j marks where the LCS
+    length rises between the first j and the first j+1 candidate tokens."""
+    where = _places(cand)
     full = (1 << len(cand)) - 1
-    row, rows = full, []
+    row = full
     for token in ref:
         match = row & where.get(token, 0)
         row = ((row + match) | (row - match)) & full
-        rows.append(row)
-    return rows
+        yield row
 
 
 def lcs_length(ref: list[str], cand: list[str]) -> int:
-    if not ref or not cand:
-        return 0
-    return len(cand) - _growth(ref, cand)[-1].bit_count()
+    row = (1 << len(cand)) - 1
+    for row in _growth(ref, cand):  # only the last row counts
+        pass
+    return len(cand) - row.bit_count()
 
 
 def lcs_positions(ref: list[str], cand: list[str]) -> set[int]:
     """Reference positions of one LCS, found by walking back from both ends."""
     if not ref or not cand:
         return set()
-    rows = _growth(ref, cand)
+    rows = list(_growth(ref, cand))
 
     def length(i: int, j: int) -> int:
         return 0 if i == 0 else j - (rows[i - 1] & ((1 << j) - 1)).bit_count()
@@ -80,27 +86,16 @@ def rouge_l(cand: pd.Series, ref: pd.Series) -> pd.DataFrame:
     )
 
 
-def union_hits(cand: list[list[str]], ref: list[list[str]]) -> int:
-    """Reference tokens matched by any candidate sentence, clipped on both sides."""
-    left_cand = Counter(t for s in cand for t in s)
-    left_ref = Counter(t for s in ref for t in s)
-    hits = 0
+def union_tokens(cand: list[list[str]], ref: list[list[str]]) -> list[str]:
+    """Tokens of the reference sentences that the alignment with any candidate sentence matches."""
+    out = []
     for sentence in ref:
         union = set().union(*(lcs_positions(sentence, c) for c in cand))
-        for i in sorted(union):
-            token = sentence[i]
-            if left_cand[token] > 0 and left_ref[token] > 0:
-                left_cand[token] -= 1
-                left_ref[token] -= 1
-                hits += 1
-    return hits
+        out += [sentence[i] for i in sorted(union)]
+    return out
 
 
-@F.pandas_udf(SCORE)
-def rouge_lsum(cand: pd.Series, ref: pd.Series) -> pd.DataFrame:
-    """Summary-level score of two arrays of token arrays, one per sentence."""
-    rows = []
-    for c, r in zip(cand, ref):
-        cs, rs = [list(s) for s in c], [list(s) for s in r]
-        rows.append(_scores(union_hits(cs, rs), sum(map(len, cs)), sum(map(len, rs))))
-    return _as_frame(rows)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def matched_tokens(cand: pd.Series, ref: pd.Series) -> pd.Series:
+    """Matched tokens of some reference sentences against all candidate sentences."""
+    return pd.Series([union_tokens([list(s) for s in c], [list(s) for s in r]) for c, r in zip(cand, ref)])

@@ -78,10 +78,43 @@ def rouge_l(pairs: DataFrame, key: Sequence[str], candidate: str, reference: str
     return scored.select(*key, "s.*")
 
 
-def rouge_lsum(pairs: DataFrame, key: Sequence[str], candidate: str, reference: str) -> DataFrame:
-    """(key, precision, recall, f1) by the union of sentence-wise subsequences."""
-    scored = pairs.select(*key, _rouge_lsum(candidate, reference).alias("s"))
-    return scored.select(*key, "s.*")
+SENTENCES = 16  # reference sentences aligned in one row
+
+
+def rouge_lsum(
+    pairs: DataFrame, key: Sequence[str], candidate: str, reference: str, sentences: int = SENTENCES
+) -> DataFrame:
+    """(key, precision, recall, f1) by the union of sentence-wise subsequences.
+
+    A few reference sentences are one row, and rows are dealt out, so a long pair is aligned
+    by many tasks. A token counts as often as it is matched, but no more often than the
+    candidate holds it; matches and holdings are counted together, without a join.
+    """
+    sides = pairs.select(*key, _sentences(candidate).alias("_cand"), _sentences(reference).alias("_ref"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_ref"), F.lit(1)), F.lit(sentences))
+    some = F.transform(starts, lambda at: F.slice("_ref", at, sentences))
+    dealt = sides.select(*key, "_cand", F.posexplode(some).alias("_at", "_part")).repartition(*key, "_at")
+
+    def tagged(tokens: Column, m: int, c: int) -> Column:
+        return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(m).alias("m"), F.lit(c).alias("c"), F.lit(0).alias("r")))
+
+    # The first row of a pair brings the candidate's tokens; every row counts its own sentences.
+    blank = F.array(F.struct(
+        F.lit(None).cast("string").alias("token"), F.lit(0).alias("m"), F.lit(0).alias("c"), F.size(F.flatten("_part")).alias("r")
+    ))
+    held = F.when(F.col("_at") == 0, F.flatten("_cand")).otherwise(F.array().cast("array<string>"))
+    rows = dealt.select(
+        *key, held.alias("_held"), blank.alias("_blank"), lcs.matched_tokens("_cand", "_part").alias("_hits")
+    )
+    spread = rows.select(*key, F.inline(F.concat("_blank", tagged(F.col("_hits"), 1, 0), tagged(F.col("_held"), 0, 1))))
+    per_token = spread.groupBy(*key, "token").agg(*[F.sum(c).alias(c) for c in ("m", "c", "r")])
+    per_key = per_token.groupBy(*key).agg(
+        F.sum(F.least("m", "c")).alias("both"), F.sum("c").alias("c"), F.sum("r").alias("r")
+    )
+    both, c, r = F.col("both"), F.col("c"), F.col("r")
+    return per_key.select(
+        *key, _share(both, c).alias("precision"), _share(both, r).alias("recall"), _share(2 * both, c + r).alias("f1")
+    )
 
 
 def _rouge_l(candidate: str, reference: str) -> Column:
@@ -90,12 +123,9 @@ def _rouge_l(candidate: str, reference: str) -> Column:
     return lcs.rouge_l(cand, ref)
 
 
-def _rouge_lsum(candidate: str, reference: str) -> Column:
-    def sentences(column: str) -> Column:
-        lines = F.split(tx.sentence_lines(F.coalesce(F.col(column), F.lit(""))), "\n")
-        return F.transform(lines, tx.words)
-
-    return lcs.rouge_lsum(sentences(candidate), sentences(reference))
+def _sentences(column: str) -> Column:
+    lines = F.split(tx.sentence_lines(F.coalesce(F.col(column), F.lit(""))), "\n")
+    return F.transform(lines, tx.words)
 
 
 def corpus_score(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -110,14 +140,9 @@ def corpus_report(pairs: DataFrame, key: Sequence[str], candidate: str, referenc
     n_scores = rouge_n(pairs, key, candidate, reference).select(
         F.concat(F.lit("rouge"), F.col("order").cast("string")).alias("metric"), "f1"
     )
-    aligned = pairs.select(  # one Arrow pass for both alignments
-        _rouge_l(candidate, reference).alias("l"), _rouge_lsum(candidate, reference).alias("s")
-    )
-    both = F.array(
-        F.struct(F.lit("rougeL").alias("metric"), F.col("l.f1").alias("f1")),
-        F.struct(F.lit("rougeLsum").alias("metric"), F.col("s.f1").alias("f1")),
-    )
-    long = n_scores.unionByName(aligned.select(F.inline(both)))
+    whole = rouge_l(pairs, key, candidate, reference).select(F.lit("rougeL").alias("metric"), "f1")
+    summed = rouge_lsum(pairs, key, candidate, reference).select(F.lit("rougeLsum").alias("metric"), "f1")
+    long = n_scores.unionByName(whole).unionByName(summed)
     return corpus_score(long, ["metric"]).select(F.col("metric").alias("key"), F.col("score").alias("value"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from modelyard.operators import encoding as en
 from modelyard.operators import lookup as lk
 from modelyard.operators import position as ps
+from modelyard.operators import rouge as rg
 from modelyard.operators import split as sp
 from modelyard.plans.base import table
 
@@ -104,3 +105,14 @@ def test_encoding_cuts_before_it_spreads(spark):
     coded = en.token_ids(df, ["k"], {"ids": ("text", 16)}, words)
     assert "slice(regexp_extract_all" in plan(coded)
     assert len(coded.first()["ids"]) == 16
+
+
+def test_a_long_pair_is_aligned_by_many_tasks(spark, options):
+    options(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="8")
+    text = " ".join(f"w{i % 97} x{i % 31} end{i % 7}." for i in range(2000))
+    df = spark.createDataFrame([(1, " ".join(text.split()[:300]), text)], "k int, c string, r string")
+    dealt = rg.rouge_lsum(df, ["k"], "c", "r")
+    text_plan = plan(dealt)
+    assert "_at" in [line for line in text_plan.splitlines() if "Exchange hashpartitioning" in line][-1]
+    row = dealt.first()
+    assert row["precision"] == 1.0 and 0 < row["recall"] < 0.2

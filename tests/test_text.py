@@ -94,6 +94,33 @@ def test_rouge_lsum_uses_the_union_of_sentences(spark):
     assert row["recall"] == pytest.approx(4 / 5) and row["precision"] == pytest.approx(4 / 10)
 
 
+def plain_lsum(cand, ref):
+    """Union alignment with clipping, sentence by sentence."""
+    cs, rs = ([s.replace(".", "").split() for s in t.split(". ") if s] for t in (cand, ref))
+    left_c, left_r = Counter(t for s in cs for t in s), Counter(t for s in rs for t in s)
+    hits = 0
+    for sentence in rs:
+        for i in sorted(set().union(*(walk_back(sentence, c) for c in cs))):
+            if left_c[sentence[i]] > 0 and left_r[sentence[i]] > 0:
+                left_c[sentence[i]] -= 1
+                left_r[sentence[i]] -= 1
+                hits += 1
+    return hits / max(1, sum(map(len, cs))), hits / max(1, sum(map(len, rs)))
+
+
+@pytest.mark.parametrize("sentences", [1, 3, 16])
+def test_rouge_lsum_against_clipped_unions(spark, sentences):
+    rng = random.Random(sentences)
+    rows = []
+    for k in range(25):
+        texts = [". ".join(" ".join(rng.choice("abcde") for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 8))) + "." for _ in range(2)]
+        rows.append((k, *texts))
+    df = spark.createDataFrame(rows, "k int, c string, r string")
+    got = {r["k"]: (r["precision"], r["recall"]) for r in rg.rouge_lsum(df, ["k"], "c", "r", sentences).collect()}
+    for k, c, r in rows:
+        assert got[k] == pytest.approx(plain_lsum(c, r))
+
+
 def test_corpus_report_has_all_four(pairs):
     report = {r["key"]: r["value"] for r in rg.corpus_report(pairs, ["k"], "c", "r").collect()}
     assert set(report) == {"rouge1", "rouge2", "rougeL", "rougeLsum"}
