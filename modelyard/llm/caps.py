@@ -35,7 +35,7 @@ from .common import blocks_of, components, stored
 from .simhash import _forest
 
 LEAST = 0.93  # cosine from which two vectors link
-PASSED = 64.0  # filters that a vector passes, more or less by its place among the code words
+PASSED = 48.0  # filters that a vector passes, more or less by its place among the code words
 FILL = 4.0  # filters for each filter that all vectors of the table pass
 WORDS = 4096  # code words of a block at most; more filters take more blocks
 BLOCK = 512
