@@ -1,7 +1,8 @@
 """Time every registered query and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma-separated names; default all).
+BENCH_QUERIES (comma-separated names; default all), BENCH_SHARED_DIR (folder for
+intermediate tables; default a temporary one, since the master is local).
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from modelyard.plans.catalog import QUERIES  # noqa: E402
+from modelyard.session import release  # noqa: E402
 
 
 HEADLINE = "baseline_workflow"
@@ -37,6 +40,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="modelyard-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -75,6 +79,7 @@ def main() -> None:
     if failed:
         result["failed"] = failed
     print(json.dumps(result))
+    release(spark)
     spark.stop()
 
 

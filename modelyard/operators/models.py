@@ -28,11 +28,11 @@ _SUBSETS = {"auto": "all", "sqrt": "sqrt", "log2": "log2", None: "all"}
 
 @dataclass(frozen=True)
 class LinearBaseline:
-    """Least-squares line in one feature."""
+    """Least-squares line in one feature; its numbers may be columns of a plan."""
 
     feature: str
-    slope: float
-    intercept: float
+    slope: float | Column
+    intercept: float | Column
 
     def at(self, value: Column) -> Column:
         return value.cast("double") * self.slope + self.intercept
@@ -69,6 +69,14 @@ def fit_baselines(
     return {r["feature"]: LinearBaseline(r["feature"], r["slope"], r["intercept"]) for r in rows}
 
 
+def baseline_lines(train: DataFrame, features: Sequence[str], target: str) -> dict[str, LinearBaseline]:
+    """One closed-form line per feature as a scalar subquery: fitting and scoring are one
+    plan, and all lines come from one aggregation."""
+    named = [line.alias(name) for name, line in _line_columns(features, target).items()]
+    lines = train.agg(F.struct(*named).alias("lines")).scalar()
+    return {f: LinearBaseline(f, lines[f]["slope"], lines[f]["intercept"]) for f in features}
+
+
 def blend(models: Sequence[LinearBaseline]) -> Column:
     """Mean prediction of several lines."""
     total = models[0].predict()

@@ -22,7 +22,7 @@ _LINES_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT regr_slope(cost, distance) AS
 def _blended(spark, d, *columns):
     """Test trips with the blend of the distance and the passenger line."""
     train, test = train_and_test(spark, d, "trip_id", "distance", "passengers", "cost", *columns)
-    return test, md.fit_baselines(train, ["distance", "passengers"], "cost")
+    return test, md.baseline_lines(train, ["distance", "passengers"], "cost")
 
 
 def _scored(spark, d):

@@ -57,7 +57,7 @@ def scored_test(spark, d, *keep):
     """Test trips with the prediction of the line fitted on the training trips."""
     columns = dict.fromkeys(("distance", "cost", *keep))
     train, test = train_and_test(spark, d, *columns)
-    model = md.fit_baselines(train, ["distance"], "cost")["distance"]
+    model = md.baseline_lines(train, ["distance"], "cost")["distance"]
     return test.withColumn("prediction", model.predict())
 
 
@@ -224,7 +224,7 @@ _LINES = ("distance", "passengers", "pickup_latitude", "dropoff_latitude")
 def _versions(spark, d):
     """Test trips scored by every version: one line per feature, and their blend."""
     train, test = train_and_test(spark, d, *_LINES, "cost")
-    lines = md.fit_baselines(train, _LINES, "cost")
+    lines = md.baseline_lines(train, _LINES, "cost")
     versions = {str(i + 1): lines[f].predict() for i, f in enumerate(_LINES)}
     versions["current"] = md.blend(list(lines.values()))
     return md.score_versions(test, versions, ["cost"])

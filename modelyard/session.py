@@ -27,9 +27,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the session.
+    """The folder every executor can reach, as the session names it in spark.checkpoint.dir.
 
-    Only a local session may fall back to a temporary folder.
+    A cluster session must name one; a local session without one, as in a try-out, gets a
+    temporary folder, since its executors are the driver.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -41,9 +42,23 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/modelyard/{spark.sparkContext.applicationId}"
+
+
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/modelyard/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every intermediate table that this application wrote.
+
+    Results are lazy and may read these tables, so call it when they have been used.
+    """
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

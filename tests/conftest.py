@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from modelyard.session import tune  # noqa: E402
+from modelyard.session import release, tune  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,4 +24,5 @@ def spark(tmp_path_factory):
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
+    release(session)
     session.stop()

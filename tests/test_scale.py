@@ -107,6 +107,13 @@ def test_encoding_cuts_before_it_spreads(spark):
     assert len(coded.first()["ids"]) == 16
 
 
+def test_fit_and_score_are_one_plan(spark):
+    from modelyard.plans.tabular import scored_test
+
+    text = plan(scored_test(spark, SF_DIR))
+    assert "ubquery" in text and text.count("FileScan parquet") >= 4  # the fit has its own scans in the same plan
+
+
 def test_a_long_pair_is_aligned_by_many_tasks(spark, options):
     options(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="8")
     text = " ".join(f"w{i % 97} x{i % 31} end{i % 7}." for i in range(2000))
