@@ -108,6 +108,26 @@ _causal_query("distance", "passengers")
 _causal_query("passengers", "distance")
 
 
+@query(
+    "causal_effect_residual_i3",
+    f"""WITH {SPLIT_TRIPS_SQL} SELECT treatment, segment, level, count(*) AS n, true AS small FROM (
+        SELECT unnest(['distance', 'passengers']) AS treatment, store_forward, vendor FROM parts) t,
+        LATERAL (SELECT unnest(['all', 'store_forward', 'vendor']) AS segment,
+          unnest(['all', CAST(store_forward AS VARCHAR), CAST(vendor AS VARCHAR)]) AS level) s GROUP BY 1, 2, 3""",
+)
+def causal_effect_residual(spark, d):
+    """Effects with all other features as controls. The driver's prices follow no feature, so
+    an effect is less than a tenth of the spread of the prices per unit."""
+    from .base import trips
+
+    rows = trips(spark, d)
+    effects = ins.causal_effect_residual(
+        rows, ["trip_id"], "cost", ["distance", "passengers"], TRIPS.features, ["store_forward", "vendor"]
+    )
+    spread = rows.agg(F.stddev("cost")).scalar()
+    return effects.select("treatment", "segment", "level", "n", (F.abs("effect") < spread / 10).alias("small"))
+
+
 _BINS_SQL = """SELECT CAST(floor(distance / 10) AS BIGINT) AS distance_bin,
   CAST(floor(passengers / 2) AS BIGINT) AS passengers_bin, (cost - prediction) ** 2 AS se FROM test"""
 _CUBE_SQL = """SELECT distance_bin, passengers_bin, count(*) AS n, round(avg(se), 0) AS mse,

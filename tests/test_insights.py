@@ -43,6 +43,29 @@ def test_causal_effect_is_the_planted_slope(spark):
         ins.causal_effect(frame(spark), "cost", ["distance"], ["vendor"], ["store_forward"])
 
 
+def test_residual_effect_is_the_planted_slope_among_all_controls(spark):
+    rng = np.random.default_rng(3)
+    n = 3000
+    a, b = rng.normal(50, 10, n), rng.normal(0, 1, n)
+    x = 0.4 * a + 3 * b + rng.normal(0, 2, n)  # the controls drive the treatment as well
+    p = rng.integers(1, 5, n)
+    s = rng.integers(0, 2, n)
+    y = 2.0 * x - 1.5 * p + 7 * a - 4 * b + 100 + rng.normal(0, 1, n)
+    df = spark.createDataFrame(
+        [(i, *map(float, r)) for i, r in enumerate(zip(x, p, a, b, s, y))],
+        "id int, x double, p double, a double, b double, s double, y double",
+    )
+    got = {(r["treatment"], r["segment"], r["level"]): r for r in
+           ins.causal_effect_residual(df, ["id"], "y", ["x", "p"], ["x", "p", "a", "b", "s"], ["s"]).collect()}
+    assert len(got) == 6 and got["x", "all", "all"]["n"] == n
+    assert abs(got["x", "all", "all"]["effect"] - 2.0) < 0.05 and abs(got["p", "all", "all"]["effect"] + 1.5) < 0.1
+    assert abs(got["x", "s", "1.0"]["effect"] - 2.0) < 0.1
+    design = np.column_stack([np.ones(n), x, p, a, b, s])
+    assert abs(np.linalg.lstsq(design, y, rcond=None)[0][1] - got["x", "all", "all"]["effect"]) < 0.01
+    with pytest.raises(ValueError):
+        ins.causal_effect_residual(df.limit(0), ["id"], "y", ["x"], ["x", "a"])
+
+
 def test_error_analysis_totals(spark):
     df = frame(spark).withColumn("prediction", F.lit(30.0))
     rows = ins.error_analysis(df, "cost", "prediction", {"distance": 10.0, "passengers": 2.0}).collect()
