@@ -10,9 +10,11 @@ start earlier, in the order of key and start.
 Before anything travels, each batch of documents sorts its own windows the same way: a
 repeat inside the batch is marked at once and does not travel, so a passage that a third
 of all documents share leaves each batch once. A minimiser with more windows than two
-buckets should hold (exact counts per bin of minimisers, first pass) is split: its
-windows travel one by one to the bucket of their own hash. Buckets follow the size of the
-input, and a task holds one bucket at a time.
+buckets should hold is split: its windows travel one by one to the bucket of their own
+hash. A first pass finds these: a bin of minimisers with twice a bucket's share of all
+windows has at least half of them in tasks where it has one bucket's share, so tasks
+report such bins only. Buckets follow the size of the input, and a task holds one
+bucket at a time.
 
 Defined cases: null is an empty text; rows that share a key are read as one document, in
 which only a smaller start is earlier, so repeated rows get equal answers; a null key
@@ -35,7 +37,7 @@ WINDOW = 20
 RUN = 4  # words hashed together for a minimiser
 BUCKET_BYTES = 4 << 20  # source text whose windows one bucket holds on average
 BINS = 64  # bins of minimisers counted for each bucket
-HOT_BINS = 1_000_000  # at most so many bins can be split, which bounds what is broadcast
+HOT_BINS = 1_000_000  # at most so many bins are split, which bounds what is broadcast
 _BATCH = 4 << 20  # bytes of text whose windows are sorted together before they travel
 _SEGMENT = 100_000  # windows of a long document taken at a time
 _LAST = (1 << 63) - 1  # stands for a null key
@@ -199,11 +201,21 @@ def _parts(text: bytes, window: int) -> Iterator[tuple[int, bytes]]:
         yield start, b" ".join(words[start:start + _SEGMENT + window - 1])
 
 
-def _count_bins(bins: int, window: int, run: int):
+def _heavy_bins(bins: int, buckets: int, window: int, run: int):
+    """Of a task, the bins that hold at least one bucket's share of its windows, and in bin
+    -1 all its windows; no more rows than buckets, mostly none but the last."""
+
     def of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = np.empty(0, np.int64), np.empty(0, np.int64)
         for b in _batches(rows, window, run):
-            found, n = np.unique(b.minimiser % np.uint64(bins), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n)], names=["bin", "n"])
+            found, where = np.unique(
+                np.concatenate([found, (b.minimiser % np.uint64(bins)).astype(np.int64)]), return_inverse=True
+            )
+            n = np.bincount(where, np.concatenate([n, np.ones(len(b.at), np.int64)])).astype(np.int64)
+        heavy = n * buckets >= n.sum()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(found[heavy], -1)), pa.array(np.append(n[heavy], n.sum()))], names=["bin", "n"]
+        )
 
     return of
 
@@ -315,12 +327,13 @@ def later_windows(
     buckets = max(1, -(-size // bucket_bytes))
     bins = BINS * buckets
     counts = stored(
-        df.mapInArrow(_count_bins(bins, window, run), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")),
+        df.mapInArrow(_heavy_bins(bins, buckets, window, run), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")),
         "minimiser-bins",
     )
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(2 * total / buckets, total / HOT_BINS)
-    hot = spark.sparkContext.broadcast([r.bin for r in counts.where(F.col("n") > limit).select("bin").collect()])
+    total = counts.where("bin = -1").agg(F.sum("n")).first()[0] or 0
+    limit = max(total / buckets, total / HOT_BINS)
+    found = counts.where((F.col("bin") >= 0) & (F.col("n") >= limit)).select("bin").collect()
+    hot = spark.sparkContext.broadcast([r.bin for r in found])
     parcels = df.mapInArrow(
         _pack(buckets, bins, hot, window, run),
         "bucket long, doc array<long>, mark array<long>, start array<long>, n array<long>, packed binary",

@@ -98,3 +98,18 @@ def test_equal_hashes_of_unequal_words_are_told_apart():
     words = sk._Words(b"1 2 3 1 2 4 1 2 3")
     later, first = sk._later(words, np.array([0, 3, 6]), np.array([5, 6, 7]), np.zeros(3, np.uint64), 3)
     assert later.tolist() == [False, False, True] and first.tolist() == [True, True, False]
+
+
+def test_a_hot_minimiser_is_found_from_the_reports_of_its_tasks():
+    import pyarrow as pa
+
+    hot = b" ".join([b"the same words over and over again %d" % i for i in range(400)])
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2]), pa.array([1, 2]), pa.array([hot.decode(), " ".join(f"x{i}" for i in range(3000))])], names=["d", "m", "t"]
+    )
+    out = list(sk._heavy_bins(640, 10, 20, 4)(iter([rows])))
+    total = dict(zip(out[0].column(0).to_pylist(), out[0].column(1).to_pylist()))
+    whole = sk._Batch([(1, 1, 0, hot), (2, 2, 0, rows.column(2)[1].as_py().encode())], 20, 4)
+    assert total.pop(-1) == len(whole.at)
+    exact = np.unique(whole.minimiser % np.uint64(640), return_counts=True)
+    assert total == {int(b): int(n) for b, n in zip(*exact) if n * 10 >= len(whole.at)}
