@@ -7,10 +7,9 @@ paths to each node; backward sampling walks from the end and draws the arc that
 each node in proportion to what reaches it, so a segmentation is drawn with exactly its
 share of the total weight.
 
-No piece holds a character other than the blank mark before a blank mark, nor a line
-break (both are verified when a vocabulary is loaded), so every path passes the nodes in
-front of blanks and around line breaks. The lattice of a text is therefore a chain of word
-lattices: each word's forward sums are computed once per task, and the backward walks of
+No piece holds a line break, a blank mark after another character, or a symbol after a
+letter or digit (verified when a vocabulary is loaded), so every path passes the nodes in
+between. The lattice of a text is therefore a chain of word lattices: each word's forward sums are computed once per task, and the backward walks of
 all words of a batch take their steps together.
 
 Draws are a counter-based hash of seed, row key, word and step: the same row gets the
@@ -35,9 +34,14 @@ from pyspark.sql import Column, functions as F
 BLANK = "▁"
 _LITERAL = "\ud800"  # stands for a literal blank mark; no valid text holds it
 SPREAD = 0.3  # exponent of piece weights: 0 draws all paths alike, large ones prefer merges
-_KNOWN = 500_000  # words whose lattices a task keeps
-_WORD = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
-_BATCH = 300_000  # words whose walks step together
+_DEL = 127
+_KNOWN = 400_000  # words whose lattices a task keeps
+# A word is blanks, then symbols, then letters and digits; no piece goes on from a letter
+# or digit to a symbol or a blank.
+_SYMBOL = f"(?:[^\\w{BLANK}\n]|[_²])"
+_WORD = re.compile(f"\n|{BLANK}*{_SYMBOL}*[^\\W_²]+|{BLANK}*{_SYMBOL}+|{BLANK}+")
+_CROSSES = re.compile(f"\n|[^\\W_²](?:\\W|[_²])|[^{BLANK}]{BLANK}")
+_BATCH = 150_000  # words whose walks step together
 
 
 class Vocabulary:
@@ -56,7 +60,7 @@ class Vocabulary:
                 self.byte_ids[int(piece[3:5], 16)] = i
                 self.bytes_of[i] = bytes([int(piece[3:5], 16)])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                if "\n" in piece or re.search(f"[^{BLANK}]{BLANK}", piece):
+                if _CROSSES.search(piece):
                     raise ValueError(f"piece {i} crosses a word boundary")
                 rank += 1
                 self.bytes_of[i] = piece.replace(BLANK, " ").encode()
@@ -71,22 +75,34 @@ class Vocabulary:
                 ids[state], weights[state] = i, -spread * math.log(rank + 1)
         order = sorted(steps)
         self.steps = np.array(order, np.int64)
-        self.next = np.array([steps[k] for k in order], np.int64)
+        self.next = np.array([steps[k] for k in order], np.int32)
+        # Steps by ASCII letters and the blank mark (in the place of DEL) are a plain table.
+        self.table = np.zeros((len(ids), 128), np.int32)
+        letter = self.steps & ((1 << 21) - 1)
+        small = np.where(letter == ord(BLANK), _DEL, np.where(letter == _DEL, 1 << 20, letter))
+        plain = small < 128
+        self.table[(self.steps >> 21)[plain], small[plain]] = self.next[plain]
         self.piece, self.weight = np.array(ids, np.int64), np.array(weights)
         self.per_byte = -spread * math.log(rank + 2)
 
     def walk(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """The state after a letter, 0 where no piece goes on."""
-        want = states << 21 | letters
-        at = np.minimum(np.searchsorted(self.steps, want), len(self.steps) - 1)
-        return np.where(self.steps[at] == want, self.next[at], 0)
+        small = np.where(letters == ord(BLANK), _DEL, letters)
+        plain = (small < 128) & (letters != _DEL)
+        out = self.table[states, np.where(plain, small, 0)]
+        rare = np.flatnonzero(~plain)
+        if len(rare):
+            want = states[rare].astype(np.int64) << 21 | letters[rare]
+            at = np.minimum(np.searchsorted(self.steps, want), len(self.steps) - 1)
+            out[rare] = np.where(self.steps[at] == want, self.next[at], 0)
+        return out
 
     def arcs(self, letters: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """All arcs over some words, given as their letters and where each letter's word ends.
 
         (first letter, letters, log weight, piece); the piece is -1 for a letter in bytes.
         """
-        at, state, n = np.arange(len(letters)), np.zeros(len(letters), np.int64), 0
+        at, state, n = np.arange(len(letters)), np.zeros(len(letters), np.int32), 0
         found, single = [], np.zeros(len(letters), bool)
         while len(at):
             state = self.walk(state, letters[at + n])
@@ -113,7 +129,7 @@ class _Rows:
     def add(self, values: np.ndarray) -> None:
         n = self.n + len(values)
         if n > len(self.data):
-            self.data = np.concatenate([self.data, np.empty(max(n, len(self.data)), self.data.dtype)])
+            self.data = np.concatenate([self.data, np.empty(max(n - len(self.data), len(self.data) // 2), self.data.dtype)])
         self.data[self.n:n] = values
         self.n = n
 
@@ -130,7 +146,7 @@ class Lattices:
         self.base, self.end = _Rows(np.int64), _Rows(np.int64)  # of words: first and last node
         self.first = _Rows(np.int64)  # of nodes: the first arc that enters
         self.upto = _Rows(np.float64)  # of arcs: summed share of the arcs of the node
-        self.back, self.emit, self.many = _Rows(np.int32), _Rows(np.int64), _Rows(np.int32)
+        self.back, self.emit, self.many = _Rows(np.uint8), _Rows(np.int32), _Rows(np.uint8)
         self.ids = _Rows(np.uint32)
 
     def _add(self, words: list[str]) -> None:
@@ -145,7 +161,7 @@ class Lattices:
         node = np.arange(len(letters)) + word  # the node before a letter
         begin, end = node[start], node[start] + n
         depth = end - base[word[start]]
-        order = np.lexsort((end, depth))
+        order = np.argsort(depth << 40 | end << 6 | n)  # arcs of a node by length, in every batch alike
         start, n, weight, piece, begin, end, depth = (x[order] for x in (start, n, weight, piece, begin, end, depth))
         sums, upto = np.zeros(len(letters) + len(words)), np.empty(len(end))
         levels = np.flatnonzero(np.append(True, depth[1:] != depth[:-1]))
@@ -175,8 +191,7 @@ class Lattices:
             inside = np.repeat(emit[bare], many[bare]) + np.arange(many[bare].sum()) \
                 - np.repeat(np.cumsum(many[bare]) - many[bare], many[bare])
             ids[inside] = v.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
-        for w in words:
-            self.known[w] = len(self.known)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
         nodes = self.first.n
         for rows, values in (
             (self.base, base + nodes), (self.end, base + size + nodes), (self.first, first), (self.upto, upto),
@@ -192,11 +207,12 @@ class Lattices:
     def code(self, words: list[str]) -> np.ndarray:
         if len(self.known) > _KNOWN:
             self.clear()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            self._add(new)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        at = list(map(self.known.get, words))
+        if None in at:
+            self._add(list(dict.fromkeys(w for w, a in zip(words, at) if a is None)))
+            known = self.known
+            at = [known[w] if a is None else a for w, a in zip(words, at)]
+        return np.array(at, np.int64)
 
     def sampled(self, words: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after the other, and how many each has."""
@@ -223,7 +239,7 @@ class Lattices:
         arcs = np.empty(ends[-1], np.int64)
         for step, (at, arc) in enumerate(taken):
             arcs[ends[at] - 1 - step] = arc  # the walk goes backward
-        many = self.many.data[arcs]
+        many = self.many.data[arcs].astype(np.int64)
         before = np.cumsum(many) - many
         ids = self.ids.data[np.repeat(self.emit.data[arcs] - before, many) + np.arange(many.sum())]
         summed = np.concatenate([[0], np.cumsum(many)])
@@ -300,7 +316,7 @@ def encode(text: Column | str, key: Column, model: Broadcast, seed: int = 0, spr
 
 def decode_row(vocabulary: Vocabulary, ids: bytes) -> str:
     table = vocabulary.bytes_of
-    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])[1:].decode()
+    return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:].decode()
 
 
 def decode(ids: Column | str, model: Broadcast, spread: float = SPREAD) -> Column:

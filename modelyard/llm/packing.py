@@ -76,8 +76,7 @@ class WordIds:
         self.count[n:n + len(words)] = counts
         self.first[n:n + len(words)] = self.used + np.cumsum(counts) - counts
         self.used = total
-        for w in words:
-            self.known[w] = len(self.known)
+        self.known.update(zip(words, range(n, n + len(words))))
 
     def _coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of some words one after the other, and how many each has."""
@@ -86,7 +85,8 @@ class WordIds:
         at = list(map(self.known.get, words))
         if None in at:
             self._add(list(dict.fromkeys(w for w, a in zip(words, at) if a is None)))
-            at = list(map(self.known.__getitem__, words))
+            known = self.known
+            at = [known[w] if a is None else a for w, a in zip(words, at)]
         at = np.array(at, np.int64)
         count = self.count[at]
         before = np.cumsum(count) - count

@@ -76,6 +76,13 @@ def paths(vocabulary, word):
     return dict(go(len(word)))
 
 
+def test_words_are_cut_where_no_piece_goes_on(known):
+    for text in ODD + ["don't (stop), m²_x a__b 3.5%... «é» x_{i}"]:
+        words = known.words(text or "")
+        assert "".join(words) == ("▁" + text.replace("▁", la._LITERAL).replace(" ", "▁") if text else "")
+    assert known.words("ab, (cd) e_f") == ["▁ab", ",", "▁(cd", ")", "▁e", "_f"]
+
+
 @pytest.mark.parametrize("word", ["▁there", "▁éa", "▁日x", "▁▁in"])
 def test_segmentations_are_drawn_with_their_share(known, word):
     all_ = paths(known.vocabulary, word)
