@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,12 +15,29 @@ from ..session import tune, workspace
 SPACES = " \t\n\v\f\r"
 
 
+_SHIPPED: set[str] = set()
+
+
 def tuned(spark: SparkSession) -> SparkSession:
-    """The package's options, and small batches for Python workers: rows hold whole texts."""
+    """The package's options, small batches for Python workers (rows hold whole texts), and
+    the package itself for workers that have no copy of it."""
     tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        _SHIPPED.add(spark.sparkContext.applicationId)
+        spark.sparkContext.addPyFile(_archive())
     return spark
 
 
+def _archive() -> str:
+    """The package's sources as a zip file in the driver's own temporary folder."""
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="modelyard-")) / "modelyard.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    return str(path)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table under the shared folder and read it again.
 
