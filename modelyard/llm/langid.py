@@ -1,7 +1,7 @@
 """Language identification by Bayesian fusion of text, markup, address and host evidence.
 
-Text: a naive Bayes model of hashed byte trigrams per language, fitted on a bounded sample
-of labelled rows. Overlapping trigrams and long texts are not independent evidence, so a
+Text: a naive Bayes model of hashed byte trigrams of letters per language, fitted on a bounded
+sample of labelled rows; numbers and symbols count for nothing. Overlapping trigrams and long texts are not independent evidence, so a
 text counts as at most `STRENGTH` independent trigrams. An unknown language stands for
 all others: it gives every trigram the same chance.
 
@@ -43,10 +43,15 @@ _BITS = 14
 _PIECE = 1 << 18  # bytes of a text counted at a time
 
 
+# Digits, symbols and controls say nothing about a language; other bytes are letters.
+_LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+
+
 def trigrams(text: bytes) -> np.ndarray:
-    """Counts of hashed byte trigrams of a text in lower case."""
+    """Counts of hashed byte trigrams of the letters of a text, in lower case and with one
+    blank for all that stands between them."""
     counts = np.zeros(1 << _BITS, np.int64)
-    data = np.frombuffer(text.lower(), np.uint8)
+    data = np.frombuffer(b" ".join(text.lower().translate(_LETTERS).split()), np.uint8)
     for at in range(0, max(0, len(data) - 2), _PIECE):
         part = data[at:at + _PIECE + 2].astype(np.uint32)
         code = (part[:-2] << 16) | (part[1:-1] << 8) | part[2:]
