@@ -295,8 +295,9 @@ def counterfactuals(
     candidates = ranked.where(F.col("_cand") == 1).select(
         "feature", "block", F.col("value").alias("new_value"), "support", "example", "_rank"
     )
-    spans = candidates.groupBy("feature", "block").agg(
-        F.min("_rank").alias("_lo"), F.max("_rank").alias("_hi")
+    # Kept before they meet the rows, so that hot blocks and profiles can be split in the joins.
+    spans = cut_lineage(
+        candidates.groupBy("feature", "block").agg(F.min("_rank").alias("_lo"), F.max("_rank").alias("_hi"))
     )
     asks = ranked.where(F.col("_asks") == 1).join(spans, ["feature", "block"])
     near = F.sequence(
@@ -311,8 +312,8 @@ def counterfactuals(
     found = wanted.join(candidates.drop("feature", "block"), "_rank").withColumn("_scale", scale)
     distance = F.abs(F.col("value") - F.col("new_value")) / F.col("_scale")
     choice = F.struct(distance.alias("distance"), "feature", "new_value", "example", "support")
-    answers = found.groupBy(*place).agg(
-        F.slice(F.array_sort(F.collect_list(choice)), 1, count).alias("_near")
+    answers = cut_lineage(
+        found.groupBy(*place).agg(F.slice(F.array_sort(F.collect_list(choice)), 1, count).alias("_near"))
     )
     outside = spread.where(~F.col("_in")).join(answers, place)
     best = outside.groupBy(key).agg(

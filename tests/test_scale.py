@@ -114,6 +114,19 @@ def test_fit_and_score_are_one_plan(spark):
     assert "ubquery" in text and text.count("FileScan parquet") >= 4  # the fit has its own scans in the same plan
 
 
+def test_hot_counterfactual_profiles_meet_kept_answers(spark, options):
+    from modelyard.operators import insights as ins
+
+    options(spark__sql__autoBroadcastJoinThreshold="-1")
+    df = spark.range(4000).select(
+        "id", F.when(F.col("id") % 3 == 0, 1.0).otherwise((F.col("id") % 50).cast("double")).alias("x"),
+        F.lit("a").alias("u"), (F.col("id") % 2 * 10.0).alias("prediction"),
+    )
+    text = plan(ins.counterfactuals(df, "id", {"x": 1.0}, ["u"], 5.0, 15.0))
+    last = text[text.index("SortMergeJoin"):]
+    assert "Scan ExistingRDD" in last and "HashAggregate" not in last[:last.index("Scan ExistingRDD")].split("Exchange")[-1]
+
+
 def test_a_long_pair_is_aligned_by_many_tasks(spark, options):
     options(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="8")
     text = " ".join(f"w{i % 97} x{i % 31} end{i % 7}." for i in range(2000))
