@@ -41,7 +41,7 @@ _KNOWN = 400_000  # words whose lattices a task keeps
 _SYMBOL = f"(?:[^\\w{BLANK}\n]|[_²])"
 _WORD = re.compile(f"\n|{BLANK}*{_SYMBOL}*[^\\W_²]+|{BLANK}*{_SYMBOL}+|{BLANK}+")
 _CROSSES = re.compile(f"\n|[^\\W_²](?:\\W|[_²])|[^{BLANK}]{BLANK}")
-_BATCH = 150_000  # words whose walks step together
+_BATCH = 40_000  # words whose walks step together
 
 
 class Vocabulary:
@@ -82,7 +82,7 @@ class Vocabulary:
         small = np.where(letter == ord(BLANK), _DEL, np.where(letter == _DEL, 1 << 20, letter))
         plain = small < 128
         self.table[(self.steps >> 21)[plain], small[plain]] = self.next[plain]
-        self.piece, self.weight = np.array(ids, np.int64), np.array(weights)
+        self.piece, self.weight = np.array(ids, np.int32), np.array(weights)
         self.per_byte = -spread * math.log(rank + 2)
 
     def walk(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
@@ -92,7 +92,7 @@ class Vocabulary:
         out = self.table[states, np.where(plain, small, 0)]
         rare = np.flatnonzero(~plain)
         if len(rare):
-            want = states[rare].astype(np.int64) << 21 | letters[rare]
+            want = states[rare].astype(np.int64) << 21 | letters[rare].astype(np.int64)
             at = np.minimum(np.searchsorted(self.steps, want), len(self.steps) - 1)
             out[rare] = np.where(self.steps[at] == want, self.next[at], 0)
         return out
@@ -102,21 +102,22 @@ class Vocabulary:
 
         (first letter, letters, log weight, piece); the piece is -1 for a letter in bytes.
         """
-        at, state, n = np.arange(len(letters)), np.zeros(len(letters), np.int32), 0
+        at, state, n = np.arange(len(letters), dtype=np.int32), np.zeros(len(letters), np.int32), 0
         found, single = [], np.zeros(len(letters), bool)
         while len(at):
             state = self.walk(state, letters[at + n])
             n += 1
             at, state = at[state > 0], state[state > 0]
             whole = self.piece[state] >= 0
-            found.append((at[whole], np.full(int(whole.sum()), n), self.weight[state[whole]], self.piece[state[whole]]))
+            good = state[whole]
+            found.append((at[whole], np.full(len(good), n, np.int32), self.weight[good], self.piece[good]))
             if n == 1:
                 single[at[whole]] = True
             on = at + n < ends[at]
             at, state = at[on], state[on]
-        bare = np.flatnonzero(~single)
+        bare = np.flatnonzero(~single).astype(np.int32)
         size = 1 + (letters[bare] > 0x7F) + (letters[bare] > 0x7FF) + (letters[bare] > 0xFFFF)
-        found.append((bare, np.ones(len(bare), np.int64), size * self.per_byte, np.full(len(bare), -1)))
+        found.append((bare, np.ones(len(bare), np.int32), size * self.per_byte, np.full(len(bare), -1, np.int32)))
         return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -152,16 +153,17 @@ class Lattices:
     def _add(self, words: list[str]) -> None:
         """Build and filter the lattices of new words together."""
         v = self.vocabulary
-        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
         size = np.fromiter(map(len, words), np.int64, len(words))
         word = np.repeat(np.arange(len(words)), size)
         stop = np.cumsum(size)
         start, n, weight, piece = v.arcs(letters, stop[word])
         base = np.cumsum(size + 1) - size - 1  # a word has a node before each letter and a last one
-        node = np.arange(len(letters)) + word  # the node before a letter
+        node = (np.arange(len(letters)) + word).astype(np.int32)  # the node before a letter
         begin, end = node[start], node[start] + n
-        depth = end - base[word[start]]
-        order = np.argsort(depth << 40 | end << 6 | n)  # arcs of a node by length, in every batch alike
+        depth = end - base.astype(np.int32)[word[start]]
+        # arcs of a node by length, in every batch alike
+        order = np.argsort(depth.astype(np.int64) << 40 | end.astype(np.int64) << 6 | n)
         start, n, weight, piece, begin, end, depth = (x[order] for x in (start, n, weight, piece, begin, end, depth))
         sums, upto = np.zeros(len(letters) + len(words)), np.empty(len(end))
         levels = np.flatnonzero(np.append(True, depth[1:] != depth[:-1]))
@@ -314,6 +316,20 @@ def encode(text: Column | str, key: Column, model: Broadcast, seed: int = 0, spr
     return of(text, key)
 
 
+def round_trip(text: Column | str, key: Column, model: Broadcast, seed: int = 0, spread: float = SPREAD) -> Column:
+    """Struct (ids, text): sampled ids and the text decoded from them, in one pass."""
+
+    @F.arrow_udf("ids binary, text string")
+    def of(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        known = lattices(model.value, spread)
+        found = encode_rows(known, texts.to_pylist(), keys.to_pylist(), seed)
+        ids = [None if x is None else x.astype("<u4").tobytes() for x in found]
+        back = [None if x is None else decode_row(known.vocabulary, x) for x in ids]
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(back, pa.string())], names=["ids", "text"])
+
+    return of(text, key)
+
+
 def decode_row(vocabulary: Vocabulary, ids: bytes) -> str:
     table = vocabulary.bytes_of
     return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:].decode()

@@ -238,10 +238,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = spark.sparkContext.broadcast(sentencepiece_model())
     body = F.coalesce(F.col("text"), F.lit(""))
     coded = table(spark, sf_dir, "documents").select(
-        "doc_id", body.alias("text"), lattice.encode(body, F.xxhash64("doc_id"), model).alias("ids")
+        "doc_id", body.alias("text"), lattice.round_trip(body, F.xxhash64("doc_id"), model).alias("of")
     )
-    back = coded.select("*", lattice.decode("ids", model).alias("back"))
-    return back.select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
-        F.sha2(F.col("back").cast("binary"), 256).alias("decoded_sha256"), (F.col("back") == F.col("text")).alias("lossless"),
+    ids, back = F.col("of.ids"), F.col("of.text")
+    return coded.select(
+        "doc_id", F.floor(F.octet_length(ids) / 4).cast("long").alias("n_ids"), F.crc32(ids).alias("ids_crc32"),
+        F.sha2(back.cast("binary"), 256).alias("decoded_sha256"), (back == F.col("text")).alias("lossless"),
     )

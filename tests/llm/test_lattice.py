@@ -35,6 +35,8 @@ def test_round_trip_is_lossless(spark, model):
     rows = coded.select("*", la.decode("coded", shared).alias("back")).collect()
     assert len(rows) == len(ODD) and all(r.back == r.text for r in rows)
     assert [r for r in rows if r.doc_id == 1][0].coded == b""
+    both = df.select("doc_id", la.round_trip(F.col("text"), F.col("doc_id"), shared, seed=3).alias("of")).collect()
+    assert {r.doc_id: (r.of.ids, r.of.text) for r in both} == {r.doc_id: (r.coded, r.back) for r in rows}
 
 
 def test_rows_do_not_depend_on_their_batch(known, monkeypatch):
