@@ -4,13 +4,14 @@ Documents become token ids in batches; longer ones are cut into full pieces and
 How many pieces have which length is a histogram of at most as many entries as a sequence
 has tokens, whatever the size of the corpus. On it the configuration linear program
 (fewest sequences, each a multiset of lengths that fits, covering the histogram) is solved
-by multiplicative weights: a dynamic program over the knapsack finds the multiset of the
-highest total price, it is given as much weight as its share and the open demand allow,
-and the prices of what it covers fall. Rounding takes the whole part of every weight and
-places the remaining counts best-fit, longest first, into groups of equal sequences.
-
-The solution is a short list of patterns with multiplicities (bounded by the sequence
-length, not by the data). A piece finds its place from its rank among pieces of its
+by multiplicative weights: a dynamic program over the knapsack finds the multisets of the
+highest total price, they are given as much weight as their share and the open demand
+allow, and the prices of what they cover fall, until the weights cover all demand.
+Rounding takes the whole part of every weight and places the remaining counts best-fit,
+longest first, into groups of equal sequences.
+
+The solution is a list of patterns with multiplicities; a pattern covers a share of some
+length's demand, so there are some for each length, however large the data. A piece finds its place from its rank among pieces of its
 length by binary search in that list. Ranks come from counts per chunk of rows, so a
 length that a third of all pieces share is never ranked in one task.
 
@@ -21,6 +22,7 @@ as often as they stand; an empty table has no pieces.
 from __future__ import annotations
 
 import bisect
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,9 +35,12 @@ from .common import stored, whole_row
 
 LENGTH = 4096
 END = 1
-TURNS = 192  # steps of the multiplicative weights
-RATE = 0.01  # how fast prices fall with the share of demand that is covered
+RATE = 1.0  # how fast prices fall with the share of demand that is covered
+SHARE = 0.25  # of a length's demand that a pattern covers at a time, if that is a whole sequence
+SLACK = 0.05  # how much less than the best a pattern may be worth
+REFUSED = 300  # patterns worth less that end a turn
 LONG_FIRST = 1.05  # first prices are lengths to this power, so long pieces are served first
+_BLOCK = 64  # rooms of the knapsack found together
 _CHUNK_BITS = 16  # rows of a partition ranked together, as a power of two
 _WORDS = 1_500_000  # words whose ids a task keeps; more are looked up anew
 _SLICE = 100_000  # words coded at a time
@@ -171,43 +176,97 @@ def pieces(
 # --- the program over the histogram ------------------------------------------
 
 
+def _values(prices: np.ndarray, length: int) -> np.ndarray:
+    """Highest total price of a multiset of lengths, for every room up to `length`.
+
+    Rooms are taken in blocks. The piece that crosses into a block is found for the whole
+    block at once; what follows it inside the block are lengths below the block's width.
+    """
+    value, few = np.zeros(length + 1 + _BLOCK), min(_BLOCK, length + 1)
+    for w in range(1, few):
+        value[w] = max(value[w - 1], (prices[1:w + 1] + value[w - 1::-1][:w]).max())
+    inside = np.full((_BLOCK, _BLOCK), -np.inf)
+    for w in range(few):
+        inside[w:few, w] = value[:few - w]
+    turned = np.concatenate([np.zeros(_BLOCK), prices[::-1]])  # the price of l is at the end less l
+    step, sums = turned.itemsize, np.empty(_BLOCK * (length // 2 + 1))
+    for s in range(_BLOCK, length + 1, _BLOCK):
+        half = s // 2  # longest first, a piece is no longer than what is before it, if anything is
+        n = s - half
+        crossing = np.lib.stride_tricks.as_strided(turned[len(turned) - 1 - n:], (_BLOCK, n), (-step, step))
+        added = np.add(crossing, value[half:s], out=sums[:_BLOCK * n].reshape(_BLOCK, n)).max(axis=1)
+        alone = prices[s:s + _BLOCK]
+        np.maximum(added[:len(alone)], alone, out=added[:len(alone)])
+        value[s:s + _BLOCK] = (inside + added).max(axis=1)
+    return value[:length + 1]
+
+
+class _Pricing:
+    """The knapsack table of some prices, and the multisets that attain it."""
+
+    def __init__(self, prices: np.ndarray, length: int) -> None:
+        self.prices, self.value = prices, _values(prices, length)
+        self.taken: dict[int, int] = {}
+
+    def pattern(self, room: int) -> list[int]:
+        out = []
+        while room > 0 and self.value[room] > 0:
+            if room not in self.taken:
+                self.taken[room] = int(np.argmax(self.prices[1:room + 1] + self.value[room - 1::-1][:room])) + 1
+            l = self.taken[room]
+            if self.prices[l] > 0:
+                out.append(l)
+            room -= l
+        return out
+
+
 def best_pattern(prices: np.ndarray, length: int) -> list[int]:
     """The lengths of the most valuable multiset that fits; prices[l] is of length l."""
-    value = np.zeros(length + 1)
-    for w in range(1, length + 1):
-        value[w] = max(value[w - 1], (prices[1:w + 1] + value[w - 1::-1][:w]).max())
-    out, w = [], length
-    while w > 0:
-        if value[w] == value[w - 1]:
-            w -= 1
-            continue
-        l = int(np.argmax(prices[1:w + 1] + value[w - 1::-1][:w])) + 1
-        if prices[l] <= 0:
-            break
-        out.append(l)
-        w -= l
-    return out
+    return _Pricing(prices, length).pattern(length)
+
 
+def fractional(demand: dict[int, int], length: int, turns: int | None = None) -> list[tuple[Counter, float]]:
+    """Patterns with weights of the configuration program, by multiplicative weights.
 
-def fractional(demand: dict[int, int], length: int, turns: int = TURNS) -> list[tuple[Counter, float]]:
-    """Patterns with weights of the configuration program, by multiplicative weights."""
+    A turn solves the knapsack once and takes, for the open lengths in the order of what a
+    sequence with them is worth, the best pattern with that length while its total price is
+    within `SLACK` of the turn's best. Prices only fall, so all of these are nearly best
+    when they are taken. Turns go on until the weights cover all demand, unless the caller
+    states a number of them.
+    """
     open_ = np.zeros(length + 1)
     for l, n in demand.items():
         open_[l] = n
     total = open_.copy()
-    share = max(1.0, sum(l * n for l, n in demand.items()) / length / max(1, turns))
     prices = (np.arange(length + 1) / length) ** LONG_FIRST * (open_ > 0)
     found: dict[tuple, float] = {}
-    for _ in range(turns):
-        pattern = Counter(best_pattern(np.where(open_ > 0, prices, 0), length))
-        if not pattern:
+    for _ in itertools.count() if turns is None else range(turns):
+        pricing = _Pricing(prices.copy(), length)
+        least = (1 - SLACK) * pricing.value[length]
+        if least <= 0:
             break
-        step = min([share, *(open_[l] / a for l, a in pattern.items())])
-        key = tuple(sorted(pattern.items()))
-        found[key] = found.get(key, 0.0) + step
-        for l, a in pattern.items():
-            open_[l] = max(0.0, open_[l] - a * step)
-            prices[l] *= np.exp(-RATE * a * step / total[l])
+        lengths = np.flatnonzero(prices)
+        worth = prices[lengths] + pricing.value[length - lengths]
+        refused = 0
+        for l in lengths[np.argsort(-worth, kind="stable")].tolist():
+            pattern = Counter([l, *pricing.pattern(length - l)])
+            if sum(prices[x] * a for x, a in pattern.items()) < least:
+                refused += 1
+                if refused == REFUSED:
+                    break
+                continue
+            step = min(
+                min(open_[x] / a for x, a in pattern.items()), max(1.0, SHARE * min(total[x] / a for x, a in pattern.items()))
+            )
+            if step > 1:
+                step = float(int(step))  # whole sequences lose nothing in rounding
+            key = tuple(sorted(pattern.items()))
+            found[key] = found.get(key, 0.0) + step
+            for x, a in pattern.items():
+                open_[x] -= a * step
+                prices[x] *= np.exp(-RATE * a * step / total[x])
+                if open_[x] < 1e-9:
+                    open_[x] = prices[x] = 0.0
     return [(Counter(dict(k)), x) for k, x in found.items()]
 
 
@@ -248,17 +307,25 @@ def best_fit(demand: dict[int, int], length: int) -> list[tuple[Counter, int]]:
     return [g for held in groups.values() for g in held]
 
 
-def solve(histogram: dict[int, int], length: int = LENGTH, turns: int = TURNS) -> list[tuple[Counter, int]]:
+def solve(histogram: dict[int, int], length: int = LENGTH, turns: int | None = None) -> list[tuple[Counter, int]]:
     """Patterns with whole multiplicities that hold exactly the histogram."""
     left = Counter({l: n for l, n in histogram.items() if n})
-    done: list[tuple[Counter, int]] = []
+    planned, rest = rounded(left, length, turns)
+    return planned + best_fit(rest, length)
+
+
+def rounded(
+    demand: dict[int, int], length: int = LENGTH, turns: int | None = None
+) -> tuple[list[tuple[Counter, int]], Counter]:
+    """The program's patterns with whole multiplicities, and the demand that rounding leaves."""
+    left, done = Counter(demand), []
     for pattern, x in sorted(fractional(left, length, turns), key=lambda p: -p[1]):
         whole = min([int(x + 1e-9), *(left[l] // a for l, a in pattern.items())])
         if whole:
             done.append((pattern, whole))
             for l, a in pattern.items():
                 left[l] -= a * whole
-    return done + best_fit(left, length)
+    return done, left
 
 
 def slots(solution: list[tuple[Counter, int]], length: int) -> dict[str, np.ndarray]:
@@ -296,7 +363,7 @@ def _place(where):
     return F.arrow_udf(of, "sequence_id long, offset long")
 
 
-def packed(df: DataFrame, length: int = LENGTH, size: str = "length", turns: int = TURNS) -> DataFrame:
+def packed(df: DataFrame, length: int = LENGTH, size: str = "length", turns: int | None = None) -> DataFrame:
     """(doc, sequence_id, offset): every row as a struct with its place; `df` is a stored
     table whose column `size` holds lengths from 1 to `length`."""
     spark = df.sparkSession

@@ -92,6 +92,23 @@ def test_many_pieces_are_packed_close_to_the_bound():
     assert any(m > 1 for _, m in solution)
 
 
+def test_the_program_covers_all_demand_of_many_lengths():
+    rng = random.Random(7)
+    histogram = Counter(min(600, int(rng.lognormvariate(5, 1)) + 1) for _ in range(20_000))
+    assert len(histogram) > 500
+    found, covered = pk.fractional(histogram, 600), Counter()
+    for pattern, x in found:
+        for l, a in pattern.items():
+            covered[l] += a * x
+    assert all(covered[l] > n - 1e-6 for l, n in histogram.items())
+    bound = sum(l * n for l, n in histogram.items()) / 600
+    assert sum(x for _, x in found) <= 1.002 * bound
+    solution = pk.solve(histogram, 600)
+    placed = sum(int(x) * sum(p.values()) for p, x in found)
+    assert placed > 0.9 * sum(histogram.values())
+    assert sum(m for _, m in solution) <= 1.002 * bound + 1
+
+
 def check(rows, length):
     by = defaultdict(list)
     for r in rows:
