@@ -111,11 +111,14 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def _later(words: _Words, at: np.ndarray, key: np.ndarray, hashes: np.ndarray, window: int) -> tuple:
+def _later(
+    words: _Words, at: np.ndarray, key: np.ndarray, hashes: np.ndarray, window: int, mark: np.ndarray | None = None
+) -> tuple:
     """Marks among the windows that begin at the words `at`.
 
     Returns (later, first): a window is later if equal words have a smaller key, and
-    first marks one window of each distinct word sequence, with the smallest key.
+    first marks one window of each distinct word sequence, with the smallest key; given
+    the text marks, one of each text that has it at that key.
     """
     later, first = np.zeros(len(at), bool), np.zeros(len(at), bool)
     todo = np.argsort(hashes)
@@ -137,6 +140,11 @@ def _later(words: _Words, at: np.ndarray, key: np.ndarray, hashes: np.ndarray, w
             same[still] = words.equal(mine[still] + t, theirs[still] + t)
         later[todo[other[same]]] = key[todo[other[same]]] > low[group[other[same]]]
         first[head] = True
+        if mark is not None:
+            tied = other[same][key[todo[other[same]]] == low[group[other[same]]]]
+            tied = tied[mark[todo[tied]] != mark[head[group[tied]]]]
+            texts = np.stack([group[tied], mark[todo[tied]]])
+            first[todo[tied[np.unique(texts, axis=1, return_index=True)[1]]]] = True
         todo = todo[other[~same]]  # equal hashes of unequal words: sort these again
     return later, first
 
@@ -233,7 +241,7 @@ def _pack(buckets: int, bins: int, hot, window: int, run: int):
         squeeze = zstandard.ZstdCompressor(level=3)
         split = np.array(sorted(hot.value), np.uint64)
         for b in _batches(rows, window, run):
-            later, first = _later(b.words, b.at, b.key, b.hash, window)
+            later, first = _later(b.words, b.at, b.key, b.hash, window, b.text)
             parcels: list[tuple] = []
             at, n = _ranges(later, b.doc, b.start)
             if len(at):

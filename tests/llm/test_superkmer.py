@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from modelyard.llm import superkmer as sk
@@ -68,6 +70,29 @@ def test_defined_cases(spark):
     check(spark, rows)
 
 
+def test_texts_of_one_key_lose_what_another_batch_has(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, f"{passage} one"), (None, f"{passage} two"), (7, f"{passage} six"), (7, f"{passage} ten"), (1, passage)]
+    one = spark.createDataFrame(rows[:4], "doc_id long, text string").coalesce(1)
+    df = one.union(spark.createDataFrame(rows[4:], "doc_id long, text string").coalesce(1))
+    got = sk.substring_dedup(df).collect()
+    assert sorted((r.key or 0, r.kept) for r in got) == [(0, "one"), (0, "two"), (1, passage), (7, "six"), (7, "ten")]
+
+
+def test_each_text_of_a_key_sends_its_windows():
+    passage = " ".join(f"w{i}" for i in range(30))
+    texts = [f"{passage} one", f"{passage} two"]
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array([7, 7]), pa.array([1, 2]), pa.array(texts)], names=["doc", "mark", "text"]
+    )
+    sent = {1: set(), 2: set()}
+    for parcels in sk._pack(1, 64, SimpleNamespace(value=[]), 20, 4)(iter([rows])):
+        for p in parcels.to_pylist():
+            for mark, start, n in zip(p["mark"], p["start"], p["n"]):
+                sent[mark].update(range(start, start + n))
+    assert sent == {1: set(range(12)), 2: set(range(12))}
+
+
 def test_empty_table(spark):
     assert sk.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
