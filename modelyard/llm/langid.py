@@ -150,11 +150,13 @@ def identified(
         "language-scores",
     )
     best = F.array_position(F.col("scores"), F.array_max("scores")).cast("int")
-    said = F.array(*[F.lit(n) for n in names])[best - 1]
+    told = F.array_max("scores") > F.array_min("scores")  # a text without letters says no language
+    said = F.when(told, F.array(*[F.lit(n) for n in names])[best - 1])
     cells = stored(
         scored.groupBy("host", "domain", "suffix", "declared", said.alias("said")).agg(F.count(F.lit(1)).alias("n")),
         "language-cells",
     )
+    spoken = cells.where("said is not null")
     per = {r.said: float(r.n) for r in cells.groupBy("said").agg(F.sum("n").alias("n")).collect()}
     totals = [per.get(n, 0.0) for n in names]
     whole = [(t + 1.0) / (sum(totals) + len(names)) for t in totals]
@@ -175,8 +177,8 @@ def identified(
     zero = F.array(*[F.lit(0.0)] * len(names))
     fused = (
         scored.join(hosts, "host", "left")
-        .join(_given(cells, "declared", "by_markup", names, totals), "declared", "left")
-        .join(_given(cells, "suffix", "by_suffix", names, totals), "suffix", "left")
+        .join(_given(spoken, "declared", "by_markup", names, totals), "declared", "left")
+        .join(_given(spoken, "suffix", "by_suffix", names, totals), "suffix", "left")
     )
     plus = lambda a, b: a + b
     prior = F.transform(F.coalesce("prior", overall), lambda p: F.log(p))

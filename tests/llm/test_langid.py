@@ -48,6 +48,13 @@ def test_evidence_decides_where_the_text_is_silent(spark, model):
     assert got[0].doc.asDict().keys() == {"doc_id", "text", "lang", "source", "probability", "host"}
 
 
+def test_texts_without_letters_count_for_no_language(spark, model):
+    rows = [(i, ENGLISH * 5, "en", "a.news.example.org") for i in range(60)]
+    rows += [(100 + i, ("", "12 34", None)[i % 3], "en", "b.empty.example.net") for i in range(300)]
+    got = [r.language for r in langid.identified(frame(spark, rows), model).collect()]
+    assert set(got) == {"en"}
+
+
 def test_unknown_texts_are_rejected_and_clean_ones_stay(spark, model):
     rows = [(i, ENGLISH * 3, "en", "s") for i in range(20)] + [(30, "erthing 4111111111111111 10.2.3.4 x9@y.org " + ENGLISH[:20], "en", "s")] + [(90, "ЖЩЮЯ ыъэ " * 40, None, None), (91, "😀😁" * 200, None, None)]
     got = {r.doc.doc_id: r.accepted for r in langid.identified(frame(spark, rows), model).collect()}
