@@ -14,6 +14,7 @@ from ..session import tune, workspace
 #: The white space of all word and normalisation rules here: blank, tab to carriage return.
 SPACES = " \t\n\v\f\r"
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _SHIPPED: set[str] = set()
 
@@ -72,6 +73,11 @@ def first_of(*columns: Column | str) -> Column:
     return F.struct(*[x for i, c in enumerate(cols) for x in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))])
 
 
+def lowered(word: Column) -> Column:
+    """A-Z in lower case, all else as it is; most words need no change."""
+    return F.when(F.lower(word) == word, word).otherwise(F.translate(word, _UPPER, _UPPER.lower()))
+
+
 def blocks_of(df: DataFrame, size: Column, member: Column, block: int) -> DataFrame:
     """Deal a bucket of `size` rows into blocks and each row to every pair of its block.
 
