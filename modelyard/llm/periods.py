@@ -50,19 +50,31 @@ def _openings(ids: np.ndarray) -> dict[int, list[int]]:
     heads = np.append(0, turn)
     before = np.append(-1, ids[:-1])[order]
     mixed = np.minimum.reduceat(before, heads) != np.maximum.reduceat(before, heads)
-    found: dict[int, list[int]] = {}
+    found = [np.empty((2, 0), np.int64)]
     ends = np.append(turn, len(order))
+
+    def keep(at: np.ndarray, lag: np.ndarray) -> None:
+        fits = lag * (TIMES - 1) <= n - at
+        at, lag = at[fits], lag[fits]
+        last = at + np.maximum(lag * (TIMES - 1), GRAM) - GRAM  # where the least length has its last gram
+        same = grams[last] == grams[last - lag]
+        found.append(np.stack([at[same], lag[same]]))
+
     for a, b in zip(heads[mixed].tolist(), ends[mixed].tolist()):
         places, left = order[a:b], before[a:b]
-        for k in range(1, b - a):
-            i = int(places[k])
-            lag = i - places[:k][left[:k] != left[k]][::-1]
-            lag = lag[lag * (TIMES - 1) <= n - i]
-            last = i + np.maximum(lag * (TIMES - 1), GRAM) - GRAM  # where the least length has its last gram
-            lag = lag[grams[last] == grams[last - lag]]
-            if len(lag):
-                found[i] = lag.tolist()
-    return found
+        kinds, counts = np.unique(left, return_counts=True)
+        many = left == kinds[counts.argmax()]
+        for place, word in zip(places[~many].tolist(), left[~many].tolist()):
+            earlier = places[(left != word) & (places < place)]
+            keep(np.full(len(earlier), place), place - earlier)
+            later = places[many & (places > place)]
+            keep(later, later - place)
+    at, lag = np.concatenate(found, axis=1)
+    by = np.lexsort([lag, at])
+    opens: dict[int, list[int]] = {}
+    for i, d in zip(at[by].tolist(), lag[by].tolist()):
+        opens.setdefault(i, []).append(d)
+    return opens
 
 
 def _smallest(ids: np.ndarray, start: int, period: int) -> bool:
