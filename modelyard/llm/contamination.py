@@ -23,17 +23,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import lowered, stored
+from .common import lowered, split_words, stored
 
 WINDOW = 10
 SLOP = 3
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _PLACE = ["doc", "mark", "place", "term"]
 
 
 def words(text: Column) -> Column:
     """The words as they stand in a text; in lower case they are terms."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_WORD), F.lit(0))
+    return split_words(text, _BETWEEN)
 
 
 def item_terms(items: DataFrame, item: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -55,11 +55,12 @@ def index(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "t
     `doc` and `mark` stand for the key and the text. At place -1 every row of `docs` has an
     entry without term, which holds its key and number of words.
     """
-    found = words(F.col(f"`{text}`"))
-    spread = docs.select(
+    read = docs.select(
         F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{key}`")).alias("doc"),
-        F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.size(found).cast("long").alias("n_words"),
-        F.posexplode(F.concat(F.array(F.lit(None).cast("string")), found)).alias("place", "word"),
+        F.xxhash64(F.col(f"`{text}`")).alias("mark"), words(F.col(f"`{text}`")).alias("ws"),
+    )
+    spread = read.withColumn("n_words", F.size("ws").cast("long")).select(
+        "key", "doc", "mark", "n_words", F.posexplode(F.concat(F.array(F.lit(None).cast("string")), "ws")).alias("place", "word")
     )
     head = F.col("place") == 0
     spread = spread.select(
