@@ -6,14 +6,18 @@ has tokens, whatever the size of the corpus. On it the configuration linear prog
 (fewest sequences, each a multiset of lengths that fits, covering the histogram) is solved
 by multiplicative weights: a dynamic program over the knapsack finds the multisets of the
 highest total price, they are given as much weight as their share and the open demand
-allow, and the prices of what they cover fall, until the weights cover all demand.
-Rounding takes the whole part of every weight and places the remaining counts best-fit,
-longest first, into groups of equal sequences.
+allow, and the prices of what they cover fall, until the weights cover all but a hundredth
+of the demand. Prices of few lengths move fast and in small steps, which decides between
+patterns that are worth the same; those of many lengths move slowly, as there the volume
+is close to the optimum. Any prices give a bound from below: what the demand costs by
+them, over the best pattern's price. Rounding takes the whole part of every weight and
+places the remaining counts best-fit, longest first, into groups of equal sequences.
 
 The solution is a list of patterns with multiplicities; a pattern covers a share of some
-length's demand, so there are some for each length, however large the data. A piece finds its place from its rank among pieces of its
-length by binary search in that list. Ranks come from counts per chunk of rows, so a
-length that a third of all pieces share is never ranked in one task.
+length's demand, so there are some for each length, however large the data. A piece finds
+its place from its rank among pieces of its length by binary search in that list. Ranks
+come from counts per chunk of rows, so a length that a third of all pieces share is never
+ranked in one task.
 
 Defined cases: null is an empty text, which is its end id alone; repeated rows are packed
 as often as they stand; an empty table has no pieces.
@@ -23,11 +27,13 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import string
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tokenizers import Tokenizer
 
@@ -35,92 +41,103 @@ from .common import stored, whole_row
 
 LENGTH = 4096
 END = 1
-RATE = 1.0  # how fast prices fall with the share of demand that is covered
-SHARE = 0.25  # of a length's demand that a pattern covers at a time, if that is a whole sequence
+RATE = (0.25, 50.0)  # least and greatest fall of prices with the share of demand that is covered
+PACE = 1000  # the rate times the number of lengths, between these
+STEP = 0.25  # the rate times the share of a length's demand that a pattern covers at a time
+TAIL = 0.01  # share of the tokens that is left to best fit
 SLACK = 0.05  # how much less than the best a pattern may be worth
-REFUSED = 300  # patterns worth less that end a turn
 LONG_FIRST = 1.05  # first prices are lengths to this power, so long pieces are served first
 _BLOCK = 64  # rooms of the knapsack found together
 _CHUNK_BITS = 16  # rows of a partition ranked together, as a power of two
 _WORDS = 1_500_000  # words whose ids a task keeps; more are looked up anew
-_SLICE = 100_000  # words coded at a time
+_SLICE = 500_000  # words coded at a time
+_BYTES = 8 << 20  # text whose words are looked up together
+_PUNCTUATION = string.punctuation.encode()
 
 
 class WordIds:
-    """Token ids of words between ASCII white space, each word tokenised once.
+    """Token ids of words between ASCII white space, from the ids of their parts.
 
-    The tokenizer's own splitter never joins characters across white space, so the ids of
-    a text are those of its words one after the other.
+    The tokenizer's own splitter joins no characters across white space, and no letters with
+    what follows them, so the ids of a text are those of its words one after the other, and
+    those of letters with ASCII punctuation behind them are the letters' and the
+    punctuation's. Letters are stored in the lower case that the tokenizer gives them; a
+    word of any other form is stored as it is.
     """
 
     def __init__(self, definition: str) -> None:
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.first, self.count = np.empty(1024, np.int64), np.empty(1024, np.int64)
+        self.known: dict[bytes, int] = {b"": 0}
+        self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.empty(8192, np.uint32), 0
 
-    def _add(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        starts = np.cumsum(sizes + 1) - sizes - 1
-        found = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
-        ids = np.array(found.ids, np.uint32)
-        at = np.array([o[0] for o in found.offsets], np.int64)
-        counts = np.bincount(np.searchsorted(starts, at, side="right") - 1, minlength=len(words)) if len(ids) else \
-            np.zeros(len(words), np.int64)
-        n, total = len(self.known), self.used + len(ids)
-        if n + len(words) > len(self.first):
-            self.first, self.count = (np.resize(x, 2 * (n + len(words))) for x in (self.first, self.count))
+    def _add(self, parts: list[bytes]) -> None:
+        """Store new parts; lower-case ASCII letters are the model's own symbols already."""
+        model = self.tokenizer.model
+        plain = [x.isalpha() and x.islower() for x in parts]
+        others = iter(self.tokenizer.encode_batch_fast(
+            [x.decode("utf-8", "replace") for x, p in zip(parts, plain) if not p], add_special_tokens=False
+        ))
+        ids = [
+            [t.id for t in model.tokenize(x.decode())] if p else next(others).ids for x, p in zip(parts, plain)
+        ]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        n, total = len(self.known), self.used + int(counts.sum())
+        if n + len(parts) > len(self.first):
+            self.first, self.count = (np.resize(x, 2 * (n + len(parts))) for x in (self.first, self.count))
         if total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * total)
-        self.flat[self.used:total] = ids
-        self.count[n:n + len(words)] = counts
-        self.first[n:n + len(words)] = self.used + np.cumsum(counts) - counts
+        self.flat[self.used:total] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, total - self.used)
+        self.count[n:n + len(parts)] = counts
+        self.first[n:n + len(parts)] = self.used + np.cumsum(counts) - counts
         self.used = total
-        self.known.update(zip(words, range(n, n + len(words))))
+        self.known.update(zip(parts, range(n, n + len(parts))))
 
-    def _coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of some words one after the other, and how many each has."""
+    def _parts(self, words: list[bytes]) -> np.ndarray:
+        """Entries of two parts for each word; the second may be the empty one."""
         if len(self.known) > _WORDS:
             self.clear()
-        at = list(map(self.known.get, words))
-        if None in at:
-            self._add(list(dict.fromkeys(w for w, a in zip(words, at) if a is None)))
-            known = self.known
-            at = [known[w] if a is None else a for w, a in zip(words, at)]
-        at = np.array(at, np.int64)
-        count = self.count[at]
-        before = np.cumsum(count) - count
-        return self.flat[np.repeat(self.first[at] - before, count) + np.arange(count.sum())], count
-
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text; many texts are coded together and long ones in slices."""
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        held, words = [], []
-
-        def code() -> None:
-            ids, count = self._coded(words)
-            ends, at = np.append(0, np.cumsum(count)), 0
-            for text, n in held:
-                out[text].append(ids[ends[at]:ends[at + n]])
-                at += n
-
-        for i, text in enumerate(texts):
-            mine = text.split()
-            for begin in range(0, len(mine), _SLICE):
-                part = mine[begin:begin + _SLICE]
-                if words and len(words) + len(part) > _SLICE:
-                    code()
-                    held, words = [], []
-                held.append((i, len(part)))
-                words.extend(part)
-        if held:
-            code()
-        return [np.concatenate(x) if x else np.empty(0, np.uint32) for x in out]
+        parts: list[bytes] = []
+        for word in words:
+            core = word.rstrip(_PUNCTUATION)
+            if core.isalpha() or (not core.isascii() and core.decode("utf-8", "replace").isalpha()):
+                parts += core.lower(), word[len(core):]
+            else:
+                parts += word, b""
+        known = self.known
+        new = [x for x in dict.fromkeys(parts) if x not in known]
+        if new:
+            self._add(new)
+        return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)).reshape(-1, 2)
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; words that texts share are looked up once, long texts go in slices."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        parts = self._parts(words.dictionary.cast(pa.binary()).to_pylist())
+        flat = _gathered(self.flat, self.first[parts.ravel()], self.count[parts.ravel()])
+        count = self.count[parts].sum(axis=1)
+        first = np.cumsum(count) - count
+        at, found, ends = words.indices.to_numpy(), [], [np.zeros(1, np.int64)]
+        for begin in range(0, len(at), _SLICE):
+            of = at[begin:begin + _SLICE]
+            many = count[of]
+            found.append(_gathered(flat, first[of], many))
+            ends.append(ends[-1][-1] + np.cumsum(many))
+        out = np.concatenate(found) if found else np.empty(0, np.uint32)
+        offsets = split.offsets.to_numpy()
+        bounds = np.concatenate(ends)[offsets - offsets[0]]
+        return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def _gathered(flat: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The runs of `flat` that begin at `first` and have `count` entries, one after the other."""
+    upto = np.cumsum(count)
+    shift = (first - upto + count).astype(np.int32)
+    return flat[np.repeat(shift, count) + np.arange(upto[-1] if len(upto) else 0, dtype=np.int32)]
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -135,7 +152,7 @@ def word_ids(definition: str) -> WordIds:
 
 
 def _cut(definition, length: int, end: int):
-    def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
         docs = pa.concat_arrays([r[0] for r in rows])
         return pa.RecordBatch.from_arrays(
             [docs, *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int32()), (2, pa.int64()), (3, pa.int64()), (4, pa.binary())))],
@@ -144,23 +161,35 @@ def _cut(definition, length: int, end: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, held, size = word_ids(definition.value), [], 0
-        for rows in batches:
-            docs = rows.column(0)
-            for i, ids in enumerate(coder.ids([t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()])):
+        for docs, texts in _joined(batches):
+            for i, ids in enumerate(coder.ids(texts)):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), length)):
                     part = ids[start:start + length]
                     held.append((docs.slice(i, 1), k, start, len(part), part.tobytes()))
                     size += len(part)
                 if size >= 500_000 or len(held) >= 2000:
-                    yield batch(held, rows.schema)
+                    yield batch(held)
                     held, size = [], 0
         if held:
-            yield batch(held, None)
+            yield batch(held)
 
     return of
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Keys and texts of as many batches as hold `_BYTES` together."""
+    held, size = [], 0
+    for rows in batches:
+        held.append(rows)
+        size += rows.nbytes
+        if size >= _BYTES:
+            yield pa.concat_arrays([r.column(0) for r in held]), pa.concat_arrays([r.column(1).fill_null("") for r in held])
+            held, size = [], 0
+    if held:
+        yield pa.concat_arrays([r.column(0) for r in held]), pa.concat_arrays([r.column(1).fill_null("") for r in held])
+
+
 def pieces(
     df: DataFrame, definition: str, key: str = "doc_id", text: str = "text", length: int = LENGTH, end: int = END
 ) -> DataFrame:
@@ -225,38 +254,43 @@ def best_pattern(prices: np.ndarray, length: int) -> list[int]:
     return _Pricing(prices, length).pattern(length)
 
 
-def fractional(demand: dict[int, int], length: int, turns: int | None = None) -> list[tuple[Counter, float]]:
-    """Patterns with weights of the configuration program, by multiplicative weights.
+def fractional(
+    demand: dict[int, int], length: int, turns: int | None = None
+) -> tuple[list[tuple[Counter, float]], float]:
+    """Patterns with weights of the configuration program, by multiplicative weights, and the
+    best bound from below that its prices give.
 
     A turn solves the knapsack once and takes, for the open lengths in the order of what a
     sequence with them is worth, the best pattern with that length while its total price is
     within `SLACK` of the turn's best. Prices only fall, so all of these are nearly best
-    when they are taken. Turns go on until the weights cover all demand, unless the caller
-    states a number of them.
+    when they are taken. Turns go on until the weights cover all but `TAIL` of the tokens,
+    unless the caller states a number of them.
     """
     open_ = np.zeros(length + 1)
     for l, n in demand.items():
         open_[l] = n
-    total = open_.copy()
-    prices = (np.arange(length + 1) / length) ** LONG_FIRST * (open_ > 0)
+    total, tokens = open_.copy(), np.arange(length + 1)
+    volume = float(tokens @ total)
+    prices = (tokens / length) ** LONG_FIRST * (open_ > 0)
+    rate = float(np.clip(PACE / max(1, len(demand)), *RATE))
+    share, bound = min(1.0, STEP / rate), volume / length
     found: dict[tuple, float] = {}
     for _ in itertools.count() if turns is None else range(turns):
         pricing = _Pricing(prices.copy(), length)
-        least = (1 - SLACK) * pricing.value[length]
-        if least <= 0:
+        best = float(pricing.value[length])
+        if best <= 0 or tokens @ open_ < TAIL * volume:
             break
+        bound = max(bound, float(prices @ total) / best)
+        least = (1 - SLACK) * best
         lengths = np.flatnonzero(prices)
         worth = prices[lengths] + pricing.value[length - lengths]
-        refused = 0
+        lengths, worth = lengths[worth >= least], worth[worth >= least]
         for l in lengths[np.argsort(-worth, kind="stable")].tolist():
             pattern = Counter([l, *pricing.pattern(length - l)])
             if sum(prices[x] * a for x, a in pattern.items()) < least:
-                refused += 1
-                if refused == REFUSED:
-                    break
                 continue
             step = min(
-                min(open_[x] / a for x, a in pattern.items()), max(1.0, SHARE * min(total[x] / a for x, a in pattern.items()))
+                min(open_[x] / a for x, a in pattern.items()), max(1.0, share * min(total[x] / a for x, a in pattern.items()))
             )
             if step > 1:
                 step = float(int(step))  # whole sequences lose nothing in rounding
@@ -264,10 +298,10 @@ def fractional(demand: dict[int, int], length: int, turns: int | None = None) ->
             found[key] = found.get(key, 0.0) + step
             for x, a in pattern.items():
                 open_[x] -= a * step
-                prices[x] *= np.exp(-RATE * a * step / total[x])
+                prices[x] *= np.exp(-rate * a * step / total[x])
                 if open_[x] < 1e-9:
                     open_[x] = prices[x] = 0.0
-    return [(Counter(dict(k)), x) for k, x in found.items()]
+    return [(Counter(dict(k)), x) for k, x in found.items()], bound
 
 
 def best_fit(demand: dict[int, int], length: int) -> list[tuple[Counter, int]]:
@@ -319,7 +353,7 @@ def rounded(
 ) -> tuple[list[tuple[Counter, int]], Counter]:
     """The program's patterns with whole multiplicities, and the demand that rounding leaves."""
     left, done = Counter(demand), []
-    for pattern, x in sorted(fractional(left, length, turns), key=lambda p: -p[1]):
+    for pattern, x in sorted(fractional(left, length, turns)[0], key=lambda p: -p[1]):
         whole = min([int(x + 1e-9), *(left[l] // a for l, a in pattern.items())])
         if whole:
             done.append((pattern, whole))

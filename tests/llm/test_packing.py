@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -19,15 +21,17 @@ def definition():
     return tokenizer_definition()
 
 
-ODD = ["É é ΑΣ. x y　z 's don't İstanbul 12 34 <|endoftext|>", "", " \n ", "á b́ ́c", " 日本語 テキスト", " ", "A" * 3000]
+ODD = [
+    "a <|endoftext|> b", "a<|endoftext|>b.", "<|ENDOFTEXT|> x<|startoftext|>", "J\u030C ẖ H\u0331. K\u030C,", "WORD. Word... 'S 's' 'Ll", "ΑΣ. ΣΑΣ",
+    "\u1112\u1161\u11ab.", "it's. DON'T! x²y ½. Ⅷ ª. ǅ", "a\u00a0b.\u3000c", "É é ΑΣ. x y　z 's don't İstanbul 12 34 <|endoftext|>", "", " \n ", "á b́ ́c", " 日本語 テキスト", " ", "A" * 3000,
+]
 
 
 def test_words_have_the_ids_of_the_whole_text(definition):
     whole, words = Tokenizer.from_str(definition), pk.WordIds(definition)
-    whole.encode_special_tokens = True
     rng = random.Random(2)
     texts = ODD + [" ".join(rng.choice(["the", "tion", "ÉA", "x1y", "'s", "--", "ß"]) + rng.choice("ab é.") for _ in range(50)) for _ in range(50)]
-    for text, ids in zip(texts, words.ids([t.encode() for t in texts])):
+    for text, ids in zip(texts, words.ids(pa.array(texts))):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
@@ -36,7 +40,7 @@ def test_the_word_store_is_bounded(definition, monkeypatch):
     monkeypatch.setattr(pk, "_SLICE", 4)
     words, whole = pk.WordIds(definition), Tokenizer.from_str(definition)
     text = "one two three four five six one two seven eight nine ten"
-    assert words.ids([text.encode()])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert words.ids(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
 def test_pricing_finds_the_best_multiset():
@@ -96,12 +100,13 @@ def test_the_program_covers_all_demand_of_many_lengths():
     rng = random.Random(7)
     histogram = Counter(min(600, int(rng.lognormvariate(5, 1)) + 1) for _ in range(20_000))
     assert len(histogram) > 500
-    found, covered = pk.fractional(histogram, 600), Counter()
+    (found, bound), covered = pk.fractional(histogram, 600), Counter()
     for pattern, x in found:
         for l, a in pattern.items():
             covered[l] += a * x
-    assert all(covered[l] > n - 1e-6 for l, n in histogram.items())
-    bound = sum(l * n for l, n in histogram.items()) / 600
+    assert all(covered[l] < n + 1e-6 for l, n in histogram.items())
+    volume = sum(l * n for l, n in histogram.items())
+    assert sum(l * n for l, n in covered.items()) > 0.99 * volume and bound >= volume / 600
     assert sum(x for _, x in found) <= 1.002 * bound
     solution = pk.solve(histogram, 600)
     placed = sum(int(x) * sum(p.values()) for p, x in found)
@@ -109,6 +114,24 @@ def test_the_program_covers_all_demand_of_many_lengths():
     assert sum(m for _, m in solution) <= 1.002 * bound + 1
 
 
+def test_few_lengths_come_to_the_optimum_of_the_program():
+    """Prices 1/2, 1/4 and 3/4 prove that no solution is below 2,625."""
+    solution = pk.solve({1366: 3000, 1365: 3000, 2731: 500})
+    assert sum(m for _, m in solution) <= 2625 * 1.001
+    found, bound = pk.fractional({1366: 3000, 1365: 3000, 2731: 500}, 4096)
+    assert bound <= 2625 and bound >= 0.98 * sum(x for _, x in found)
+
+
+def test_many_lengths_take_little_time():
+    rng = random.Random(3)
+    histogram = Counter(rng.randint(1, 4096) for _ in range(3000))
+    assert len(histogram) > 1000
+    began = time.process_time()
+    solution = pk.solve(histogram)
+    assert time.process_time() - began < 30
+    assert sum(m for _, m in solution) <= 1.03 * sum(l * n for l, n in histogram.items()) / 4096
+
+
 def check(rows, length):
     by = defaultdict(list)
     for r in rows:
