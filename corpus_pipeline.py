@@ -8,7 +8,7 @@ columns of documents:
 2. exact dedup keeps one document of each group of equal texts;
 3. SimHash near-dedup keeps one document of each component of near fingerprints;
 4. PII replaces personal data by its kind, and counts the characters anew;
-5. packing cuts documents into tokens and places the pieces into sequences.
+5. packing cuts documents into tokens and places the pieces, with their ids, into sequences.
 
 Empty tables pass through; nulls, ties and repeated rows are as the operators define them.
 """
@@ -49,7 +49,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tuned(spark)
-    return placed_pieces(docs, tokenizer_definition())
+    return placed_pieces(docs, tokenizer_definition(), with_ids=True)
 
 
 STAGES = [
