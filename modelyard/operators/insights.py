@@ -330,6 +330,103 @@ def counterfactuals(
     return best.select(key, F.inline(ranks))
 
 
+def prediction_range(scored: DataFrame, prediction: str = "prediction", spread: float = 0.25) -> tuple[Column, Column]:
+    """The whole numbers next to the mean prediction less and plus a share of its deviation,
+    as scalars of the plan that uses them."""
+    mean, wide = F.avg(prediction), F.coalesce(F.stddev(prediction), F.lit(0.0)) * spread
+    return scored.agg(F.round(mean - wide)).scalar(), scored.agg(F.round(mean + wide)).scalar()
+
+
+def nearest_counterfactuals(
+    scored: DataFrame,
+    key: str,
+    vary: Mapping[str, float],
+    fixed: Sequence[str],
+    low: object,
+    high: object,
+    prediction: str = "prediction",
+    count: int = COUNTERFACTUALS,
+) -> DataFrame:
+    """(key, rank, new_<feature>..., distance, n_changed, example, support): nearest observed
+    profiles, over all varied features together, that bring the prediction into range.
+
+    A profile is a distinct combination of the features in `vary` (feature -> scale) within a
+    block of rows that agree on `fixed`. Candidates are the profiles with rows in
+    [low, high]; for every row outside the `count` nearest by scaled L1 distance are kept,
+    ties in the order of their values, with the smallest key and the number of their rows.
+
+    A block is a grid of cells that hold about `count` candidates each. A profile meets the
+    candidates of its own cell and of the ring of cells around it by equi-join; all others
+    are more than a cell away. If the last distance kept lies within a cell the answer is
+    exact and final, else the profile goes on to a grid with cells twice as wide. Rows of
+    one profile are searched once. A row without a prediction, or with a varied feature that
+    is null or no finite number, takes no part; a block without candidates has no answers.
+    """
+    features = list(vary)
+    inside = F.coalesce(F.col(prediction).between(low, high), F.lit(False))
+    block = F.to_json(F.struct(*fixed), {"ignoreNullFields": "false"}) if fixed else F.lit("")
+    values = [F.col(f).cast("double").alias(f"_v{i}") for i, f in enumerate(features)]
+    place = ["_block", *[f"_v{i}" for i in range(len(features))]]
+    known = scored.select(F.col(key), inside.alias("_in"), block.alias("_block"), *values).where(
+        F.col(prediction).isNotNull() & reduce(lambda a, b: a & b, [F.abs(F.col(f).cast("double")) < np.inf for f in features])
+    )
+    profiles = cut_lineage(known.groupBy(*place).agg(
+        F.sum(F.col("_in").cast("long")).alias("support"), F.max(~F.col("_in")).alias("_asks"),
+        F.min(F.when(F.col("_in"), F.col(key))).alias("example"),
+    ))
+    scaled = [F.col(f"_v{i}") / F.lit(float(vary[f])) for i, f in enumerate(features)]
+    given = F.col("support") > 0
+    extent = F.greatest(*[F.max(s) - F.min(s) for s in scaled], F.lit(0.0))
+    grids = profiles.groupBy("_block").agg(extent.alias("_extent"), F.sum(given.cast("long")).alias("_total"))
+    share = F.pow(F.lit(float(count)) / F.col("_total"), F.lit(1.0 / len(features)))
+    grids = cut_lineage(grids.where("_total > 0").select(
+        "_block", "_total", F.when(F.col("_extent") > 0, F.col("_extent") * F.least(share, F.lit(1.0))).otherwise(1.0).alias("_cell")
+    ))
+
+    def cells(wide: Column) -> list[Column]:
+        return [F.floor(s / wide).alias(f"_c{i}") for i, s in enumerate(scaled)]
+
+    candidates = profiles.where(given).join(grids, "_block")
+    asks = cut_lineage(profiles.where("_asks").join(grids, "_block").select(*place, "_total", "_cell"))
+    named = [F.col(f"_v{i}").alias(f"new_{f}") for i, f in enumerate(features)]
+    new = [f"new_{f}" for f in features]
+    at = ["_block", *[f"_c{i}" for i in range(len(features))]]
+    order = W.partitionBy(*place).orderBy("distance", *new)
+    everything = W.partitionBy(*place)
+    answers, factor = None, 1.0
+    while not asks.isEmpty():
+        wide = F.col("_cell") * factor
+        held = candidates.select("_block", *cells(wide), *named, "support", "example")
+        around = asks.select("*", *cells(wide))
+        for i in range(len(features)):
+            step = F.explode(F.array(*[F.lit(x).cast("long") for x in (-1, 0, 1)]))
+            around = around.withColumn(f"_s{i}", step).withColumn(f"_c{i}", F.col(f"_c{i}") + F.col(f"_s{i}")).drop(f"_s{i}")
+        gap = sum(
+            (F.abs(F.col(f"_v{i}") - F.col(f"new_{f}")) / F.lit(float(vary[f])) for i, f in enumerate(features)), F.lit(0.0)
+        )
+        met = around.join(held, at).withColumn("distance", gap).withColumn("rank", F.row_number().over(order))
+        best = met.where(F.col("rank") <= count).select(*place, "_total", "_cell", "rank", *new, "distance", "support", "example")
+        last = F.max("distance").over(everything)
+        enough = F.count(F.lit(1)).over(everything) == F.least(F.col("_total"), F.lit(count))
+        near = last <= wide * (1 - 1e-9)
+        done = cut_lineage(best.withColumn("_done", enough & (near | (F.col("_total") <= count))).where("_done"))
+        found = done.select(*place, "rank", *new, "distance", "support", "example")
+        answers = found if answers is None else answers.union(found)
+        asks = cut_lineage(asks.join(done.where("rank = 1").select(*place), place, "left_anti"))
+        factor *= 2
+    outside = known.where(~F.col("_in"))
+    if answers is None:
+        empty = [F.lit(None).cast("double").alias(n) for n in (*new, "distance")]
+        none = [F.lit(0).alias("n_changed"), F.col(key).alias("example"), F.lit(0).cast("long").alias("support")]
+        return outside.select(key, F.lit(0).alias("rank"), *empty, *none).where("false")
+    changed = sum(
+        ((F.col(f"_v{i}") != F.col(f"new_{f}")).cast("int") for i, f in enumerate(features)), F.lit(0)
+    )
+    return outside.join(answers, place).select(
+        key, "rank", *new, "distance", changed.alias("n_changed"), "example", "support"
+    )
+
+
 def counterfactual_importance(found: DataFrame) -> DataFrame:
     """Share of the chosen counterfactuals that change each feature."""
     per_feature = found.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))

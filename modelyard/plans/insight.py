@@ -144,11 +144,10 @@ def error_analysis(spark, d):
     )
 
 
-# The desired range of the reference is one of fares; the driver's prices lie elsewhere.
-PRICE_RANGE = (52_940.0, 53_060.0)
-
-_COUNTERFACTUAL_SQL = f"""{_LINES_SQL}, 
-  marked AS (SELECT *, prediction BETWEEN {PRICE_RANGE[0]} AND {PRICE_RANGE[1]} AS inside FROM test),
+# The desired range follows the predictions: their mean, give or take a quarter of their deviation.
+_COUNTERFACTUAL_SQL = f"""{_LINES_SQL},
+  desired AS (SELECT round(avg(prediction) - stddev(prediction) / 4) AS low, round(avg(prediction) + stddev(prediction) / 4) AS high FROM test),
+  marked AS (SELECT *, prediction BETWEEN low AND high AS inside FROM test, desired),
   views AS (SELECT trip_id, inside, 'distance' AS feature, store_forward || '|' || vendor || '|' || passengers AS block,
               distance AS value, 10.0 AS scale FROM marked
             UNION ALL SELECT trip_id, inside, 'passengers', store_forward || '|' || vendor || '|' || CAST(distance AS VARCHAR),
@@ -166,7 +165,7 @@ def _counterfactuals(spark, d):
 
 def _answers(scored):
     return ins.counterfactuals(
-        scored, "trip_id", {"distance": 10.0, "passengers": 2.0}, ["store_forward", "vendor"], *PRICE_RANGE
+        scored, "trip_id", {"distance": 10.0, "passengers": 2.0}, ["store_forward", "vendor"], *ins.prediction_range(scored)
     )
 
 
@@ -189,6 +188,28 @@ def counterfactual_importance(spark, d):
     return shares.withColumn("share", F.round("share", 6))
 
 
+@query(
+    "counterfactual_profiles_i5",
+    f"""WITH {_COUNTERFACTUAL_SQL},
+      profiles AS (SELECT store_forward, vendor, distance AS new_distance, CAST(passengers AS DOUBLE) AS new_passengers,
+          count(*) AS support, min(trip_id) AS example FROM marked WHERE inside GROUP BY 1, 2, 3, 4),
+      ranked AS (SELECT trip_id, new_distance, new_passengers, support, example,
+          CAST(distance <> new_distance AS INTEGER) + CAST(passengers <> new_passengers AS INTEGER) AS n_changed,
+          abs(m.distance - new_distance) / 10.0 + abs(m.passengers - new_passengers) / 2.0 AS distance
+        FROM marked m JOIN profiles USING (store_forward, vendor) WHERE NOT inside)
+      SELECT trip_id, CAST(rank AS INTEGER) AS rank, new_distance, new_passengers, round(distance, 6) AS distance, n_changed,
+        example, support FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY distance, new_distance, new_passengers) AS rank
+          FROM ranked) WHERE rank <= 10""",
+)
+def counterfactual_profiles(spark, d):
+    """Nearest observed trips that agree on the categories, over distance and passengers together."""
+    scored, _ = _scored(spark, d)
+    found = ins.nearest_counterfactuals(
+        scored, "trip_id", {"distance": 10.0, "passengers": 2.0}, ["store_forward", "vendor"], *ins.prediction_range(scored)
+    )
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 _GATHERED_COLUMNS = (
     "insight", "n", "feature", "mse", "permuted_mse", "importance", "treatment", "segment", "level",
     "effect", "distance_bin", "passengers_bin", "error_share", "share",

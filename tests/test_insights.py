@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -102,6 +103,46 @@ def test_counterfactuals_against_brute_force(spark, low, high, count):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+@pytest.mark.parametrize("low,high,count,n", [(16.0, 30.0, 10, 250), (16.0, 18.0, 3, 250), (20.0, 90.0, 2, 600), (1000.0, 2000.0, 10, 60)])
+def test_nearest_counterfactuals_against_brute_force(spark, low, high, count, n):
+    df = frame(spark, n, 9).withColumn("prediction", 4.0 + 2.0 * F.col("distance") + F.col("passengers"))
+    odd = df.limit(4).withColumns({
+        "id": F.col("id") + 100_000, "distance": F.element_at(F.array(F.lit(None), F.lit(float("nan")), F.lit(float("inf")), F.lit(5e6)),
+                                                              (F.col("id") % 4 + 1).cast("int"))})
+    df = df.unionByName(odd.select(df.columns)).cache()
+    scales = {"distance": 8.0, "passengers": 1.5}
+    got = {}
+    for r in ins.nearest_counterfactuals(df, "id", scales, ["store_forward", "vendor"], low, high, count=count).collect():
+        point = (r["new_distance"], r["new_passengers"])
+        got.setdefault(r["id"], []).append((r["rank"], r["distance"], *point, r["n_changed"], r["example"], r["support"]))
+    rows = [r for r in df.collect() if r["distance"] is not None and math.isfinite(r["distance"])]
+    want = {}
+    for r in rows:
+        if low <= r["prediction"] <= high:
+            continue
+        seen = {}
+        for c in rows:
+            if low <= c["prediction"] <= high and all(c[k] == r[k] for k in ("store_forward", "vendor")):
+                seen.setdefault((float(c["distance"]), float(c["passengers"])), []).append(c["id"])
+        gap = {v: abs(float(r["distance"]) - v[0]) / 8.0 + abs(float(r["passengers"]) - v[1]) / 1.5 for v in seen}
+        best = sorted(seen, key=lambda v: (gap[v], v))[:count]
+        if best:
+            want[r["id"]] = [
+                (i + 1, gap[v], *v, (v[0] != r["distance"]) + (v[1] != r["passengers"]), min(seen[v]), len(seen[v]))
+                for i, v in enumerate(best)
+            ]
+    df.unpersist()
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_counterfactual_range_follows_the_predictions(spark):
+    scored = frame(spark, 200).withColumn("prediction", 1000.0 * F.col("distance"))
+    low, high = ins.prediction_range(scored, spread=0.5)
+    row = scored.agg(F.avg("prediction").alias("m"), F.stddev("prediction").alias("s")).first()
+    got = scored.limit(1).select(low.alias("low"), high.alias("high")).first()
+    assert (got["low"], got["high"]) == (round(row["m"] - row["s"] / 2), round(row["m"] + row["s"] / 2))
+
+
 def test_counterfactual_importance_sums_to_one(spark):
     df = frame(spark, 200).withColumn("prediction", 2.0 * F.col("distance"))
     found = ins.counterfactuals(df, "id", {"distance": 5.0, "passengers": 1.0}, ["vendor"], 16.0, 30.0)
