@@ -3,56 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalar import SWITCH_ON
 from ..spec import FEATURE_SCHEMA, TRIP_SCHEMA, typed
+from .headed import read_headed
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     """CSV file, folder or glob with a header; columns are taken by name and cast.
 
-    Every file is read by its own header, whatever the order of its columns. Extra
+    Every file is read by its own first line, whatever the order of its columns. Extra
     columns, such as a leading unnamed index, are never parsed; a file without a column
-    of the schema is an error.
+    of the schema is an error of the task that meets it.
     """
-    return typed(_csv_text(spark, path, schema.names), schema)
-
-
-def header_layouts(spark: SparkSession, path: str | Sequence[str], required: Sequence[str]) -> dict[str, list[str]]:
-    """Files by header line. The header of a file is its line that names all required columns.
-
-    One pass over the lines as text, of which one line per file reaches the driver; the
-    driver lists the files of a read anyway.
-    """
-    lines = spark.read.text(path if isinstance(path, str) else list(path))
-    names = F.transform(F.split("value", ","), lambda n: F.trim(n, F.lit(' "\r')))
-    headers = lines.select(F.col("_metadata.file_path").alias("file"), "value").where(
-        reduce(lambda a, b: a & b, [F.contains("value", F.lit(r)) & F.array_contains(names, r) for r in required])
-    )
-    layouts: dict[str, list[str]] = {}
-    found = set()
-    for row in headers.groupBy("file").agg(F.min("value").alias("value")).collect():
-        layouts.setdefault(row["value"], []).append(row["file"])
-        found.add(row["file"].split(":", 1)[-1].lstrip("/"))
-    filled = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    lost = filled.count() - len(found)
-    if lost:
-        raise ValueError(f"{lost} file(s) below {path} have no header with all of {list(required)}")
-    return layouts
-
-
-def _csv_text(spark: SparkSession, path: str | Sequence[str], required: Sequence[str]) -> DataFrame:
-    """All columns as text; files of one header are one read."""
-    parts = [
-        spark.read.option("header", True).csv(files).withColumn("_file", F.col("_metadata.file_path"))
-        for _, files in sorted(header_layouts(spark, path, required).items())
-    ]
-    if not parts:
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*required, "_file"]]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return typed(read_headed(spark, path, schema.names), schema)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -94,7 +60,7 @@ def write_label_csvs(labels: DataFrame, folder: str, split: str = "split") -> di
 
 def read_labels(spark: SparkSession, path: str, key: str = "path", label: str = "label") -> DataFrame:
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(label, T.StringType())])
-    return typed(_csv_text(spark, path, schema.names), schema)
+    return typed(read_headed(spark, path, schema.names), schema)
 
 
 def read_scoring_files(
@@ -105,15 +71,16 @@ def read_scoring_files(
 ) -> DataFrame:
     """Rows of scoring files with their file and their key columns.
 
-    The columns of the schema are required, all others are optional to a file. A value that is
-    absent or cannot be read names its column in `problem` and leaves `valid` false.
+    The columns of the schema and the keys are required, all others are optional to a file. A
+    value that is absent or cannot be read names its column in `problem` and leaves `valid`
+    false; a file without a required column is one such row, which says what it lacks.
     """
-    raw = _csv_text(spark, path, [*schema.names, *keys])
+    raw = read_headed(spark, path, [*schema.names, *keys], bad="row")
     typed_columns = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
     broken = [F.when(F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema]
     return raw.select(
         F.col("_file").alias("file_path"), *keys, *typed_columns,
-        F.nullif(F.concat_ws(",", *broken), F.lit("")).alias("problem"),
+        F.coalesce(F.col("_problem"), F.nullif(F.concat_ws(",", *broken), F.lit(""))).alias("problem"),
     ).withColumn("valid", F.col("problem").isNull())
 
 

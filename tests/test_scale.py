@@ -136,3 +136,19 @@ def test_a_long_pair_is_aligned_by_many_tasks(spark, options):
     assert "_at" in [line for line in text_plan.splitlines() if "Exchange hashpartitioning" in line][-1]
     row = dealt.first()
     assert row["precision"] == 1.0 and 0 < row["recall"] < 0.2
+
+
+def test_csv_is_scanned_once_and_without_a_look_on_the_driver(spark, tmp_path):
+    from modelyard.sources import headed, tables
+
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text("path,label\na,b\n" if i else "label,path\nb,a\n")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    spark.sparkContext.setJobGroup("headed", "headed")
+    text = plan(tables.read_labels(spark, str(tmp_path)))
+    ran = jobs("headed")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert text.count("BatchScan") == 1 and not ran
+    reader = headed.HeadedReader(headed.T.StructType().add("path", "string"), {"path": str(tmp_path), "range": "30"})
+    parts = [p for b in reader.partitions() for p in b.parts]
+    assert len(parts) == 3 and len(reader.partitions()) < 3 + 1

@@ -16,6 +16,7 @@ from modelyard.operators import split as sp
 from modelyard.operators.userdefined import apply_batches, apply_metrics, apply_partials, apply_scorer, observed
 from modelyard.plans.base import trips
 from modelyard.session import shared_dir, workspace
+from modelyard.sources import headed
 from modelyard.sources import controls as ct
 from modelyard.sources import images as im
 from modelyard.sources import requests as rq
@@ -218,8 +219,42 @@ def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
     got = {(r["path"], r["label"]) for r in tb.read_labels(spark, str(tmp_path)).collect()}
     assert got == {("img1", "cat"), ("img2", "dog"), ("img3", "cow")}
     (tmp_path / "d.csv").write_text("path,kind\nimg4,cat\n")
-    with pytest.raises(ValueError, match="header"):
-        tb.read_labels(spark, str(tmp_path))
+    with pytest.raises(Exception, match="the header of .*d.csv has no label"):
+        tb.read_labels(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("size", [7, 64, 1 << 20])
+def test_csv_ranges_read_every_line_once(spark, tmp_path, size):
+    want = []
+    for f in range(4):
+        names = ["k", "v", "w"] if f % 2 else ["w", "k", "v"]
+        rows = [{"k": f"{f}-{i}", "v": ["", "a,b", "ü", 'say "x"', "x" * 40][i % 5], "w": str(i)} for i in range(23)]
+        quoted = lambda v: '"' + v.replace('"', '""') + '"' if set(v) & set(',"') else v
+        lines = [",".join(names), *[",".join(quoted(r[n]) for n in names) for r in rows]]
+        (tmp_path / "in" / str(f % 2)).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / str(f % 2) / f"{f}.csv").write_bytes("\r\n".join(lines).encode() + (b"\n" if f > 1 else b""))
+        want += [(r["k"], r["v"] or None) for r in rows]
+    (tmp_path / "in" / "_SUCCESS").write_text("")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    (tmp_path / "in" / "bare.csv").write_text("v,k\n")
+    got = headed.read_headed(spark, str(tmp_path / "in"), ["k", "v"], range_bytes=size)
+    assert sorted((r.k, r.v) for r in got.collect()) == sorted(want, key=lambda r: r[0])
+    some = headed.read_headed(spark, [str(tmp_path / "in/0/*.csv"), f"file://{tmp_path}/in/1"], ["k", "v"], range_bytes=size)
+    assert some.count() == len(want) and some.select("_file").distinct().count() == 4
+
+
+def test_csv_files_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "short.csv").write_text("a,b,c\n1\n1,2,3,4\n\n,,x\n")
+    (tmp_path / "latin.csv").write_bytes("c,b,a\nz,\xe9,y\n".encode("latin-1"))
+    (tmp_path / "above.csv").write_text("a report\na,b,c\n1,2,3\n")
+    rows = headed.read_headed(spark, str(tmp_path), ["a", "b"], bad="row").collect()
+    got = {(r["_file"].rsplit("/", 1)[1], r.a, r.b, r["_problem"]) for r in rows}
+    assert got == {
+        ("short.csv", "1", None, None), ("short.csv", "1", "2", None), ("short.csv", None, None, None),
+        ("latin.csv", "y", "\ufffd", None), ("above.csv", None, None, "no column a, b"),
+    }
+    with pytest.raises(Exception, match="No such|not found|NotFound|FileNotFound"):
+        headed.read_headed(spark, str(tmp_path / "nowhere"), ["a"]).collect()
 
 
 def test_scoring_files_name_what_is_wrong(spark, tmp_path):
