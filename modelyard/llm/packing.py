@@ -28,6 +28,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import string
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,7 +50,7 @@ SLACK = 0.05  # how much less than the best a pattern may be worth
 LONG_FIRST = 1.05  # first prices are lengths to this power, so long pieces are served first
 _BLOCK = 64  # rooms of the knapsack found together
 _CHUNK_BITS = 16  # rows of a partition ranked together, as a power of two
-_WORDS = 1_500_000  # words whose ids a task keeps; more are looked up anew
+_WORDS = 1_000_000  # words whose ids a task keeps; more are looked up anew
 _SLICE = 500_000  # words coded at a time
 _BYTES = 8 << 20  # text whose words are looked up together
 _PUNCTUATION = string.punctuation.encode()
@@ -151,12 +152,14 @@ def word_ids(definition: str) -> WordIds:
     return _LOADED[definition]
 
 
-def _cut(definition, length: int, end: int):
+def _cut(definition, length: int, end: int, width: int):
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         docs = pa.concat_arrays([r[0] for r in rows])
         return pa.RecordBatch.from_arrays(
-            [docs, *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int32()), (2, pa.int64()), (3, pa.int64()), (4, pa.binary())))],
-            names=["doc", "piece", "start", "length", "ids"],
+            [docs, *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds, 1))],
+            names=["doc", "piece", "start", "length", "ids_crc32", "ids"],
         )
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +169,8 @@ def _cut(definition, length: int, end: int):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), length)):
                     part = ids[start:start + length]
-                    held.append((docs.slice(i, 1), k, start, len(part), part.tobytes()))
+                    kept = part.astype(f"<u{width}").tobytes() if width else None
+                    held.append((docs.slice(i, 1), k, start, len(part), zlib.crc32(part.tobytes()), kept))
                     size += len(part)
                 if size >= 500_000 or len(held) >= 2000:
                     yield batch(held)
@@ -191,14 +195,19 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Ar
 
 
 def pieces(
-    df: DataFrame, definition: str, key: str = "doc_id", text: str = "text", length: int = LENGTH, end: int = END
+    df: DataFrame, definition: str, key: str = "doc_id", text: str = "text", length: int = LENGTH, end: int = END,
+    width: int = 4,
 ) -> DataFrame:
-    """(doc, piece, start, length, ids): pieces of at most `length` tokens; ids are
-    little-endian unsigned 32-bit numbers."""
+    """(doc, piece, start, length, ids_crc32, ids): pieces of at most `length` tokens. The
+    checksum is of the ids as little-endian unsigned 32-bit numbers; `ids` holds them as
+    numbers of `width` bytes, 2 of which are enough for a vocabulary below 65,536, or is
+    null if `width` is 0."""
+    if width not in (0, 4) and not (width == 2 and Tokenizer.from_str(definition).get_vocab_size() <= 1 << 16):
+        raise ValueError(f"ids do not fit into {width} bytes")
     kind = df.schema[key].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(definition)
     return df.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        _cut(shared, length, end), f"doc {kind}, piece int, start long, length long, ids binary"
+        _cut(shared, length, end, width), f"doc {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
     )
 
 

@@ -180,10 +180,10 @@ def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
 
 
 def placed_pieces(docs: DataFrame, definition: str, with_ids: bool = False) -> DataFrame:
-    """Pieces with their places and the checksum of their ids, and with the ids if asked."""
-    cut = packing.pieces(docs, definition).select(
-        F.col("doc").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
-        *(["ids"] if with_ids else []),
+    """Pieces with their places and the checksum of their ids, and if asked with the ids as
+    little-endian unsigned 16-bit numbers."""
+    cut = packing.pieces(docs, definition, width=2 if with_ids else 0).select(
+        F.col("doc").alias("doc_id"), "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])
     )
     return packing.packed(cut).select("doc.*", "sequence_id", "offset")
 

@@ -160,7 +160,11 @@ def test_places_are_gapless(spark, bits, monkeypatch):
 def test_documents(spark, definition):
     rows = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "the end"), (5, "word " * 9000), (6, "a b c " * 1365)]
     df = spark.createDataFrame([(k, t, "x", 3) for k, t in rows], "doc_id long, text string, ids string, piece int")
-    got = placed_pieces(df, definition).collect()
+    got = placed_pieces(df, definition, with_ids=True).collect()
+    assert all(zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()) == r.ids_crc32 for r in got)
+    assert "ids" not in placed_pieces(df, definition).columns
+    with pytest.raises(ValueError):
+        pk.pieces(df, definition, width=1)
     whole = Tokenizer.from_str(definition)
     want = []
     for k, t in rows:
