@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -158,6 +159,67 @@ def causal_effect(
     )
 
 
+def _product_blocks(folds: int) -> Callable:
+    """Arrow function from (fold, columns …) to a task's dense blocks: per fold the number of
+    rows, the means and the products about these means, of a leading 1 and all columns."""
+
+    def run(batches):
+        n = mean = product = None
+        for batch in batches:
+            fold = batch.column(0).to_numpy(zero_copy_only=False)
+            z = np.column_stack([np.ones(len(fold)), *[c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]])
+            if n is None:
+                n, mean, product = np.zeros(folds, dtype="int64"), np.zeros((folds, z.shape[1])), np.zeros((folds, z.shape[1], z.shape[1]))
+            for k in np.unique(fold):
+                own = z[fold == k]
+                centre = own.mean(axis=0)
+                off, gap, total = own - centre, centre - mean[k], n[k] + len(own)
+                product[k] += off.T @ off + np.outer(gap, gap) * (n[k] * len(own) / total)
+                mean[k] += gap * len(own) / total
+                n[k] = total
+        for k in [] if n is None else np.flatnonzero(n):
+            yield pa.RecordBatch.from_pydict({
+                "fold": pa.array([k], pa.int32()), "n": [n[k]], "mean": [mean[k].tolist()], "product": [product[k].ravel().tolist()],
+            })
+
+    return run
+
+
+def _products(rows: DataFrame, folds: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The means of all columns, and per fold the products of a leading 1 and the centred columns.
+
+    The rows are read once. Blocks are moved to the common centre before they are added, so
+    sums keep their digits; the driver gets folds * (width + 1)^2 numbers.
+    """
+    blocks = cut_lineage(rows.mapInArrow(_product_blocks(folds), "fold int, n bigint, mean array<double>, product array<double>"))
+    means = {
+        r["place"]: r["mean"] for r in blocks.select("n", F.posexplode("mean").alias("place", "m"))
+        .groupBy("place").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean")).collect()
+    }
+    if not means:
+        raise ValueError("no rows to estimate an effect from")
+    centre = np.array([0.0, *[means[i] for i in range(1, width + 1)]])  # the leading 1 stays
+    c, size = F.array(*[F.lit(float(x)) for x in centre]), F.lit(width + 1)
+
+    def gap(at: Column) -> Column:
+        return F.get("mean", at) - F.get(c, at)
+
+    moved = F.transform("product", lambda p, at: p + F.col("n") * gap((at / size).cast("int")) * gap(at % size))
+    sums = blocks.select("fold", F.posexplode(moved).alias("place", "p")).groupBy("fold", "place").agg(F.sum("p").alias("p"))
+    gram = np.zeros((folds, (width + 1) ** 2))
+    for r in sums.collect():
+        gram[r["fold"], r["place"]] = r["p"]
+    return centre[1:], gram.reshape(folds, width + 1, width + 1)
+
+
+def _coefficients(gram: np.ndarray, target: int, controls: list[int]) -> np.ndarray:
+    """Least squares from products; columns are scaled alike first, and those that others make up count once."""
+    scale = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
+    even = gram / np.outer(scale, scale)
+    b = np.linalg.lstsq(even[np.ix_(controls, controls)], even[controls, target], rcond=1e-10)[0]
+    return b * scale[target] / scale[controls]
+
+
 def causal_effect_residual(
     df: DataFrame,
     key: Sequence[str],
@@ -171,33 +233,26 @@ def causal_effect_residual(
 
     Outcome and treatment are each regressed on the controls, on the rows of the other
     folds, and the effect is the slope between the residuals of the fold's own rows. One pass
-    sums the products of all columns per fold: at most folds * (features + 2)^2 numbers,
-    from which every regression is solved. A second pass takes the residuals.
+    makes a dense block of products per task, from which every regression is solved; a second
+    pass takes the residuals. Rows without a number in one of the columns are left out.
     """
     columns = [*features, outcome]
     fold = F.pmod(F.xxhash64(*key), F.lit(folds)).cast("int")
     rows = df.select(
         fold.alias("_fold"), *heterogeneity_columns(heterogeneity), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]
     )
-    # Means are taken off first, so that sums of products keep their digits.
-    centre = rows.agg(*[F.avg(f"_x{i}").alias(f"m{i}") for i in range(len(columns))]).first()
-    if centre["m0"] is None:
-        raise ValueError("no rows to estimate an effect from")
-    z = [F.lit(1.0), *[F.col(f"_x{i}") - F.lit(centre[f"m{i}"]) for i in range(len(columns))]]
-    pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
-    sums = rows.groupBy("_fold").agg(*[F.sum(z[i] * z[j]).alias(f"s{i}_{j}") for i, j in pairs]).collect()
-    gram = np.zeros((folds, len(z), len(z)))
-    for r in sums:
-        for i, j in pairs:
-            gram[r["_fold"], i, j] = gram[r["_fold"], j, i] = r[f"s{i}_{j}"] or 0.0
+    names = [f"_x{i}" for i in range(len(columns))]
+    for name in names:
+        rows = rows.where(F.col(name).isNotNull() & ~F.isnan(name))
+    centre, gram = _products(rows.select("_fold", *names), folds, len(columns))
+    z = [F.lit(1.0), *[F.col(name) - F.lit(float(m)) for name, m in zip(names, centre)]]
     whole = gram.sum(axis=0)
 
     def residual(target: int, controls: list[int]) -> Column:
         """What the controls leave of a column, with the coefficients of the other folds."""
         out = F.lit(None).cast("double")
         for k in range(folds):
-            g = whole - gram[k]
-            b = np.linalg.lstsq(g[np.ix_(controls, controls)], g[controls, target], rcond=None)[0]
+            b = _coefficients(whole - gram[k], target, controls)
             fit = reduce(lambda a, x: a + x, [F.lit(float(c)) * z[i] for c, i in zip(b, controls)])
             out = F.when(F.col("_fold") == k, z[target] - fit).otherwise(out)
         return out

@@ -43,21 +43,26 @@ def confusion_counts(df: DataFrame, real: str, predicted: str, by: Sequence[str]
 
 
 def dense_confusion(counts: DataFrame) -> DataFrame:
-    """All labels on both axes; pairs that never occur count zero.
+    """All labels on both axes; pairs that never occur count zero. Rows without a prediction,
+    or without a label, follow as pairs with a null.
 
     Works on the class-pair counts, whose size depends on the classes only.
     """
+    missing = F.col("real").isNull() | F.col("predicted").isNull()
+    apart, counts = counts.where(missing), counts.where(F.col("real").isNotNull())
     axes = counts.select(F.explode(F.array("real", "predicted")).alias("label"))
     labels = axes.agg(F.collect_set("label").alias("labels")).scalar()
-    grid = counts.select(F.explode(F.array("real", "predicted")).alias("real")).distinct()
+    grid = axes.select(F.col("label").alias("real")).where("real IS NOT NULL").distinct()
     grid = grid.withColumn("predicted", F.explode(labels))
-    return grid.join(counts, ["real", "predicted"], "left").withColumn(
+    full = grid.join(counts, ["real", "predicted"], "left").withColumn(
         "n", F.coalesce("n", F.lit(0).cast("bigint"))
     )
+    return full.unionByName(apart.select("real", "predicted", "n"))
 
 
 def label_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per label: hits, support and number of predictions, from pair counts."""
+    """Per label: hits, support and number of predictions, from pair counts. A missing
+    prediction is a miss of its label and counts for no label."""
     zero = F.lit(0).cast("bigint")
     hit = F.when(F.col("real") == F.col("predicted"), F.col("n")).otherwise(zero)
     sides = F.array(
@@ -78,6 +83,7 @@ def label_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.sum("support").alias("support"),
             F.sum("predictions").alias("predictions"),
         )
+        .where(F.col("label").isNotNull() | (F.col("support") > 0))
     )
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import lcs
 from ..functions import text as tx
-from ..functions.scalar import digest_edge, key_text, percent4
+from ..functions.scalar import key_text, percent4
 
 
 def _share(top: Column, bottom: Column) -> Column:
@@ -156,6 +159,39 @@ def poisson_cuts(bits: int = 32) -> list[float]:
     return cuts
 
 
+#: Rows whose weights are drawn at once: so many times the replicates are numbers in memory.
+_ROWS_AT_ONCE = 64
+
+
+def _replicate_sums(replicates: int, seed: str, cuts: list[float]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow function from (key, value) to (replicate, sum of weight * value, sum of weight) of a task."""
+    at_once = _ROWS_AT_ONCE
+
+    def run(batches):
+        heads = [hashlib.md5(f"{seed}|{b}|".encode()) for b in range(replicates)]
+        edges, top, bottom, some = np.array(cuts), np.zeros(replicates), np.zeros(replicates, dtype="int64"), False
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            values = batch.column(1).fill_null(0.0).to_numpy(zero_copy_only=False)
+            some = some or bool(keys)
+            for at in range(0, len(keys), at_once):
+                digits = []
+                for key in keys[at:at + at_once]:
+                    tail = key.encode()
+                    for head in heads:
+                        digest = head.copy()
+                        digest.update(tail)
+                        digits.append(digest.digest()[:4])
+                draws = np.frombuffer(b"".join(digits), dtype=">u4").reshape(-1, replicates) / 2.0**32
+                weights = np.searchsorted(edges, draws, side="right")
+                top += values[at:at + at_once] @ weights
+                bottom += weights.sum(axis=0)
+        if some:
+            yield pa.RecordBatch.from_pydict({"replicate": pa.array(np.arange(replicates), pa.int32()), "top": top, "bottom": bottom})
+
+    return run
+
+
 def bootstrap_mid(
     scores: DataFrame,
     key: Sequence[str],
@@ -165,23 +201,16 @@ def bootstrap_mid(
 ) -> DataFrame:
     """Median of resampled means.
 
-    Each row draws its Poisson(1) weight per replicate from a hash, so replicates
-    are partial sums per task and only one row per replicate is shuffled.
+    Each row draws its Poisson(1) weight per replicate from a hash of seed, replicate and key.
+    A task multiplies weights and scores as matrices and hands on one pair of sums per
+    replicate, so rows are never spread out. A null score adds to the weights alone.
     """
-    spread = scores.select(
-        key_text(key).alias("_key"),
-        F.col(value).cast("double").alias("_v"),
-        F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"),
-    )
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("replicate").cast("string"), "_key"))
-    weighted = spread.withColumn("_u", digest)
-    weight = sum(
-        ((F.col("_u") >= digest_edge(cut)).cast("int") for cut in poisson_cuts()), F.lit(0)
+    rows = scores.select(key_text(key).alias("key"), F.col(value).cast("double").alias("value"))
+    sums = rows.mapInArrow(
+        _replicate_sums(replicates, str(seed), poisson_cuts()), "replicate int, top double, bottom bigint"
     )
-    means = (
-        weighted.withColumn("_w", weight)
-        .groupBy("replicate")
-        .agg(F.try_divide(F.sum(F.col("_w") * F.col("_v")), F.sum("_w").cast("double")).alias("mean"))
+    means = sums.groupBy("replicate").agg(
+        F.try_divide(F.sum("top"), F.sum("bottom").cast("double")).alias("mean")
     )
     return means.agg(
         F.count(F.lit(1)).alias("replicates"), F.percentile("mean", F.lit(0.5)).alias("mid")

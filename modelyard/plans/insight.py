@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from ..operators import insights as ins
 from ..operators import models as md
 from ..session import cut_lineage
-from .base import SPLIT_TRIPS_SQL, query
+from .base import SPLIT_TRIPS_SQL, TRIPS_SQL, query, trips
 from ..spec import TRIPS
-from .tabular import saved_forest, train_and_test
+from .tabular import KNOWN_PRICE_SQL, saved_forest, train_and_test
 
 _LINES_SQL = f"""{SPLIT_TRIPS_SQL}, fit AS (SELECT regr_slope(cost, distance) AS s1, regr_intercept(cost, distance) AS i1,
     regr_slope(cost, passengers) AS s2, regr_intercept(cost, passengers) AS i2 FROM parts WHERE split = 'train'),
@@ -56,20 +56,23 @@ def permutation_importance(spark, d):
     )
 
 
+_CORRELATIONS_SQL = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CASE WHEN var_pop({f}) > 0 THEN abs(corr({f}, {KNOWN_PRICE_SQL})) ELSE 0 END AS c FROM train"
+    for f in TRIPS.features
+)
+
+
 @query(
     "forest_importance_i2",
-    f"""SELECT unnest([{', '.join(f"'{f}'" for f in TRIPS.features)}]) AS feature, CAST({len(TRIPS.features)} AS INTEGER) AS features,
-        true AS sums_to_one, true AS none_negative""",
+    f"""WITH {SPLIT_TRIPS_SQL}, train AS (SELECT * FROM parts WHERE split = 'train'), seen AS ({_CORRELATIONS_SQL})
+        SELECT feature, rank() OVER (ORDER BY c DESC) <= 2 AS leading FROM seen""",
 )
 def forest_importance(spark, d):
-    """Split importances of the fitted forest in contract order, and what they add up to."""
-    model = md.load_model(saved_forest(spark, d))
-    rows = spark.createDataFrame(ins.model_importance(model, TRIPS), "feature string, importance double")
-    return rows.select(
-        "feature", rows.agg(F.count(F.lit(1)).cast("int")).scalar().alias("features"),
-        rows.agg(F.abs(F.sum("importance") - 1) < 1e-6).scalar().alias("sums_to_one"),
-        rows.agg(F.min("importance") >= 0).scalar().alias("none_negative"),
-    )
+    """Split importances of the forest over a price with a known answer: its two features lead."""
+    listed = ins.model_importance(md.load_model(saved_forest(spark, d)), TRIPS)
+    third = sorted((share for _, share in listed), reverse=True)[2]  # one number per feature of the contract
+    rows = spark.createDataFrame(listed, "feature string, importance double")
+    return rows.select("feature", (F.col("importance") > third).alias("leading"))
 
 
 def _causal_sql(treatment: str, other: str, source: str = "trips") -> str:
@@ -79,8 +82,8 @@ def _causal_sql(treatment: str, other: str, source: str = "trips") -> str:
         {treatment} - avg({treatment}) OVER (PARTITION BY {cell}) AS t FROM {source}"""
 
 
-def _segments_sql(source: str) -> str:
-    head = f"SELECT treatment, {{}} AS segment, {{}} AS level, count(*) AS n, round(regr_slope(y, t), 3) AS effect FROM {source}"
+def _segments_sql(source: str, digits: int = 3) -> str:
+    head = f"SELECT treatment, {{}} AS segment, {{}} AS level, count(*) AS n, round(regr_slope(y, t), {digits}) AS effect FROM {source}"
     return " UNION ALL ".join(
         [
             head.format("'all'", "'all'") + " GROUP BY 1, 2, 3",
@@ -91,8 +94,6 @@ def _segments_sql(source: str) -> str:
 
 
 def _causal_query(treatment: str, other: str):
-    from .base import TRIPS_SQL, trips
-
     sql = f"WITH {TRIPS_SQL}, c AS ({_causal_sql(treatment, other)}) {_segments_sql('c')}"
 
     @query(f"causal_effect_{treatment}_i3", sql)
@@ -108,24 +109,24 @@ _causal_query("distance", "passengers")
 _causal_query("passengers", "distance")
 
 
-@query(
-    "causal_effect_residual_i3",
-    f"""WITH {SPLIT_TRIPS_SQL} SELECT treatment, segment, level, count(*) AS n, true AS small FROM (
-        SELECT unnest(['distance', 'passengers']) AS treatment, store_forward, vendor FROM parts) t,
-        LATERAL (SELECT unnest(['all', 'store_forward', 'vendor']) AS segment,
-          unnest(['all', CAST(store_forward AS VARCHAR), CAST(vendor AS VARCHAR)]) AS level) s GROUP BY 1, 2, 3""",
-)
-def causal_effect_residual(spark, d):
-    """Effects with all other features as controls. The driver's prices follow no feature, so
-    an effect is less than a tenth of the spread of the prices per unit."""
-    from .base import trips
+# A price with known effects: other features drive it as well, and are taken off as controls.
+_KNOWN_SQL = f"""{TRIPS_SQL}, known AS (SELECT store_forward, vendor, distance, passengers,
+    3 * distance + 2 * passengers + 5 * store_forward - 7 * vendor + 100 AS price FROM trips),
+  alone AS (SELECT store_forward, vendor, 'distance' AS treatment, distance AS t,
+      price - 2 * passengers - 5 * store_forward + 7 * vendor AS y FROM known
+    UNION ALL SELECT store_forward, vendor, 'passengers', passengers,
+      price - 3 * distance - 5 * store_forward + 7 * vendor FROM known)"""
 
-    rows = trips(spark, d)
+
+@query("causal_effect_residual_i3", f"WITH {_KNOWN_SQL} {_segments_sql('alone', 6)}")
+def causal_effect_residual(spark, d):
+    """Effects on a price with known effects, with all other features as controls."""
+    price = 3 * F.col("distance") + 2 * F.col("passengers") + 5 * F.col("store_forward") - 7 * F.col("vendor") + 100
     effects = ins.causal_effect_residual(
-        rows, ["trip_id"], "cost", ["distance", "passengers"], TRIPS.features, ["store_forward", "vendor"]
+        trips(spark, d).withColumn("cost", price), ["trip_id"], "cost", ["distance", "passengers"],
+        TRIPS.features, ["store_forward", "vendor"],
     )
-    spread = rows.agg(F.stddev("cost")).scalar()
-    return effects.select("treatment", "segment", "level", "n", (F.abs("effect") < spread / 10).alias("small"))
+    return effects.withColumn("effect", F.round("effect", 6))
 
 
 _BINS_SQL = """SELECT CAST(floor(distance / 10) AS BIGINT) AS distance_bin,

@@ -10,7 +10,7 @@ from ..operators import models as md
 from ..operators import registry as rg
 from ..operators import split as sp
 from ..operators.userdefined import apply_partials, apply_scorer, read_rows
-from ..session import workspace
+from ..session import on_release, workspace
 from ..sources import controls as ct
 from ..sources import requests as rq
 from ..sources import tables as tb
@@ -338,11 +338,10 @@ def mixed_requests(spark, d):
         F.col("o_orderkey") % 7 == 0, F.regexp_replace(body, "input_data", "data")
     )
     requests = table(spark, d, "orders").select("o_orderkey", F.coalesce(cut, body).alias("raw"))
-    good, bad = rq.split_requests(requests, "raw")
-    rows = rq.positional_rows(good, "raw", ["o_orderkey"])
+    rows = rq.rows_and_rejects(requests, "raw", ["o_orderkey"])
     return rows.agg(
-        F.count(F.lit(1)).alias("parsed"),
-        F.max(bad.agg(F.count("reason")).scalar()).alias("rejected"),
+        F.count_if(F.col("reason").isNull()).alias("parsed"),
+        F.count("reason").alias("rejected"),
         F.round(F.sum(TRIPS.features[0]), 0).alias("price"),
     )
 
@@ -399,6 +398,16 @@ def metric_callback(spark, d):
 
 
 _FORESTS: dict[tuple[str, str], str] = {}
+on_release(_FORESTS.clear)
+
+# A price with a known answer, since the driver's prices follow no feature.
+KNOWN_PRICE_SQL = "(3 * distance + 20 * passengers)"
+
+
+def _known_price(spark, d):
+    """Training and test trips whose price is three per distance and twenty per passenger."""
+    price = 3 * F.col("distance") + 20 * F.col("passengers")
+    return tuple(t.withColumn("cost", price.cast("double")) for t in train_and_test(spark, d, *TRIPS.columns))
 
 
 def saved_forest(spark, d):
@@ -408,7 +417,7 @@ def saved_forest(spark, d):
     """
     place = (spark.sparkContext.applicationId, d)
     if place not in _FORESTS:
-        train, _ = train_and_test(spark, d, *TRIPS.columns)
+        train, _ = _known_price(spark, d)
         _FORESTS[place] = md.save_model(md.fit_forest(train, TRIPS), workspace(spark, "forest"))
     return _FORESTS[place]
 
@@ -434,17 +443,20 @@ _PARTS_SQL = f"""{SPLIT_TRIPS_SQL}, sizes AS (SELECT count(*) FILTER (split = 't
 
 @query(
     "forest_workflow_m1",
-    f"""WITH {_PARTS_SQL} SELECT n, true AS finite, true AS near_mean_or_better FROM sizes""",
+    f"""WITH {SPLIT_TRIPS_SQL}, price AS (SELECT split, distance, passengers, {KNOWN_PRICE_SQL} AS y FROM parts),
+        fit AS (SELECT regr_slope(y - 20 * passengers, distance) AS s, regr_slope(y - 3 * distance, passengers) AS p
+                FROM price WHERE split = 'train')
+        SELECT count(*) AS n, round(var_pop(y), 4) AS variance,
+               1 - avg((y - s * distance - p * passengers) ** 2) / var_pop(y) > 0.9 AS explained FROM price, fit WHERE split = 'test'""",
 )
 def forest_workflow(spark, d):
-    """The forest measured on the test trips: every row is scored, the error is finite and at
-    most a tenth above that of the mean (the driver's prices hardly follow any feature)."""
-    _, test = train_and_test(spark, d, *TRIPS.columns)
-    metrics = mt.regression_metrics(md.predict(md.load_model(saved_forest(spark, d)), test), "cost", "prediction")
-    finite = ~F.isnan("mse") & (F.abs("mse") < float("inf"))
-    return metrics.select(
-        "n", finite.alias("finite"), (F.col("r2") > -0.1).alias("near_mean_or_better")
-    )
+    """The forest of a price with a known answer, measured on the test trips: their number, the
+    variance of their prices, and whether the forest explains more than nine tenths of it."""
+    _, test = _known_price(spark, d)
+    scored = md.predict(md.load_model(saved_forest(spark, d)), test)
+    spread = test.agg(F.round(F.var_pop("cost"), 4)).scalar()
+    metrics = mt.regression_metrics(scored, "cost", "prediction")
+    return metrics.select("n", spread.alias("variance"), (F.col("r2") > 0.9).alias("explained"))
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,14 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_FORGET: list[Callable[[], None]] = []
+
+
+def on_release(forget: Callable[[], None]) -> None:
+    """Have `release` call this as well, for whoever remembers paths of intermediate tables."""
+    _FORGET.append(forget)
+
+
 def release(spark: SparkSession) -> None:
     """Remove every intermediate table that this application wrote.
 
@@ -59,6 +68,8 @@ def release(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    for forget in _FORGET:
+        forget()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -14,9 +14,12 @@ TABLE_SHAPE = "input_data struct<columns:array<string>,index:array<bigint>,data:
 
 
 def _body(raw: str, shape: str) -> Column:
-    """The parsed body, null if any part of the request is not what the shape says."""
+    """The parsed body, null if any part of the request is not what the shape says.
+
+    The parse is bound to one variable, so it runs once however often its parts are used.
+    """
     strict = F.from_json(F.col(raw), f"{shape}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
-    return F.when(strict["_broken"].isNull(), strict["input_data"])
+    return F.get(F.transform(F.array(strict), lambda b: F.when(b["_broken"].isNull(), b["input_data"])), F.lit(0))
 
 
 def _parsed(raw: str, shape: str) -> Column:
@@ -48,7 +51,8 @@ def positional_rows(
     """{"input_data": [[...], ...]}: values are named by the layout, then put in
     contract order. A row of another width and a request that does not parse are errors."""
     body = _parsed(raw, POSITIONAL_SHAPE)
-    rows = requests.select(*keep, F.posexplode(body).alias("row", "_values"))
+    # An outer generator: for an inner one the planner would parse again to test for empty bodies.
+    rows = requests.select(*keep, F.posexplode_outer(body).alias("row", "_values")).where("row IS NOT NULL")
     problem = F.concat(F.lit("values in a request row: "), F.size("_values").cast("string"))
     checked = F.when(F.size("_values") == len(layout), F.col("_values")).otherwise(
         F.raise_error(problem).cast("array<double>")
@@ -60,6 +64,32 @@ def positional_rows(
     )
 
 
+def rows_and_rejects(
+    requests: DataFrame,
+    raw: str,
+    keep: Sequence[str] = (),
+    layout: Sequence[str] = POSITIONAL_LAYOUT,
+    spec: FeatureSpec = TRIPS,
+) -> DataFrame:
+    """Positional rows as `positional_rows` gives them, with a `reason` that is null, and one row
+    without features for each request, or request row, that is not of the shape. Each
+    request is parsed once; a request without rows gives none."""
+    parsed = requests.select(
+        *keep, F.col(raw).isNull().alias("_no_text"), _body(raw, POSITIONAL_SHAPE).alias("_b")
+    )
+    rows = parsed.select(
+        *keep, "_no_text", F.col("_b").isNull().alias("_broken"), F.posexplode_outer("_b").alias("row", "_values")
+    ).where("_broken OR row IS NOT NULL")
+    fits = F.size("_values") == len(layout)
+    reason = (
+        F.when(F.col("_no_text"), "no text").when(F.col("_broken"), "not of the expected shape")
+        .when(F.col("_values").isNull(), "a row without values")
+        .when(~fits, F.concat(F.lit("values in a request row: "), F.size("_values").cast("string")))
+    )
+    at = {name: i for i, name in enumerate(layout)}
+    return rows.select(*keep, "row", *[F.when(fits, F.get("_values", F.lit(at[f]))).alias(f) for f in spec.features], reason.alias("reason"))
+
+
 def split_oriented_rows(
     requests: DataFrame, raw: str, keep: Sequence[str] = (), spec: FeatureSpec = TRIPS
 ) -> DataFrame:
@@ -79,12 +109,12 @@ def split_oriented_rows(
     )
     rows = placed.select(
         *keep, complete.alias("_at"),
-        F.inline(F.arrays_zip(F.col("_b.index").alias("index"), F.col("_b.data").alias("data"))),
-    )
+        F.posexplode_outer(F.arrays_zip(F.col("_b.index").alias("index"), F.col("_b.data").alias("data"))).alias("_pos", "_z"),
+    ).where("_pos IS NOT NULL")
     values = [
-        F.element_at("data", F.col("_at").getItem(i)).alias(f) for i, f in enumerate(spec.features)
+        F.element_at("_z.data", F.col("_at").getItem(i)).alias(f) for i, f in enumerate(spec.features)
     ]
-    return rows.select(*keep, F.col("index").alias("row"), *values)
+    return rows.select(*keep, F.col("_z.index").alias("row"), *values)
 
 
 def request_text(raw: Column) -> Column:
