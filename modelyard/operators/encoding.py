@@ -1,16 +1,63 @@
-"""Vocabulary, id encoding and decoding as joins and grouped arrays."""
+"""Vocabulary, id encoding and decoding as joins over postings.
+
+A posting is one row per (document, distinct token) with the token's places, so a join
+carries distinct pairs and the regroup merges lists of places.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions import text as tx
 from .lookup import lookup
 from .position import ordered_position
 
 
+def postings(df: DataFrame, key: Sequence[str], lists: Mapping[str, Column], kind: str) -> DataFrame:
+    """(key, out, value, at): per row and array of `lists` its distinct values with their places.
+
+    Arrays hold `kind` ('string' or 'int'). Null values have no posting; a row without any
+    keeps its key with nulls.
+    """
+    rows = df.select(*key, *[values.alias(f"_l{i}") for i, values in enumerate(lists.values())])
+    fields = [rows.schema[k] for k in key]
+    made = T.StructType(fields).add("out", "string").add("value", T.StringType() if kind == "string" else T.IntegerType()).add("at", T.ArrayType(T.IntegerType()))
+    width, names = len(key), list(lists)
+    item = pa.string() if kind == "string" else pa.int32()
+
+    def spread(batches):
+        for batch in batches:
+            source, outs, values, places = [], [], [], []
+            for r in range(batch.num_rows):
+                before = len(source)
+                for i, out in enumerate(names):
+                    found: dict = {}
+                    for place, value in enumerate(batch.column(width + i)[r].as_py() or ()):
+                        found.setdefault(value, []).append(place)
+                    found.pop(None, None)
+                    source += [r] * len(found)
+                    outs += [out] * len(found)
+                    values += found.keys()
+                    places += found.values()
+                if len(source) == before:
+                    for column, blank in ((source, r), (outs, None), (values, None), (places, None)):
+                        column.append(blank)
+            kept = [batch.column(i).take(pa.array(source, pa.int32())) for i in range(width)]
+            new = [pa.array(outs, pa.string()), pa.array(values, item), pa.array(places, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*kept, *new], names=made.names)
+
+    return rows.mapInArrow(spread, made)
+
+
+def in_place(slots: Column, field: str) -> Column:
+    """The values of collected (value, at) postings, each as often as it has places, in order."""
+    spread = F.flatten(F.transform(slots, lambda s: F.transform(s["at"], lambda a: F.struct(a.alias("at"), s[field].alias("v")))))
+    return F.transform(F.array_sort(spread), lambda s: s["v"])
+
+
 def token_counts(df: DataFrame, text: str) -> DataFrame:
     """Token frequencies; counted per task before the shuffle."""
     tokens = df.select(F.explode(tx.words(F.col(text))).alias("token"))
@@ -48,22 +95,17 @@ def token_ids(
     """
     room = 1 if append_eos else 0
 
-    def tagged(out: str, column: str, limit: int | None) -> Column:
-        tokens = tx.words(F.col(column))
-        return F.transform(
-            tokens if limit is None else tx.truncate(tokens, limit - room),
-            lambda t, i: F.struct(F.lit(out).alias("out"), i.alias("at"), t.alias("token")),
-        )
+    def tokens(column: str, limit: int | None) -> Column:
+        words = tx.words(F.col(column))
+        return words if limit is None else tx.truncate(words, limit - room)
 
-    none = F.array().cast("array<struct<out:string,at:int,token:string>>")
-    pieces = [F.coalesce(tagged(out, c, n), none) for out, (c, n) in columns.items()]
-    spread = df.select(*key, F.inline_outer(F.concat(*pieces)))
+    spread = postings(df, key, {out: tokens(c, n) for out, (c, n) in columns.items()}, "string")
+    spread = spread.withColumnRenamed("value", "token")
     coded = lookup(spread, vocabulary.select("token", "id"), ["token"])
     coded = coded.withColumn("id", F.coalesce("id", F.lit(tx.UNK)))
 
     def gather(out: str) -> Column:
-        slot = F.when(F.col("out") == out, F.struct("at", "id"))
-        ids = F.transform(F.array_sort(F.collect_list(slot)), lambda s: s["id"])
+        ids = in_place(F.collect_list(F.when(F.col("out") == out, F.struct("at", "id"))), "id")
         return F.concat(ids, F.array(F.lit(tx.EOS))) if append_eos else ids
 
     return coded.groupBy(*key).agg(*[gather(out).alias(out) for out in columns])
@@ -117,10 +159,10 @@ def decode_ids(
     out: str = "text",
 ) -> DataFrame:
     """Text of an id array: masked labels become padding, special ids are skipped."""
-    spread = df.select(*key, F.posexplode_outer(tx.unmask_padding(F.col(ids))).alias("at", "id"))
+    whole = tx.unmask_padding(F.col(ids)).cast("array<int>")
+    spread = postings(df, key, {"ids": whole}, "int").withColumnRenamed("value", "id")
     named = lookup(spread, vocabulary.select("id", "token"), ["id"])
     word = F.when(
         (F.col("id") >= tx.FIRST_WORD_ID) & F.col("token").isNotNull(), F.struct("at", "token")
     )
-    in_order = F.transform(F.array_sort(F.collect_list(word)), lambda s: s["token"])
-    return named.groupBy(*key).agg(F.array_join(in_order, " ").alias(out))
+    return named.groupBy(*key).agg(F.array_join(in_place(F.collect_list(word), "token"), " ").alias(out))

@@ -67,6 +67,17 @@ def test_residual_effect_is_the_planted_slope_among_all_controls(spark):
         ins.causal_effect_residual(df.limit(0), ["id"], "y", ["x"], ["x", "a"])
 
 
+def test_residual_effect_is_exact_with_collinear_and_missing_columns(spark):
+    df = spark.range(0, 2000, 1, 7).select(
+        "id", (F.col("id") % 50).cast("double").alias("x"), (40 + F.col("id") % 9 / 100).alias("lat"),
+        (F.col("id") % 9 / 100 - 74).alias("lon"), F.lit(0.0).alias("hour"), (F.col("id") % 7).alias("p"),
+    ).withColumn("y", 1e6 + 3 * F.col("x") + 2 * F.col("p") - 5 * F.col("lat"))
+    odd = df.limit(2).withColumn("y", F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit(float("nan"))))
+    got = ins.causal_effect_residual(df.unionByName(odd), ["id"], "y", ["x", "p"], ["x", "p", "lat", "lon", "hour"]).collect()
+    effects = {r["treatment"]: (r["n"], round(r["effect"], 6)) for r in got}
+    assert effects == {"x": (2000, 3.0), "p": (2000, 2.0)}
+
+
 def test_error_analysis_totals(spark):
     df = frame(spark).withColumn("prediction", F.lit(30.0))
     rows = ins.error_analysis(df, "cost", "prediction", {"distance": 10.0, "passengers": 2.0}).collect()

@@ -125,3 +125,14 @@ def test_long_form(spark):
     wide = spark.createDataFrame([("r", 1, 2.5)], "run string, a int, b double")
     got = {(r["run"], r["key"]): r["value"] for r in mt.long_form(wide, ["run"]).collect()}
     assert got == {("r", "a"): 1.0, ("r", "b"): 2.5}
+
+
+def test_a_missing_prediction_is_a_miss_of_its_label(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), ("b", "b"), ("b", "a")], "real string, predicted string")
+    counts = mt.confusion_counts(df, "real", "predicted")
+    labels = {r["label"]: (r["hits"], r["support"], r["predictions"]) for r in mt.label_counts(counts).collect()}
+    assert labels == {"a": (1, 2, 2), "b": (1, 2, 1)}
+    dense = {(r["real"], r["predicted"]): r["n"] for r in mt.dense_confusion(counts).collect()}
+    assert dense == {("a", "a"): 1, ("a", "b"): 0, ("b", "a"): 1, ("b", "b"): 1, ("a", None): 1}
+    whole = mt.classification_metrics(counts).first()
+    assert (whole["n"], whole["accuracy"], whole["recall_macro"]) == (4, 0.5, 0.5)

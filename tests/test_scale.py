@@ -152,3 +152,36 @@ def test_csv_is_scanned_once_and_without_a_look_on_the_driver(spark, tmp_path):
     reader = headed.HeadedReader(headed.T.StructType().add("path", "string"), {"path": str(tmp_path), "range": "30"})
     parts = [p for b in reader.partitions() for p in b.parts]
     assert len(parts) == 3 and len(reader.partitions()) < 3 + 1
+
+
+def test_a_request_is_parsed_once(spark):
+    from modelyard.plans.tabular import mixed_requests, positional_requests, table_requests
+
+    for run in (positional_requests, table_requests, mixed_requests):
+        assert plan(run(spark, SF_DIR)).count("from_json(") == 1, run.__name__
+
+
+def test_the_bootstrap_never_spreads_rows_over_replicates(spark):
+    df = spark.range(100).select("id", F.lit(0.5).alias("f1"))
+    text = plan(rg.bootstrap_mid(df, ["id"], replicates=50))
+    assert "xplode" not in text and "Generate" not in text and "MapInArrow" in text
+
+
+def test_residual_effects_read_rows_once_for_all_products(spark):
+    from modelyard.operators import insights as ins
+
+    df = spark.range(200).select("id", F.rand(1).alias("a"), F.rand(2).alias("b")).withColumn("y", F.col("a") * 2 + F.col("b"))
+    text = plan(ins.causal_effect_residual(df, ["id"], "y", ["a"], ["a", "b"]))
+    assert text.count("Exchange") == 1 and "MapInArrow" not in text  # the products are numbers by now
+
+
+def test_encoding_joins_distinct_tokens(spark, tmp_path):
+    df = spark.createDataFrame([(k, "one two two three one " * 50) for k in range(20)], "k int, text string")
+    posted = en.postings(df, ["k"], {"text": en.tx.words(F.col("text"))}, "string")
+    assert posted.count() == 20 * 3 and posted.select(F.sum(F.size("at"))).first()[0] == 20 * 250
+    words = en.build_vocabulary(df, "text")
+    coded = en.token_ids(df, ["k"], {"ids": ("text", None)}, words)
+    text = plan(coded)
+    assert "MapInArrow" in text and "explode" not in text
+    back = en.decode_ids(coded, ["k"], "ids", words)
+    assert {r["text"] for r in back.collect()} == {("one two two three one " * 50).strip()}

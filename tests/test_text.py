@@ -133,6 +133,25 @@ def test_bootstrap_mid_is_near_the_mean(spark):
     assert row["replicates"] == 200 and abs(row["mid"] - 0.45) < 0.02
 
 
+def test_bootstrap_weights_are_those_of_the_digests(spark):
+    import hashlib
+
+    values = {f"k{i}": i / 7 for i in range(150)}
+    df = spark.createDataFrame([*values.items(), ("none", None)], "k string, f1 double").repartition(3)
+    means = []
+    for b in range(41):
+        top = bottom = 0
+        for k in [*values, "none"]:
+            u = int(hashlib.md5(f"s|{b}|{k}".encode()).hexdigest()[:8], 16) / 2**32
+            w = sum(u >= c for c in rg.poisson_cuts())
+            top, bottom = top + w * values.get(k, 0.0), bottom + w
+        means.append(top / bottom)
+    row = rg.bootstrap_mid(df, ["k"], replicates=41, seed="s").first()
+    assert row["mid"] == pytest.approx(sorted(means)[20])
+    empty = rg.bootstrap_mid(df.limit(0), ["k"], replicates=5).first()
+    assert (empty["replicates"], empty["mid"]) == (0, None)
+
+
 def test_poisson_weights_have_mean_one():
     cuts = rg.poisson_cuts()
     assert abs(sum(1 - c for c in cuts) - 1.0) < 1e-6

@@ -277,6 +277,14 @@ def test_broken_requests_are_errors_or_rejects(spark, tmp_path):
         1: "not of the expected shape", 2: "not of the expected shape", 3: "no text",
         4: "not of the expected shape", 5: "not of the expected shape",
     }
+    spec = FeatureSpec(("a", "b"))
+    more = df.unionByName(spark.createDataFrame([(6, '{"input_data": [[3, 4], [5], null]}'), (7, '{"input_data": []}')], "id int, raw string"))
+    rows = [(r["id"], r["row"], r["a"], r["b"], r["reason"]) for r in rq.rows_and_rejects(more, "raw", ["id"], ["a", "b"], spec).collect()]
+    shape, none = "not of the expected shape", (None, None, None)
+    assert sorted(rows, key=lambda r: (r[0], r[1] or 0)) == [
+        (0, 0, 1.0, 2.0, None), (1, *none, shape), (2, *none, shape), (3, *none, "no text"), (4, *none, shape), (5, *none, shape),
+        (6, 0, 3.0, 4.0, None), (6, 1, None, None, "values in a request row: 1"), (6, 2, None, None, "a row without values"),
+    ]
     with pytest.raises(Exception, match="does not parse"):
         rq.positional_rows(df.where("id = 1"), "raw", layout=["a", "b"], spec=FeatureSpec(("a", "b"))).collect()
     (tmp_path / "r.json").write_text('{\n  "input_data": [\n    [1, 2]\n  ]\n}\n')
@@ -493,3 +501,12 @@ def test_late_rows_are_dropped(spark, tmp_path):
     first = rows[0]
     assert (first["n"], first["mean"], first["share_a"]) == (1, 1.0, 1.0)
     assert len(rows) == 3 and schema
+
+
+def test_release_forgets_saved_forests(spark):
+    from modelyard import session
+    from modelyard.plans import tabular
+
+    tabular._FORESTS["here", "there"] = "gone"
+    session.release(spark)
+    assert not tabular._FORESTS
