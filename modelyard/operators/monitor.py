@@ -46,6 +46,17 @@ def bin_counts(value: str, edges: Sequence[float]) -> Column:
     return F.array(*counts)
 
 
+def stability_index(actual: Column, expected: Column, bins: int, epsilon: float = 0.5) -> Column:
+    """Population stability index of two arrays of bin counts; `epsilon` keeps empty bins finite."""
+
+    def shares(counts: Column) -> Column:
+        total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
+        return F.transform(counts, lambda x: (x + epsilon) / (total + epsilon * bins))
+
+    terms = F.zip_with(shares(actual), shares(expected), lambda p, q: (p - q) * F.log(p / q))
+    return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+
+
 def drift_scores(
     train: DataFrame,
     scored: DataFrame,
@@ -60,19 +71,8 @@ def drift_scores(
     arrays of a fixed number of bins; no row-level join takes place.
     """
     expected = train.agg(bin_counts(value, edges).alias("c")).scalar()
-    bins = len(edges) + 1
-
-    def shares(counts: Column) -> Column:
-        total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
-        return F.transform(counts, lambda x: (x + epsilon) / (total + epsilon * bins))
-
     counted = scored.groupBy(*by).agg(
         F.count(value).alias("n"), bin_counts(value, edges).alias("_actual")
     ).withColumn("_expected", expected)
-    terms = F.zip_with(
-        shares(F.col("_actual")), shares(F.col("_expected")),
-        lambda p, q: (p - q) * F.log(p / q),
-    )
-    return counted.select(
-        *by, "n", F.aggregate(terms, F.lit(0.0), lambda a, x: a + x).alias("psi")
-    )
+    psi = stability_index(F.col("_actual"), F.col("_expected"), len(edges) + 1, epsilon)
+    return counted.select(*by, "n", psi.alias("psi"))

@@ -53,6 +53,55 @@ def latest_metrics(log: DataFrame, by: Sequence[str] = ("run_id", "key")) -> Dat
     )
 
 
+def _with_next(cells: DataFrame, by: Sequence[str], at: str, width: int, levels: int) -> DataFrame:
+    """`_next`: the following value of `at` of the same group, null at its end.
+
+    Each block of `width` values finds its own successors; the last of a block gets the first
+    of the next block, which is found the same way among blocks. So no window holds more
+    than `width` rows, but for the topmost, which holds a row per `width ** levels` values.
+    """
+    if levels == 0:
+        return cells.withColumn("_next", F.lead(at).over(W.partitionBy(*by).orderBy(at)))
+    block = f"_block{levels}"
+    dealt = cells.withColumn(block, F.floor(F.col(at) / width).cast("bigint"))
+    inside = dealt.withColumn("_inner", F.lead(at).over(W.partitionBy(*by, block).orderBy(at)))
+    blocks = dealt.groupBy(*by, block).agg(F.min(at).alias("_first"))
+    linked = _with_next(blocks, by, block, width, levels - 1)
+    first_of = linked.select(*by, F.col(block).alias("_of"), F.col("_first").alias("_head"))
+    follow = linked.where(F.col("_next").isNotNull()).select(*by, block, F.col("_next").alias("_of"))
+    heads = follow.join(first_of, [*by, "_of"]).select(*by, block, "_head")
+    joined = inside.join(heads, [*by, block], "left")
+    return joined.select(*cells.columns, F.coalesce("_inner", "_head").alias("_next"))
+
+
+def step_history(
+    log: DataFrame, every: int = 1, by: Sequence[str] = ("run_id", "key"), width: int = 4096, levels: int = 2
+) -> DataFrame:
+    """(by..., step, value): each metric on a grid of steps, the last value carried forward.
+
+    Grid steps are the multiples of `every` from the first at or after the first logged step
+    to the first at or after the last one; the value is the last logged at or before the grid
+    step, by step and then time. Entries without a step have no place and are left out; a null
+    that was logged is a value. A run of any length is spread over tasks: entries
+    are reduced to grid cells before they shuffle, successors are found in blocks, and a gap
+    is filled block by block.
+    """
+    placed = log.where(F.col("step").isNotNull()).withColumn("_cell", F.ceil(F.col("step") / every).cast("bigint"))
+    cells = placed.groupBy(*by, "_cell").agg(
+        F.max_by(F.struct("value"), F.struct("step", "ts")).alias("_last")
+    )
+    reach = F.coalesce(F.col("_next") - 1, F.col("_cell"))  # the last cell that shows this value
+    gaps = _with_next(cells, by, "_cell", width, levels).select(
+        *by, "_cell", "_last", reach.alias("_reach"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((reach - F.col("_cell")) / width))).alias("_part"),
+    )
+    start = F.col("_cell") + F.col("_part") * width
+    filled = gaps.select(
+        *by, "_last", F.explode(F.sequence(start, F.least(start + (width - 1), F.col("_reach")))).alias("_at")
+    )
+    return filled.select(*by, (F.col("_at") * every).alias("step"), F.col("_last.value").alias("value"))
+
+
 def numeric_entries(log: DataFrame, json: str, keep: Sequence[str]) -> DataFrame:
     """(keep..., key, value) for entries of a JSON log line that are numbers.
 

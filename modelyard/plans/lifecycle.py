@@ -31,6 +31,22 @@ def latest_metrics(spark, d):
     return rg.latest_metrics(_run_log(spark, d))
 
 
+HISTORY_STEP = 500
+
+
+@query(
+    "step_history_w2",
+    f"""WITH cells AS (SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS key,
+          CAST(ceil(event_id / {HISTORY_STEP}) AS BIGINT) AS cell, arg_max(value, event_id) AS value
+        FROM events GROUP BY 1, 2, 3),
+      spans AS (SELECT *, coalesce(lead(cell) OVER (PARTITION BY run_id, key ORDER BY cell), cell + 1) AS following FROM cells)
+    SELECT run_id, key, unnest(range(cell, following)) * {HISTORY_STEP} AS step, value FROM spans""",
+)
+def step_history(spark, d):
+    """Every metric of every run on a grid of steps, the last value carried forward."""
+    return rg.step_history(_run_log(spark, d), HISTORY_STEP)
+
+
 @query(
     "best_score_a16",
     f"""WITH {REGISTRY_SQL} SELECT name, round(max(r2), 6) AS best, count(*) AS versions FROM registry GROUP BY 1""",

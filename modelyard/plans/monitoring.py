@@ -47,14 +47,14 @@ _PSI_SQL = " + ".join(
 )
 
 
-@query(
-    "drift_scores_k4",
-    f"""WITH parts AS (SELECT *, {split_sql('event_id')} AS split FROM events),
-    e AS (SELECT count(*) AS n, {', '.join(map(_bin_sql, _BINS))} FROM parts WHERE split = 'train'),
-    a AS (SELECT dayofyear(ts) AS day, count(*) AS n, {', '.join(map(_bin_sql, _BINS))} FROM parts
-          WHERE split <> 'train' GROUP BY 1)
-    SELECT CAST(a.day AS INTEGER) AS day, a.n, round({_PSI_SQL}, 6) AS psi FROM a, e""",
-)
+DRIFT_SQL = f"""WITH parts AS (SELECT *, {split_sql('event_id')} AS split FROM events),
+e AS (SELECT count(*) AS n, {', '.join(map(_bin_sql, _BINS))} FROM parts WHERE split = 'train'),
+a AS (SELECT dayofyear(ts) AS day, count(*) AS n, {', '.join(map(_bin_sql, _BINS))} FROM parts
+      WHERE split <> 'train' GROUP BY 1)
+SELECT CAST(a.day AS INTEGER) AS day, a.n, round({_PSI_SQL}, 6) AS psi FROM a, e"""
+
+
+@query("drift_scores_k4", DRIFT_SQL)
 def drift_scores(spark, d):
     events = table(spark, d, "events").select("event_id", "ts", "value")
     train = sp.split_rows(events, ["event_id"], "train")

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import models as md
+from ..operators import registry as rg
+from ..operators import split as sp
 from ..session import workspace
 from ..sources import requests as rq
 from ..streaming import monitoring as sm
 from ..streaming import scoring as ss
 from .base import SPLIT_TRIPS_SQL, query, table, trips
+from .monitoring import DRIFT_SQL, EDGES
 from .splits import EVENT_TYPES
 from .tabular import _request_pairs, _scored_by_user, registered_line
 
@@ -88,7 +91,7 @@ def streaming_ingest(spark, d):
     events = sm.table_stream(spark, d, table(spark, d, "events").schema, "events.parquet")
     out = workspace(spark, "monitor")
     sm.ingest_stream(events, out, workspace(spark, "monitor-log")).awaitTermination()
-    return spark.read.parquet(out).groupBy("event_type").agg(
+    return sm.read_ingested(spark, out, events.schema).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 4).alias("value")
     )
 
@@ -111,3 +114,51 @@ def streaming_summary(spark, d):
         F.unix_micros(F.col("window_start").cast("timestamp")).alias("window_start"), "n",
         F.round("mean", 6).alias("mean"),
     )
+
+
+@query("streaming_drift_k4", DRIFT_SQL)
+def streaming_drift(spark, d):
+    """Drift of each day, counted as the events come in from files of a few hours each."""
+    stored = table(spark, d, "events").select("event_id", "ts", "value")
+    inbox, out = workspace(spark, "drift-events"), workspace(spark, "drift")
+    stored.repartitionByRange(8, "ts").write.parquet(inbox)
+    later = sp.split_rows(
+        spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 3).parquet(inbox),
+        ["event_id"], "train", rest=True,
+    )
+    sm.drift_stream(
+        sp.split_rows(stored, ["event_id"], "train"), later, "ts", "1 day", "value", EDGES,
+        out, workspace(spark, "drift-log"), late="400 days",  # files come in any order
+    ).awaitTermination()
+    return sm.read_drift(spark, out).select(
+        F.dayofyear("window_start").alias("day"), "n", F.round("psi", 6).alias("psi")
+    )
+
+
+@query(
+    "stream_log_m4",
+    """SELECT 'ingest' AS run_id, 'rows' AS key, CAST(count(*) AS DOUBLE) AS value FROM events
+       UNION ALL SELECT 'ingest', 'train_n', CAST(count(value) AS DOUBLE) FROM events
+       UNION ALL SELECT 'ingest', 'train_loss', round(sum(value), 4) FROM events""",
+)
+def stream_log(spark, d):
+    """Batches of a stream logged by a listener, with their observed loss; totals of the log."""
+    stored = table(spark, d, "events")
+    inbox, out, log = (workspace(spark, name) for name in ("log-events", "log-out", "stream-log"))
+    stored.repartition(4, "event_id").write.parquet(inbox)
+    watched = (
+        spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        .observe("train", F.count("value").alias("n"), F.sum("value").alias("loss"))
+    )
+    listener = sm.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        running = sm.ingest_stream(watched, out, workspace(spark, "log-checkpoint"), "ingest")
+        running.awaitTermination()
+        listener.wait(running)
+    finally:
+        spark.streams.removeListener(listener)
+    steps = rg.latest_metrics(spark.read.schema(rg.LOG_SCHEMA).parquet(log), ("run_id", "key", "step"))
+    return steps.where((F.col("run_id") == "ingest") & (F.col("key") != "seconds")).groupBy("run_id", "key").agg(
+        F.round(F.sum("value"), 4).alias("value")
+    )

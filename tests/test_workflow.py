@@ -11,11 +11,13 @@ from pyspark.sql import functions as F, types as T
 from modelyard.operators import lookup as lk
 from modelyard.operators import metrics as mt
 from modelyard.operators import models as md
+from modelyard.operators import monitor as mo
 from modelyard.operators import registry as rg
 from modelyard.operators import split as sp
 from modelyard.operators.userdefined import apply_batches, apply_metrics, apply_partials, apply_scorer, observed
 from modelyard.plans.base import trips
 from modelyard.session import shared_dir, workspace
+from modelyard.sources import committed as cm
 from modelyard.sources import headed
 from modelyard.sources import controls as ct
 from modelyard.sources import images as im
@@ -477,8 +479,110 @@ def test_stream_scoring_equals_batch(spark, tmp_path):
 def test_replayed_batch_is_written_once(spark, tmp_path):
     rows = spark.range(5)
     for _ in range(2):
-        sm.write_batch(rows, 7, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+        cm.write_batch(rows, 7, str(tmp_path / "t"))
+    assert cm.read_batches(spark, str(tmp_path / "t"), "id bigint").count() == 5
+    with pytest.raises(ValueError, match="batch_id"):
+        cm.write_batch(rows.withColumn("Batch_Id", F.lit(1)), 8, str(tmp_path / "t"))
+
+
+def _three_files(spark, folder):
+    for day in (1, 2, 3):
+        rows = spark.range(40 * day).select(
+            (F.timestamp_seconds(F.lit(86400 * day) + F.col("id"))).alias("ts"), (F.col("id") % 7).cast("double").alias("value")
+        )
+        rows.coalesce(1).write.parquet(f"{folder}/day={day}")
+    return T.StructType.fromDDL("ts timestamp, value double")
+
+
+def _files(spark, schema, folder, days):
+    return sm.table_stream(spark, f"{folder}/day={days}", schema)
+
+
+def test_batch_killed_before_its_entry_is_never_seen(spark, tmp_path, monkeypatch):
+    schema = _three_files(spark, tmp_path / "in")
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+
+    def ingest():
+        sm.ingest_stream(_files(spark, schema, tmp_path / "in", "*"), out, log).awaitTermination()
+
+    enter = cm.enter
+    monkeypatch.setattr(cm, "enter", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(Exception, match="killed"):
+        ingest()
+    assert sum(1 for _ in (tmp_path / "out").rglob("*.parquet")) > 0  # rows are there,
+    assert sm.read_ingested(spark, out, schema).count() == 0  # but count for nothing
+    monkeypatch.setattr(cm, "enter", enter)
+    ingest()
+    rows = sm.read_ingested(spark, out, schema)
+    assert rows.count() == 240 and rows.select("stream", "batch_id").distinct().count() == 1
+    cm.enter(spark, out, sm.stream_name(log), 0, "late")  # a writer that comes second
+    assert sm.read_ingested(spark, out, schema).count() == 240
+
+
+def test_drift_survives_a_restart(spark, tmp_path):
+    schema = _three_files(spark, tmp_path / "in")
+    reference = spark.range(70).select((F.col("id") % 5).cast("double").alias("value"))
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    (tmp_path / "inbox").mkdir()
+
+    def go_on(days, reference):
+        for day in days:  # half a day's rows at a time, so windows change after the restart
+            part = spark.read.schema(schema).parquet(str(tmp_path / f"in/day={day[0]}"))
+            part.where(F.pmod(F.unix_seconds("ts"), F.lit(2)) == day[1]).coalesce(1).write.mode("append").parquet(
+                str(tmp_path / "inbox")
+            )
+        sm.drift_stream(
+            reference, sm.table_stream(spark, str(tmp_path / "inbox"), schema), "ts", "1 day", "value",
+            [2.0, 4.0], out, log, late="9 days",
+        ).awaitTermination()
+
+    go_on([(1, 0), (2, 0)], reference)
+    go_on([(1, 1), (2, 1), (3, 0), (3, 1)], spark.range(9).select(F.lit(1.0).alias("value")))  # the first one stays
+    got = {r["window_start"].day: (r["n"], r["psi"]) for r in sm.read_drift(spark, out).collect()}
+    whole = spark.read.schema(schema).parquet(str(tmp_path / "inbox")).withColumn("day", F.dayofmonth("ts"))
+    want = {r["day"]: (r["n"], r["psi"]) for r in mo.drift_scores(reference, whole, "value", [2.0, 4.0], ["day"]).collect()}
+    assert set(got) == {2, 3, 4} and {k: v[0] for k, v in got.items()} == {2: 40, 3: 80, 4: 120}
+    assert all(got[k][1] == pytest.approx(want[k][1]) for k in want)
+
+
+def test_progress_log_has_the_rows_of_each_batch(spark, tmp_path):
+    schema = _three_files(spark, tmp_path / "in")
+    source = (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "day=*"))
+        .observe("train", F.max("value").alias("top"))
+    )
+    listener = sm.ProgressLog(spark, str(tmp_path / "runs"))
+    spark.streams.addListener(listener)
+    try:
+        query = sm.ingest_stream(source, str(tmp_path / "out"), str(tmp_path / "log"), "watched")
+        query.awaitTermination()
+        listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    log = spark.read.schema(rg.LOG_SCHEMA).parquet(str(tmp_path / "runs")).where("run_id = 'watched'")
+    logged = {r["step"]: r["value"] for r in log.where("key = 'rows'").collect()}
+    stored = sm.read_ingested(spark, str(tmp_path / "out"), schema).groupBy("batch_id").count().collect()
+    assert len(logged) == 3 and logged == {r["batch_id"]: r["count"] for r in stored}
+    assert {r["value"] for r in log.where("key = 'train_top'").collect()} == {6.0}
+    assert log.where("key = 'seconds' AND value >= 0").count() == 3
+
+
+def test_step_history_carries_values_over_gaps_and_blocks(spark):
+    draw = random.Random(5)
+    entries = [(run, "loss", draw.random(), draw.randrange(-40, 400)) for run in "ab" for _ in range(30)]
+    entries += [("one", "loss", 1.0, 7), ("far", "loss", 2.0, 0), ("far", "loss", None, 5000), ("no", "loss", 3.0, None)]
+    log = spark.createDataFrame(entries, "run_id string, key string, value double, step bigint").withColumn(
+        "ts", F.timestamp_seconds(F.coalesce((F.col("value") * 1000).cast("int"), F.lit(0)))
+    )
+    for every, width, levels in ((1, 4, 2), (3, 2, 3), (10, 4096, 2), (7, 5, 0)):
+        want = {}
+        for run in {e[0] for e in entries if e[3] is not None}:
+            own = sorted((s, int((v or 0) * 1000), v) for r, _, v, s in entries if r == run and s is not None)
+            for cell in range(-(-own[0][0] // every), -(-own[-1][0] // every) + 1):
+                want[run, cell * every] = [v for s, _, v in own if s <= cell * every][-1]
+        got = rg.step_history(log, every, width=width, levels=levels).collect()
+        assert len(got) == len(want) and {(r["run_id"], r["step"]): r["value"] for r in got} == want
+    assert rg.step_history(log.limit(0)).count() == 0
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
