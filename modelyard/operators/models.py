@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import HashingTF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
@@ -154,6 +154,29 @@ def fit_linear(
     return Pipeline(stages=[vectors, line]).fit(train)
 
 
+def fit_text(
+    train: DataFrame, text: str, target: str, buckets: int = 1 << 12, prediction: str = "prediction"
+) -> PipelineModel:
+    """Least squares in hashed word counts: words, counts and line are one model that can be
+    saved and registered. Rows without text or target are left out."""
+    stages = [
+        RegexTokenizer(inputCol=text, outputCol="_words", pattern="[a-z0-9]+", gaps=False),
+        HashingTF(inputCol="_words", outputCol="features", numFeatures=buckets),
+        LinearRegression(featuresCol="features", labelCol=target, predictionCol=prediction, standardization=False),
+    ]
+    return Pipeline(stages=stages).fit(train.select(text, F.col(target).cast("double")).dropna())
+
+
+def predict_text(model: PipelineModel, df: DataFrame, text: str, prediction: str = "prediction") -> DataFrame:
+    """Predictions of a text model; a row without text gets none."""
+    known = F.col(text).isNotNull()
+    scored = model.transform(df.withColumn("_known", known).withColumn(text, F.coalesce(text, F.lit(""))))
+    return scored.select(
+        *[F.when(F.col("_known"), F.col(text)).alias(text) if c == text else c for c in df.columns],
+        F.when(F.col("_known"), F.col(prediction)).alias(prediction),
+    )
+
+
 def load_asset(catalog: DataFrame, reference: str) -> PipelineModel:
     """The saved model that a registry names, such as 'trips@latest' or 'trips:3'."""
     found = resolve_asset(catalog, reference).first()

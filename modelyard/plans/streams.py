@@ -10,6 +10,7 @@ from ..operators import registry as rg
 from ..operators import split as sp
 from ..session import workspace
 from ..sources import requests as rq
+from ..sources.committed import read_batches
 from ..streaming import monitoring as sm
 from ..streaming import scoring as ss
 from .base import SPLIT_TRIPS_SQL, query, table, trips
@@ -82,6 +83,47 @@ def streaming_text(spark, d):
     )
 
 
+_WORDS_SQL = "len(regexp_extract_all(lower(text), '[a-z0-9]+'))"
+
+
+@query(
+    "streaming_text_versions_m12",
+    f"""SELECT CAST(conv_id % 2 + 1 AS INTEGER) AS version, count(*) AS requests,
+        CAST(sum(CASE WHEN conv_id % 2 = 0 THEN 2 * {_WORDS_SQL} + 3 ELSE 5 * {_WORDS_SQL} END) AS BIGINT) AS predicted
+        FROM conversations GROUP BY 1""",
+)
+def streaming_text_versions(spark, d):
+    """Text requests scored by a registered text model, and by its next version once that is
+    registered, in one running query. Both versions are fitted to targets with a known answer."""
+    turns = table(spark, d, "conversations").where(F.col("text").isNotNull())
+    n = F.size(tx.words(F.col("text")))
+    inbox, out, registry = (workspace(spark, name) for name in ("turns", "turn-scores", "text-registry"))
+    running = None
+    try:
+        for half, target in enumerate((2 * n + 3, 5 * n)):
+            model = md.fit_text(turns.withColumn("target", target), "text", "target", buckets=16)
+            path = md.save_model(model, workspace(spark, "text-model"))
+            on_record = rg.read_registry(spark, registry) if half else spark.createDataFrame([], rg.REGISTRY_SCHEMA)
+            rg.register_version(on_record, registry, "summary-length", path, f"run-{half}", True)
+            body = F.to_json(F.struct(F.col("text").alias("data")))
+            wave = turns.where(F.pmod("conv_id", F.lit(2)) == half).select(body.alias("value"))
+            wave.write.mode("append").text(inbox)
+            running = running or ss.score_latest_stream(
+                ss.request_stream(spark, inbox),
+                lambda df: df.select(rq.request_text(F.col("raw")).alias("text")),
+                lambda model, df: md.predict_text(model, df, "text").select("text", "prediction"),
+                registry, "summary-length", out, workspace(spark, "turn-scores-log"), until_done=False,
+            )
+            running.processAllAvailable()
+    finally:
+        if running is not None:
+            running.stop()
+    scored = read_batches(spark, out, "text string, prediction double, version int")
+    return scored.groupBy("version").agg(
+        F.count(F.lit(1)).alias("requests"), F.sum(F.round("prediction").cast("bigint")).alias("predicted")
+    )
+
+
 @query(
     "streaming_ingest_k2",
     "SELECT event_type, count(*) AS rows, round(sum(value), 4) AS value FROM events GROUP BY 1",

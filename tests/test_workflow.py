@@ -567,6 +567,39 @@ def test_progress_log_has_the_rows_of_each_batch(spark, tmp_path):
     assert log.where("key = 'seconds' AND value >= 0").count() == 3
 
 
+def test_a_new_version_takes_over_between_batches(spark, tmp_path):
+    texts = spark.createDataFrame([("one two three " * i,) for i in range(1, 9)], "text string").withColumn(
+        "n", F.size(F.split(F.trim("text"), " "))
+    )
+    registry, inbox, out = (str(tmp_path / name) for name in ("registry", "inbox", "out"))
+
+    def register(times):
+        model = md.fit_text(texts.withColumn("y", F.col("n") * times), "text", "y", buckets=64)
+        path = md.save_model(model, str(tmp_path / f"model-{times}"))
+        known = rg.read_registry(spark, registry) if times > 1 else spark.createDataFrame([], rg.REGISTRY_SCHEMA)
+        rg.register_version(known, registry, "length", path, "run", True)
+
+    def send(*bodies):
+        spark.createDataFrame([(b,) for b in bodies], "value string").coalesce(1).write.mode("append").text(inbox)
+
+    def scores():
+        ss.score_latest_stream(
+            ss.request_stream(spark, inbox), lambda df: df.select(rq.request_text(F.col("raw")).alias("text")),
+            lambda model, df: md.predict_text(model, df, "text"), registry, "length", out, str(tmp_path / "log"),
+        ).awaitTermination()
+        rows = cm.read_batches(spark, out, "text string, prediction double, version int")
+        return sorted(((r["version"], r["text"] or "", r["prediction"]) for r in rows.collect()), key=lambda r: r[:2])
+
+    register(1)
+    send('{"data": "one two three"}')
+    assert scores() == [(1, "one two three", pytest.approx(3, abs=1e-3))]
+    register(10)
+    send('{"data": "three two one"}')
+    assert scores()[-1:] == [(2, "three two one", pytest.approx(30, abs=1e-2))]
+    send('{"other": 1}', "not json")
+    assert [(v, t, p) for v, t, p in scores()[1:] if p is None] == [(2, "", None)] * 2
+
+
 def test_step_history_carries_values_over_gaps_and_blocks(spark):
     draw = random.Random(5)
     entries = [(run, "loss", draw.random(), draw.randrange(-40, 400)) for run in "ab" for _ in range(30)]
