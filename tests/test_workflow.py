@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from modelyard.operators import insights as ins
 from modelyard.operators import lookup as lk
 from modelyard.operators import metrics as mt
 from modelyard.operators import models as md
@@ -69,6 +70,33 @@ def test_forest_learns_the_planted_relation(spark, planted, tmp_path):
     assert len(rows) == 2 and rows[0]["mse"] == pytest.approx(rows[1]["mse"])
 
 
+def test_forest_grows_in_groups_on_all_rows_and_cores(spark, planted, tmp_path, monkeypatch):
+    seen = []
+
+    class Watched(md.RandomForestRegressor):
+        def _fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count(), self.getNumTrees(), self.getSeed()))
+            return super()._fit(rows)
+
+    monkeypatch.setattr(md, "RandomForestRegressor", Watched)
+    monkeypatch.setattr(md, "TREES_AT_ONCE", 4)
+    train, test = sp.split_rows(planted, ["id"], "train"), sp.split_rows(planted, ["id"], "test")
+    model = md.fit_forest(train.coalesce(1), SPEC, n_estimators=10, max_depth=8, max_features="auto")
+    cores, n = spark.sparkContext.defaultParallelism, train.count()
+    assert seen == [(cores, n, 4, 0), (cores, n, 4, 1), (cores, n, 2, 2)]
+    loaded = md.load_model(md.save_model(model, str(tmp_path / "groups")))
+    scored = md.predict(loaded, test)
+    assert scored.columns == [*test.columns, "prediction"]
+    assert mt.regression_metrics(scored, "cost", "prediction").first()["r2"] > 0.95
+    trees = [t for f in md.forests_of(model) for t in f.trees]
+    row = md.assembler(SPEC).transform(test).first()
+    mean = sum(t.predict(row["features"]) for t in trees) / len(trees)
+    both = md.predict_versions(test.where(F.col("id") == row["id"]), {"1": model, "2": loaded}, SPEC, ["id"]).collect()
+    assert len(trees) == 10 and [r["prediction"] for r in both] == pytest.approx([mean, mean])
+    assert scored.where(F.col("id") == row["id"]).first()["prediction"] == pytest.approx(mean)
+    assert sum(share for _, share in ins.model_importance(loaded, SPEC)) == pytest.approx(1.0)
+
+
 def test_forest_parameters():
     assert md.FOREST["n_estimators"] == 500 and md.FOREST["max_depth"] == 10
     with pytest.raises(ValueError, match="colour"):
