@@ -21,8 +21,8 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return typed(read_headed(spark, path, schema.names), schema)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> str:
+    df.write.mode(mode).option("header", True).csv(path, compression=compression)
     return path
 
 
@@ -91,8 +91,9 @@ def write_rejects(rows: DataFrame, path: str, keys: Sequence[str] = ()) -> str:
 
 
 def append_predictions(scored: DataFrame, path: str) -> str:
-    """Append-row sink; file and key stay with each prediction."""
-    return write_csv(scored, path, mode="append")
+    """Append-row sink; file and key stay with each prediction. The file's name, the longest
+    text of a row, is that of the rows around it, so the files are compressed."""
+    return write_csv(scored, path, mode="append", compression="gzip")
 
 
 def is_on(value: str | None) -> bool:

@@ -675,3 +675,13 @@ def test_release_forgets_saved_forests(spark):
     tabular._FORESTS["here", "there"] = "gone"
     session.release(spark)
     assert not tabular._FORESTS
+
+
+def test_prediction_files_are_compressed_and_read_back(spark, tmp_path):
+    rows = spark.range(2000).select(F.lit("file:///a/rather/long/name.csv").alias("file_path"), F.col("id").alias("trip_key"))
+    out = tb.append_predictions(rows, str(tmp_path / "outbox"))
+    tb.append_predictions(rows.limit(5), out)
+    files = [f for f in (tmp_path / "outbox").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 2005 and back.agg(F.min("file_path")).first()[0] == "file:///a/rather/long/name.csv"
