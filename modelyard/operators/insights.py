@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..spec import FeatureSpec
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from .models import forests_of
 from .position import hash_position, running_total
 
@@ -236,9 +236,10 @@ def causal_effect_residual(
     """(treatment, segment, level, n, effect) with all other features as controls.
 
     Outcome and treatment are each regressed on the controls, on the rows of the other
-    folds, and the effect is the slope between the residuals of the fold's own rows. One pass
-    makes a dense block of products per task, from which every regression is solved; a second
-    pass takes the residuals. Rows without a number in one of the columns are left out.
+    folds, and the effect is the slope between the residuals of the fold's own rows. The rows are
+    made once and stored, so what `df` joins is joined once for the two passes. One pass makes a
+    dense block of products per task, from which every regression is solved; a second pass takes
+    the residuals. Rows without a number in one of the columns are left out.
     """
     columns = [*features, outcome]
     fold = F.pmod(F.xxhash64(*key), F.lit(folds)).cast("int")
@@ -248,6 +249,7 @@ def causal_effect_residual(
     names = [f"_x{i}" for i in range(len(columns))]
     for name in names:
         rows = rows.where(F.col(name).isNotNull() & ~F.isnan(name))
+    rows = stored(rows, "residual-rows")
     centre, gram = _products(rows.select("_fold", *names), folds, len(columns))
     z = [F.lit(1.0), *[F.col(name) - F.lit(float(m)) for name, m in zip(names, centre)]]
     whole = gram.sum(axis=0)

@@ -81,3 +81,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so a lost executor never changes the rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder by column, for plans that read them again."""
+    spark = df.sparkSession
+    path = workspace(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -215,3 +215,17 @@ def test_drift_against_formula(spark):
     p, q = p / p.sum(), q / q.sum()
     assert got["w"] == pytest.approx(float(np.sum((p - q) * np.log(p / q))))
     assert got["same"] == pytest.approx(0.0)
+
+
+def test_residual_effect_makes_its_rows_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(300).selectExpr("id", "id % 7 * 1.0 AS t", "id % 11 * 1.0 AS c", "id % 7 * 3.0 + id % 11 AS y")
+    found = ins.causal_effect_residual(rows.mapInArrow(watched, rows.schema), ["id"], "y", ["t"], ["t", "c"]).collect()
+    assert [(r["n"], round(r["effect"], 6)) for r in found] == [(300, 3.0)]
+    assert made.value == 300
