@@ -22,6 +22,7 @@ def tune(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "1m",  # long texts: fewer rows, so workers stay small
     }.items():
         spark.conf.set(key, value)
     return spark

@@ -685,3 +685,13 @@ def test_prediction_files_are_compressed_and_read_back(spark, tmp_path):
     assert files and all(f.name.endswith(".csv.gz") for f in files)
     back = spark.read.option("header", True).csv(out)
     assert back.count() == 2005 and back.agg(F.min("file_path")).first()[0] == "file:///a/rather/long/name.csv"
+
+
+def test_batches_of_long_texts_are_bounded_by_bytes(spark):
+    def measure(frame):
+        return frame.assign(rows=len(frame), size=frame["text"].str.len().sum())[["id", "rows", "size"]]
+
+    long = spark.range(400, numPartitions=1).select("id", F.repeat(F.lit("x"), 20000).alias("text"))
+    seen = apply_batches(long, measure, "id bigint, rows bigint, size bigint").collect()
+    assert sorted(r["id"] for r in seen) == list(range(400))
+    assert max(r["size"] for r in seen) < 2 << 20 and max(r["rows"] for r in seen) < 100
