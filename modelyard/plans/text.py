@@ -11,7 +11,7 @@ from ..operators import metrics as mt
 from ..operators import rouge as rg
 from ..operators import split as sp
 from ..operators.userdefined import apply_batches
-from ..session import workspace
+from ..session import stored, workspace
 from ..sources import tables as tb
 from .base import PAIR_KEY, PAIRS_SQL, dialogue_pairs, draw_sql, query, split_sql, table
 
@@ -192,7 +192,7 @@ def decode_ids(spark, d):
         table(spark, d, "documents").select("doc_id", "text"), ["doc_id"], {"ids": ("text", None)}, words
     )
     padded = coded.select("doc_id", tx.mask_padding(tx.pad(F.col("ids"), tx.MAX_INPUT)).alias("ids"))
-    return en.decode_ids(padded, ["doc_id"], "ids", words)
+    return en.decode_ids(stored(padded, "padded"), ["doc_id"], "ids", words)
 
 
 @query(

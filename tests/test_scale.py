@@ -185,3 +185,19 @@ def test_encoding_joins_distinct_tokens(spark, tmp_path):
     assert "MapInArrow" in text and "explode" not in text
     back = en.decode_ids(coded, ["k"], "ids", words)
     assert {r["text"] for r in back.collect()} == {("one two two three one " * 50).strip()}
+
+
+def test_a_block_looks_each_of_its_tokens_up_once(spark, monkeypatch):
+    rows = [(k, "one two two three one " * 9) for k in range(40)] + [(50, ""), (51, None), (52, "two new"), (52, "one"), (None, "three"), (None, "two one")]
+    df = spark.createDataFrame(rows, "k int, text string")
+    names = spark.createDataFrame([("one", 5), ("two", 3), ("three", 4)], "token string, id int")
+    sought, lookup = [], en.lookup
+    monkeypatch.setattr(en, "lookup", lambda facts, *rest: sought.append(facts) or lookup(facts, *rest))
+    coded = en.replaced(df, ["k"], {"ids": F.array_join(en.tx.words(F.col("text")), " ")}, names, en.tx.UNK, blocks=1)
+    assert sorted(r["token"] for r in sought[0].collect()) == ["new", "one", "three", "two"]
+    got = {r["k"]: r["ids"] for r in coded.collect()}
+    assert len(got) == 44 and all(got[k] == [5, 3, 3, 4, 5] * 9 for k in range(40))
+    assert got[50] == got[51] == [] and got[52] == [3, 5, 2] and got[None] == [3, 4, 5]
+    back = {r["k"]: r["text"] for r in en.decode_ids(coded, ["k"], "ids", names).collect()}
+    assert back[0] == ("one two two three one " * 9).strip()
+    assert back[50] == back[51] == "" and back[52] == "two one" and back[None] == "two three one"
