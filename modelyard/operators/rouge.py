@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,46 +30,14 @@ def rouge_n(
 ) -> DataFrame:
     """(key, order, precision, recall, f1) by clipped n-gram overlap.
 
-    Both sides are spread out from the same row and counted together, so there is
-    no join: grams are summed per task first, then per (key, gram), then per key.
+    The texts of a key meet in one row, and grams are counted there, so texts are shuffled
+    and sorted but never grams.
     """
-    # Tokens become columns first: inside a lambda they would be cut out again per gram.
-    none = F.array().cast("array<string>")
-    tokens = pairs.select(
-        *key,
-        F.coalesce(tx.words(F.col(candidate)), none).alias("_cand"),
-        F.coalesce(tx.words(F.col(reference)), none).alias("_ref"),
-    )
-
-    def tagged(tokens: Column, n: int, c: int) -> Column:
-        return F.transform(
-            tx.ngrams(tokens, n),
-            lambda g: F.struct(
-                F.lit(n).alias("order"), g.alias("gram"),
-                F.lit(c).alias("c"), F.lit(1 - c).alias("r"),
-            ),
-        )
-
-    # A null gram per order keeps rows whose texts are empty.
-    blank = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("order"), F.lit(None).cast("string").alias("gram"),
-                F.lit(0).alias("c"), F.lit(0).alias("r"),
-            )
-            for n in orders
-        ]
-    )
-    grams = [tagged(F.col("_cand"), n, 1) for n in orders] + [
-        tagged(F.col("_ref"), n, 0) for n in orders
-    ]
-    spread = tokens.select(*key, F.inline(F.concat(blank, *grams)))
-    per_gram = spread.groupBy(*key, "order", "gram").agg(F.sum("c").alias("c"), F.sum("r").alias("r"))
-    per_key = per_gram.groupBy(*key, "order").agg(
-        F.sum(F.least("c", "r")).alias("both"), F.sum("c").alias("c"), F.sum("r").alias("r")
-    )
+    sides = pairs.select(*key, F.struct(_joined(candidate).alias("c"), _joined(reference).alias("r")).alias("_t"))
+    texts = sides.groupBy(*key).agg(F.collect_list("_t").alias("_t"))
+    counted = texts.select(*key, F.inline(overlaps(orders)("_t.c", "_t.r")))
     both, c, r = F.col("both"), F.col("c"), F.col("r")
-    return per_key.select(
+    return counted.select(
         *key, "order",
         _share(both, c).alias("precision"),
         _share(both, r).alias("recall"),
@@ -75,6 +45,34 @@ def rouge_n(
     )
 
 
+def _joined(column: str) -> Column:
+    """The words of a text parted by one space; empty for null."""
+    return F.coalesce(F.array_join(tx.words(F.col(column)), " "), F.lit(""))
+
+
+def overlaps(orders: Sequence[int]) -> Callable[..., Column]:
+    """Function of two lists of texts: per order the grams on both sides (clipped), and on each."""
+    orders = list(orders)
+    counts = "array<struct<order: int, both: bigint, c: bigint, r: bigint>>"
+
+    @F.pandas_udf(counts)
+    def run(cand: pd.Series, ref: pd.Series) -> pd.Series:
+        def grams(texts, n):
+            words = [text.split() for text in texts]
+            return Counter(w for t in words for w in (t if n == 1 else zip(*(t[i:] for i in range(n)))))
+
+        out = []
+        for cs, rs in zip(cand, ref):
+            row = []
+            for n in orders:
+                c, r = grams(cs, n), grams(rs, n)
+                row.append({"order": n, "both": sum((c & r).values()), "c": sum(c.values()), "r": sum(r.values())})
+            out.append(row)
+        return pd.Series(out)
+
+    return run
+
+
 def rouge_l(pairs: DataFrame, key: Sequence[str], candidate: str, reference: str) -> DataFrame:
     """(key, precision, recall, f1) by the longest common subsequence."""
     scored = pairs.select(*key, _rouge_l(candidate, reference).alias("s"))
@@ -91,31 +89,22 @@ def rouge_lsum(
 
     A few reference sentences are one row, and rows are dealt out, so a long pair is aligned
     by many tasks. A token counts as often as it is matched, but no more often than the
-    candidate holds it; matches and holdings are counted together, without a join.
+    candidate holds it; the matched and the held tokens of a key meet in one row.
     """
     sides = pairs.select(*key, _sentences(candidate).alias("_cand"), _sentences(reference).alias("_ref"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("_ref"), F.lit(1)), F.lit(sentences))
     some = F.transform(starts, lambda at: F.slice("_ref", at, sentences))
     dealt = sides.select(*key, "_cand", F.posexplode(some).alias("_at", "_part")).repartition(*key, "_at")
-
-    def tagged(tokens: Column, m: int, c: int) -> Column:
-        return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(m).alias("m"), F.lit(c).alias("c"), F.lit(0).alias("r")))
-
     # The first row of a pair brings the candidate's tokens; every row counts its own sentences.
-    blank = F.array(F.struct(
-        F.lit(None).cast("string").alias("token"), F.lit(0).alias("m"), F.lit(0).alias("c"), F.size(F.flatten("_part")).alias("r")
-    ))
-    held = F.when(F.col("_at") == 0, F.flatten("_cand")).otherwise(F.array().cast("array<string>"))
+    held = F.when(F.col("_at") == 0, F.array_join(F.flatten("_cand"), " ")).otherwise("")
     rows = dealt.select(
-        *key, held.alias("_held"), blank.alias("_blank"), lcs.matched_tokens("_cand", "_part").alias("_hits")
+        *key, F.struct(F.array_join(lcs.matched_tokens("_cand", "_part"), " ").alias("m"), held.alias("c")).alias("_t"),
+        F.size(F.flatten("_part")).alias("_r"),
     )
-    spread = rows.select(*key, F.inline(F.concat("_blank", tagged(F.col("_hits"), 1, 0), tagged(F.col("_held"), 0, 1))))
-    per_token = spread.groupBy(*key, "token").agg(*[F.sum(c).alias(c) for c in ("m", "c", "r")])
-    per_key = per_token.groupBy(*key).agg(
-        F.sum(F.least("m", "c")).alias("both"), F.sum("c").alias("c"), F.sum("r").alias("r")
-    )
-    both, c, r = F.col("both"), F.col("c"), F.col("r")
-    return per_key.select(
+    per_key = rows.groupBy(*key).agg(F.collect_list("_t").alias("_t"), F.sum("_r").alias("_r"))
+    counted = per_key.select(*key, "_r", F.inline(overlaps([1])("_t.m", "_t.c")))
+    both, c, r = F.col("both"), F.col("r"), F.col("_r")
+    return counted.select(
         *key, _share(both, c).alias("precision"), _share(both, r).alias("recall"), _share(2 * both, c + r).alias("f1")
     )
 

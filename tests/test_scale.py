@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,3 +203,18 @@ def test_a_block_looks_each_of_its_tokens_up_once(spark, monkeypatch):
     back = {r["k"]: r["text"] for r in en.decode_ids(coded, ["k"], "ids", names).collect()}
     assert back[0] == ("one two two three one " * 9).strip()
     assert back[50] == back[51] == "" and back[52] == "two one" and back[None] == "two three one"
+
+
+def test_overlap_scores_never_group_by_gram(spark):
+    rows = [(1, "a b a b. c d.", "a b c. d d."), (2, None, "a"), (3, "", ""), (4, "a b", "b a"), (4, "a b", "a b"), (None, "x y", "x y z")]
+    df = spark.createDataFrame(rows, "k int, c string, r string")
+    one, union = rg.rouge_n(df, ["k"], "c", "r"), rg.rouge_lsum(df, ["k"], "c", "r")
+    for scores in (one, union):
+        keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan(scores))
+        assert keys and all(re.fullmatch(r"k#\d+", k) for k in keys)
+    got = {(r["k"], r["order"]): (r["precision"], r["recall"]) for r in one.collect()}
+    assert len(got) == 10 and got[1, 1] == (4 / 6, 4 / 5) and got[1, 2] == (3 / 5, 3 / 4)
+    assert got[2, 1] == got[3, 2] == (0.0, 0.0) and got[None, 2] == (1.0, 0.5)
+    assert got[4, 1] == (1.0, 1.0) and got[4, 2] == (0.5, 0.5)  # rows of one key count together
+    got = {r["k"]: (r["precision"], r["recall"]) for r in union.collect()}
+    assert len(got) == 5 and got[4] == (3 / 4, 3 / 4) and got[None] == (1.0, 2 / 3) and got[2] == (0.0, 0.0)
