@@ -646,6 +646,34 @@ def test_step_history_carries_values_over_gaps_and_blocks(spark):
     assert rg.step_history(log.limit(0)).count() == 0
 
 
+def test_step_history_fills_stretches_of_any_length(spark):
+    big = 1 << 60  # beyond the whole numbers that a double holds
+    entries = [("a", "loss", 1.0, -9), ("a", "loss", None, -2), ("a", "loss", 2.0, 11), ("b", "loss", 3.0, 4), ("b", "acc", 4.0, 5)]
+    entries += [("b", "loss", 5.0, 9), ("big", "loss", 6.0, big), ("big", "loss", 7.0, big + 2048), (None, "loss", 8.0, 1)]
+    log = spark.createDataFrame(entries, "run_id string, key string, value double, step bigint").withColumn(
+        "ts", F.lit(None).cast("timestamp")
+    )
+    want = {("a", "loss", s): 1.0 if s < -2 else None if s < 11 else 2.0 for s in range(-9, 12)}
+    want |= {("b", "loss", s): 3.0 if s < 9 else 5.0 for s in range(4, 10)} | {("b", "acc", 5): 4.0, (None, "loss", 1): 8.0}
+    want |= {("big", "loss", s): 6.0 if s < big + 2048 else 7.0 for s in range(big, big + 2049)}
+    for stretch, group in ((1, 1), (3, 2), (8, 4096), (512, 4096)):
+        got = rg.step_history(log, stretch=stretch, group=group).collect()
+        assert len(got) == len(want) and {(r["run_id"], r["key"], r["step"]): r["value"] for r in got} == want
+
+
+def test_step_history_is_small_when_written(spark, tmp_path):
+    runs = spark.range(200).select(F.concat(F.lit("run"), "id").alias("run_id"), F.lit("loss").alias("key"), "id")
+    log = runs.select("*", F.explode(F.sequence(F.lit(0), F.lit(5000), F.lit(1000))).alias("at")).select(
+        "run_id", "key", (F.col("id") + F.col("at") * 1.5).alias("value"),
+        (F.col("at") + F.pmod(F.hash("id", "at"), F.lit(900))).cast("bigint").alias("step"), F.current_timestamp().alias("ts"),
+    )
+    out = tmp_path / "history"
+    rg.step_history(log).write.option("compression", "snappy").parquet(str(out))
+    rows = spark.read.parquet(str(out)).count()
+    assert 900_000 < rows < 1_200_000
+    assert sum(f.stat().st_size for f in out.glob("part-*")) < 0.8 * rows  # 13 bits a step, were none repeated
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     schema = "ts timestamp_ntz, value double, kind string"
     batches = [
