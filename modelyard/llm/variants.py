@@ -15,6 +15,9 @@ A word's form is its near word with the largest count, if that is `ratio` times
 at least; forms are followed to their roots by pointer doubling, in as many rounds as
 the logarithm of the longest chain, which is itself below the digits of a count.
 
+Every join is a sort-merge join at every size: keys are exploded from a compressed table of
+words, and what the planner takes for their size is far below what a broadcast would hold.
+
 Defined cases: words that are null or have under `LEAST` code points take no part; a word
 given twice counts with the sum of its counts, a null count as 0; ties between near words
 go to the smallest in code-point order; an empty table gives an empty one; columns beside
@@ -77,7 +80,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     )
     ordered = (long_b > F.col("l.size")) | (a < b)
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in _KEY]
-    met = left.alias("l").join(right.alias("r"), [*same, ordered, once, F.levenshtein(a, b, 1) == 1])
+    met = left.alias("l").join(right.hint("merge").alias("r"), [*same, ordered, once, F.levenshtein(a, b, 1) == 1])
     return met.select("a", "na", "b", "nb")
 
 
@@ -86,7 +89,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     now = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = now.select(F.col("word").alias("root"), F.col("root").alias("onward"))
-        step = stored(now.join(onward, "root", "left").select("word", "root", "onward"), "roots")
+        step = stored(now.join(onward.hint("merge"), "root", "left").select("word", "root", "onward"), "roots")
         now = step.select("word", F.coalesce("onward", "root").alias("root"))
         if step.where("onward is not null").limit(1).count() == 0:
             return now
@@ -106,13 +109,13 @@ def spelling_variants(words: DataFrame, least: int = LEAST, count: int = COUNT,
     found = -F.col("best.less")
     formed = F.coalesce(found >= F.col("n") * ratio, F.lit(False))
     named = stored(
-        known.join(near, "word", "left").select(
+        known.join(near.hint("merge"), "word", "left").select(
             "word", F.when(formed, F.col("best.word")).alias("form"), "n",
             F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(formed, found).alias("form_n"),
         ),
         "forms",
     )
     roots = _roots(named.where("form is not null").select("word", "form"))
-    return named.join(roots, "word", "left").select(
+    return named.join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

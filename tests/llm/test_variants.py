@@ -93,6 +93,22 @@ def test_a_long_list_of_one_word_start(spark):
     check(spark, rows)
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    """Chunks and grams are many times the stored words that the planner sizes them by."""
+    plans, store = [], variants.stored
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, label)
+
+    monkeypatch.setattr(variants, "stored", seen)
+    rows = [("prefixes" + chr(97 + i) * 3, 2 + i) for i in range(20)]
+    got = variants.spelling_variants(spark.createDataFrame(rows, "word string, n long"))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_words_of_documents(spark):
     import re
 
